@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,8 @@ ANY = {event: 0 for event in COUNTED_EVENTS}
 TWICE = {event: 1 for event in COUNTED_EVENTS}
 STAGGERED = {PUSH: 2, WATCH: 1, FORK: 0}
 TOP = 20
-SETTINGS = Settings(minimums=ANY, user_minimum=0, top=TOP, hourly_details=True)
+SETTINGS = Settings(minimums=ANY, user_minimum=0, top=TOP)
+WITH_DETAILS = replace(SETTINGS, hourly_details=True)
 FEW = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,17 +165,17 @@ def _top_users_of_top_repos(tables: serving.TrendTables) -> DataFrame:
     return serving.repo_top_users(tables, "month", AS_OF, repos=leaders)
 
 
-def _backfilled(spark: SparkSession, sf_dir: str) -> TableStore:
-    return backfill(spark, _landing(spark, sf_dir), work_dir(spark, "tables"), FIRST, LAST, SETTINGS)
+def _backfilled(spark: SparkSession, sf_dir: str, settings: Settings) -> TableStore:
+    return backfill(spark, _landing(spark, sf_dir), work_dir(spark, "tables"), FIRST, LAST, settings)
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> TableStore:
+def _ingested(spark: SparkSession, sf_dir: str, settings: Settings) -> TableStore:
     """The hours arrive in two deliveries, odd hours first; the job runs after each."""
     landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
     events = read_clickstream(spark, sf_dir)
     for odd in (1, 0):
         write_landing(events.where(F.col("hour") % 2 == odd), landing, compressed=True)
-        ingest_available(spark, landing, out, state, SETTINGS)
+        ingest_available(spark, landing, out, state, settings)
     return TableStore(spark, out)
 
 
@@ -257,10 +259,10 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "repos_over_score": _on_tables(lambda t: serving.repos_over(t, serving.AGGREGATE, 0.5000001)),
-    "backfill_counts": lambda spark, sf_dir: _stored_counts(_backfilled(spark, sf_dir)),
-    "backfill_details": lambda spark, sf_dir: _stored_details(_backfilled(spark, sf_dir)),
-    "incremental_counts": lambda spark, sf_dir: _stored_counts(_ingested(spark, sf_dir)),
-    "incremental_details": lambda spark, sf_dir: _stored_details(_ingested(spark, sf_dir)),
+    "backfill_counts": lambda spark, sf_dir: _stored_counts(_backfilled(spark, sf_dir, SETTINGS)),
+    "backfill_details": lambda spark, sf_dir: _stored_details(_backfilled(spark, sf_dir, WITH_DETAILS)),
+    "incremental_counts": lambda spark, sf_dir: _stored_counts(_ingested(spark, sf_dir, SETTINGS)),
+    "incremental_details": lambda spark, sf_dir: _stored_details(_ingested(spark, sf_dir, WITH_DETAILS)),
     "event_time_counts": _event_time,
 }
 

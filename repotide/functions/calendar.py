@@ -57,8 +57,16 @@ def month_bounds(year: str, month: str) -> tuple[date, date]:
 
 def months_between(first: date, last: date) -> list[str]:
     """``YYYY-MM`` of every month touched by the days ``first`` to ``last``."""
-    days = range((last - first).days + 1)
-    return sorted({(first + timedelta(days=n)).strftime("%Y-%m") for n in days})
+    days = (first + timedelta(days=n) for n in range((last - first).days + 1))
+    return [f"{month[0]:%Y-%m}" for month in by_month(days)]
+
+
+def by_month(days: Iterable[date]) -> list[list[date]]:
+    """Days grouped by month, in order."""
+    months = defaultdict(list)
+    for day in sorted(set(days)):
+        months[day.year, day.month].append(day)
+    return list(months.values())
 
 
 def days_scope(days: Iterable[date]) -> Column:

@@ -23,6 +23,7 @@ def lookup_join(
     A key is hot if it owns more than 1/``shares`` of all rows, so fewer than ``shares`` keys
     are: their lookup rows are broadcast and their rows stay where they are. The other
     keys meet in a shuffle join whose largest key holds 1/``shares`` of the rows.
+    The frames are read several times, so they should be stored ones or cheap to compute.
     ``weight`` names a column of ``lookup`` with the number of rows per key; it is counted
     from ``rows`` if not given.
     """

@@ -63,11 +63,11 @@ def repo_detail_rows(events: DataFrame, require_language: bool = True) -> DataFr
 def scored_repo_details(scores: DataFrame, details: DataFrame, score_rows: int | None = None) -> DataFrame:
     """Detail rows of the scored repositories, with the day's score.
 
-    ``score_rows``, if given, must be a proven upper bound of the rows of ``scores``; it
-    decides on broadcasting them.
+    ``score_rows`` is a proven upper bound of the rows of ``scores``, which decides on
+    broadcasting them; they are counted if it is not given.
     """
     keys = ["create_date", "repo_name"]
-    if may_broadcast(score_rows):
+    if may_broadcast(scores.count() if score_rows is None else score_rows):
         return details.join(F.broadcast(scores), keys)
     return lookup_join(details, scores, keys)
 
@@ -80,5 +80,7 @@ def scored_repo_details_from_events(
     A language list depends only on rows of the same day and repository, so rows without a
     score can go before the lists are made, and nearly all rows go there.
     """
+    if score_rows is None:
+        score_rows = scores.count()
     rows = scored_repo_details(scores, pull_request_rows(events, require_language), score_rows)
-    return attach_languages(rows, None if score_rows is None else 24 * score_rows)
+    return attach_languages(rows, 24 * score_rows)

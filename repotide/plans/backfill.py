@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from repotide.functions.calendar import month_bounds
-from repotide.plans.refresh import Settings, refresh_files, refresh_hours, write_events
+from repotide.functions.calendar import by_month, month_bounds
+from repotide.plans.refresh import Settings, refresh_days, refresh_files, write_events
 from repotide.sources.landing import canonical_events, hour_files, read_events
 from repotide.sources.tables import TableStore
 
@@ -24,21 +24,24 @@ def backfill(
 ) -> TableStore:
     """Builds all tables for the days ``first`` to ``last``; a repeat replaces them.
 
-    Hours without a file are left as they are. With ``hour_from="created_at"`` file names mean
+    It goes month by month. Hours without a file are left as they are. With ``hour_from="created_at"`` file names mean
     nothing: the whole landing folder is read and every hour of the span is replaced.
     """
     if not landing:
         raise ValueError("landing must name a folder or bucket")
     store = TableStore(spark, out)
     if hour_from == "file":
-        refresh_files(store, hour_files(spark, landing, first, last), settings)
+        span_days = (first + timedelta(days=n) for n in range((last - first).days + 1))
+        for month in by_month(span_days):
+            refresh_files(store, hour_files(spark, landing, month[0], month[-1]), settings)
         return store
     span = F.col("create_date").between(F.lit(first), F.lit(last))
     events = canonical_events(read_events(spark, landing), hour_from).where(span)
+    store.create("events")
     before = store.partitions("events", span)
     hours = write_events(store, events, span) | before
     if hours:
-        refresh_hours(store, hours, settings)
+        refresh_days(store, {day for day, _ in hours}, settings)
     return store
 
 

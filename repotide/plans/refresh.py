@@ -1,8 +1,8 @@
 """Brings all tables up to date for a set of archive hours.
 
 The month backfill and the incremental job both end here, so history and increments give
-the same tables. The JSON text is parsed once, into the events table; everything after that
-reads Parquet. Each table is written once and read back, which keeps lineage short: a lost
+the same tables. The JSON text of an hour is parsed once, into the events table; everything
+after that reads whole days of Parquet, only the columns and types it needs. Each table is written once and read back, which keeps lineage short: a lost
 executor costs the tasks it ran, not the steps before.
 """
 
@@ -14,7 +14,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 
-from repotide.functions.calendar import days_scope, hours_scope
+from repotide.functions.calendar import by_month, days_scope, hours_scope
 from repotide.operators.daily import daily_event_top, daily_user_top
 from repotide.operators.details import repo_detail_rows, scored_repo_details_from_events
 from repotide.operators.hourly import hourly_event_counts, hourly_user_pushes
@@ -38,12 +38,12 @@ class Settings:
 
 
 def refresh_files(store: TableStore, files: Mapping[tuple[date, int], list[str]], settings: Settings) -> None:
-    """Recomputes the hours in ``files`` and their days, replacing what the tables had."""
+    """Reads the hours in ``files`` and recomputes their days, replacing what the tables had."""
     if not files:
         return
     paths = [path for hour in sorted(files) for path in files[hour]]
     write_events(store, canonical_events(read_events(store.spark, paths)), hours_scope(files))
-    refresh_hours(store, set(files), settings)
+    refresh_days(store, {day for day, _ in files}, settings)
 
 
 def write_events(store: TableStore, events: DataFrame, scope: Column) -> set[tuple]:
@@ -52,30 +52,32 @@ def write_events(store: TableStore, events: DataFrame, scope: Column) -> set[tup
     Sorted by type and repository, so that row groups can be skipped and columns pack well.
     """
     ordered = events.sortWithinPartitions("create_date", "hour", "event", "repo_name")
-    return store.replace("events", ordered, scope, cluster=False)
+    return store.replace("events", ordered, scope, gather=False)
 
 
-def refresh_hours(store: TableStore, hours: set[tuple[date, int]], settings: Settings) -> None:
-    """Recomputes hourly tables for ``hours``, then the daily tables of their days."""
-    scope = hours_scope(hours)
+def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None:
+    """Recomputes the hourly and daily tables of whole ``days`` from the events table.
+
+    Month by month, so that what is broadcast has the size of a month however long the span.
+    """
+    for month in by_month(days):
+        _refresh_month(store, month, settings)
+
+
+def _refresh_month(store: TableStore, days: list[date], settings: Settings) -> None:
+    scope = days_scope(days)
     events = store.read("events", scope)
     store.replace("hourly_events", hourly_event_counts(events, settings.minimums), scope)
     store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), scope)
     if settings.hourly_details:
-        details = repo_detail_rows(events, settings.require_language)
-        store.replace("hourly_repo_details", details, scope)
-    refresh_days(store, {day for day, _ in hours}, settings)
-
+        store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), scope)
 
-def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None:
-    """Recomputes the daily tables of whole ``days`` from the hourly tables."""
-    scope = days_scope(days)
     store.replace("daily_events", daily_event_top(store.read("hourly_events", scope), settings.top), scope)
     store.replace("repo_users", daily_user_top(store.read("hourly_users", scope), settings.top), scope)
     store.replace("repo_scores", aggregate_score(store.read("daily_events", scope)), scope)
     details = scored_repo_details_from_events(
         store.read("repo_scores", scope),
-        store.read("events", scope),
+        events,
         settings.require_language,
         score_rows=len(days) * len(settings.minimums) * settings.top,
     )

@@ -79,9 +79,11 @@ def write_landing(events: DataFrame, landing: str, compressed: bool = False) ->
             payload.alias("payload"),
         )
     )
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hour_file = hour_file_name(F.col("create_date"), F.col("hour")).alias("hour_file")
     (
-        events.select(line.alias("value"), hour_file_name(F.col("create_date"), F.col("hour")).alias("hour_file"))
-        .hint("rebalance", "hour_file")
+        events.select(line.alias("value"), hour_file)
+        .repartition(tasks, "hour_file")
         .write.mode("append")
         .partitionBy("hour_file")
         .option("compression", "gzip" if compressed else "none")

@@ -74,7 +74,7 @@ def list_files(spark: SparkSession, landing: str, first: date, last: date) -> Da
     """Files of the hours from ``first`` to ``last``: day, hour, path, delivery and age.
 
     Hours lie in the landing folder itself or in folders named after the day. Only names of the
-    months in question are listed.
+    months in question are listed. Spark skips files of zero bytes, so these count as not delivered.
     """
     months = ",".join(months_between(first, last))
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)

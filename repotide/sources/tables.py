@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,19 +23,33 @@ class TableStore:
         table = self.spark.read.schema(TABLES[name].schema).parquet(self.path(name))
         return table if scope is None else table.where(scope)
 
-    def replace(self, name: str, df: DataFrame, scope: Column, cluster: bool = True) -> set[tuple]:
+    def create(self, name: str) -> None:
+        """An empty table, if there is none yet."""
+        table = TABLES[name]
+        empty = self.spark.createDataFrame([], table.schema)
+        empty.write.mode("ignore").partitionBy(*table.keys).parquet(self.path(name))
+
+    def partitions(self, name: str, scope: Column) -> set[tuple]:
+        """Keys in ``scope`` that have rows now; reads no column, only file footers."""
+        keys = self.read(name, scope).select(*TABLES[name].keys).distinct()
+        return {tuple(row) for row in keys.collect()}
+
+    def replace(self, name: str, df: DataFrame, scope: Column, gather: bool = True) -> set[tuple]:
         """Replaces all partitions in ``scope`` by ``df`` and returns the keys written.
 
         Partitions with rows are overwritten dynamically; those left without rows are then
         overwritten by an empty frame each, which is rare. Doing the same again changes
-        nothing, so a run that was cut short is simply run again. ``cluster`` gathers each
-        partition's rows in few files, and splits large ones.
+        nothing, so a run that was cut short is simply run again.
+
+        ``gather`` brings each partition's rows into few tasks of about the advisory size, so
+        into few files; Spark splits a day that is too large for one task.
         """
         table = TABLES[name]
-        before = self.partitions(name, scope)
         rows = df.select(*table.schema.fieldNames())
-        if cluster:
+        if gather:
             rows = rows.hint("rebalance", *table.keys)
+        self.create(name)
+        before = self.partitions(name, scope)
         seen = Observation()
         (
             rows.observe(seen, F.collect_set(F.struct(*table.keys)).alias("keys"))
@@ -51,13 +64,3 @@ class TableStore:
             empty = self.spark.createDataFrame([], table.columns)
             empty.write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
         return written
-
-    def partitions(self, name: str, scope: Column) -> set[tuple]:
-        """Keys in ``scope`` that have rows now; reads no column, only file footers."""
-        try:
-            keys = self.read(name, scope).select(*TABLES[name].keys).distinct()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return set()
-        return {tuple(row) for row in keys.collect()}
