@@ -24,17 +24,19 @@ def lookup_join(
     are: their lookup rows are broadcast and their rows stay where they are. The other
     keys meet in a shuffle join whose largest key holds 1/``shares`` of the rows.
     The frames are read several times, so they should be stored ones or cheap to compute.
-    ``weight`` names a column of ``lookup`` with the number of rows per key; it is counted
-    from ``rows`` if not given.
+    ``weight`` names a column of ``lookup``, if it has every key of ``rows``, with the number of
+    rows per key; otherwise they are counted.
     """
+    size = "n" if weight is None else weight
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)) if weight is None else lookup
+    total = sizes.select(F.sum(size)).scalar()
+    is_hot = F.col(size) * shares > total
+    hot_keys = F.broadcast(sizes.where(is_hot).select(*keys))
     if weight is None:
-        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        hot_lookup, cold_lookup = (lookup.join(hot_keys, keys, how) for how in ("left_semi", "left_anti"))
     else:
-        sizes = lookup.select(*keys, F.col(weight).alias("n"))
-    total = sizes.select(F.sum("n")).scalar()
-    hot_keys = F.broadcast(sizes.where(F.col("n") * shares > total).select(*keys))
-    hot_lookup = F.broadcast(lookup.join(hot_keys, keys, "left_semi"))
-    hot = rows.join(hot_lookup, keys)
-    cold = rows.join(hot_keys, keys, "left_anti").join(lookup.join(hot_keys, keys, "left_anti"), keys)
-    joined = hot.unionByName(cold)
-    return joined if weight is None else joined.drop(weight)
+        hot_lookup, cold_lookup = lookup.where(is_hot), lookup.where(~is_hot)
+        hot_lookup, cold_lookup = hot_lookup.drop(weight), cold_lookup.drop(weight)
+    hot = rows.join(F.broadcast(hot_lookup), keys)
+    cold = rows.join(hot_keys, keys, "left_anti").join(cold_lookup, keys)
+    return hot.unionByName(cold)

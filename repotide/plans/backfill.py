@@ -39,7 +39,7 @@ def backfill(
     events = canonical_events(read_events(spark, landing), hour_from).where(span)
     store.create("events")
     before = store.partitions("events", span)
-    hours = write_events(store, events, span) | before
+    hours = write_events(store, events, span, by_file=False) | before
     if hours:
         refresh_days(store, {day for day, _ in hours}, settings)
     return store

@@ -14,7 +14,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 
-from repotide.functions.calendar import by_month, days_scope, hours_scope
+from repotide.functions.calendar import Hour, by_month, days_scope, hours_scope
 from repotide.operators.daily import daily_event_top, daily_user_top
 from repotide.operators.details import repo_detail_rows, scored_repo_details_from_events
 from repotide.operators.hourly import hourly_event_counts, hourly_user_pushes
@@ -37,22 +37,23 @@ class Settings:
     hourly_details: bool = False
 
 
-def refresh_files(store: TableStore, files: Mapping[tuple[date, int], list[str]], settings: Settings) -> None:
+def refresh_files(store: TableStore, files: Mapping[Hour, str], settings: Settings) -> None:
     """Reads the hours in ``files`` and recomputes their days, replacing what the tables had."""
     if not files:
         return
-    paths = [path for hour in sorted(files) for path in files[hour]]
+    paths = [files[hour] for hour in sorted(files)]
     write_events(store, canonical_events(read_events(store.spark, paths)), hours_scope(files))
     refresh_days(store, {day for day, _ in files}, settings)
 
 
-def write_events(store: TableStore, events: DataFrame, scope: Column) -> set[tuple]:
-    """Writes the events table without a shuffle: a task reads few files, each of one hour.
+def write_events(store: TableStore, events: DataFrame, scope: Column, by_file: bool = True) -> set[tuple]:
+    """Writes the events table, sorted so that row groups can be skipped and columns pack well.
 
-    Sorted by type and repository, so that row groups can be skipped and columns pack well.
+    ``by_file`` says that a file has one hour only. A task then writes few partitions and no
+    shuffle is needed; otherwise the hours are gathered first.
     """
     ordered = events.sortWithinPartitions("create_date", "hour", "event", "repo_name")
-    return store.replace("events", ordered, scope, gather=False)
+    return store.replace("events", ordered if by_file else events, scope, gather=not by_file)
 
 
 def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None:

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from repotide.functions.naming import hour_file_name
 from repotide.schemas import FORK, PULL_REQUEST, PUSH, WATCH
 
-# The archive type each click-stream type stands for, and the languages.
+CLICKSTREAM_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+# The archive type each click-stream type stands for.
 EVENT_TYPES = {
     "click": PUSH,
     "view": WATCH,
@@ -21,7 +25,6 @@ EVENT_TYPES = {
     "purchase": PULL_REQUEST,
     "error": "IssuesEvent",
 }
-LANGUAGES = ("Python", "Go", "Scala", None)
 
 
 def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None) -> DataFrame:
@@ -29,29 +32,24 @@ def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None)
 
     ``repos`` folds the repositories into that many.
     """
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    k = F.from_json("props", "k bigint")["k"]
-    repo = k if repos is None else k % repos
-    event_id = F.col("event_id")
-    event = F.create_map(*(F.lit(x) for pair in EVENT_TYPES.items() for x in pair))[F.col("event_type")]
-    language = F.array(*(F.lit(x) for x in LANGUAGES))[(event_id % 4).cast("int")]
-    head = F.struct(
-        language.alias("language"),
-        (event_id % 7).alias("open_issues_count"),
-        F.floor("value").alias("forks"),
-        (event_id % 2 == 0).alias("has_wiki"),
-        (event_id % 1000).alias("stars_count"),
-        (event_id % 500).alias("watchers"),
-    )
-    return raw.select(
-        F.to_date("ts").alias("create_date"),
-        F.hour("ts").alias("hour"),
-        event.alias("event"),
-        F.concat(F.lit("repo_"), repo).alias("repo_name"),
-        F.concat(F.lit("user_"), "user_id").alias("user_name"),
-        F.col("ts").cast("timestamp").alias("created_at"),
-        event_id.cast("string").alias("id"),
-        F.when(F.col("event_type") == "purchase", head).alias("head_repo"),
+    raw = spark.read.schema(CLICKSTREAM_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    k = "from_json(props, 'k bigint').k"
+    cases = " ".join(f"when '{theirs}' then '{ours}'" for theirs, ours in EVENT_TYPES.items())
+    return raw.selectExpr(
+        "cast(ts as date) as create_date",
+        "hour(ts) as hour",
+        f"case event_type {cases} end as event",
+        f"concat('repo_', {k if repos is None else f'{k} % {repos}'}) as repo_name",
+        "concat('user_', user_id) as user_name",
+        "cast(ts as timestamp) as created_at",
+        "cast(event_id as string) as id",
+        """if(event_type = 'purchase', named_struct(
+               'language', case event_id % 4 when 0 then 'Python' when 1 then 'Go' when 2 then 'Scala' end,
+               'open_issues_count', event_id % 7,
+               'forks', floor(value),
+               'has_wiki', event_id % 2 = 0,
+               'stars_count', event_id % 1000,
+               'watchers', event_id % 500), null) as head_repo""",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions import naming
@@ -71,7 +71,7 @@ def canonical_events(raw: DataFrame, hour_from: str = "file") -> DataFrame:
 
 
 def list_files(spark: SparkSession, landing: str, first: date, last: date) -> DataFrame:
-    """Files of the hours from ``first`` to ``last``: day, hour, path, delivery and age.
+    """Files of the hours from ``first`` to ``last``: day, hour, delivery and age.
 
     Hours lie in the landing folder itself or in folders named after the day. Only names of the
     months in question are listed. Spark skips files of zero bytes, so these count as not delivered.
@@ -94,29 +94,18 @@ def hours_of_files(files: DataFrame) -> DataFrame:
         naming.path_date(path).alias("create_date"),
         naming.path_hour(path).alias("hour"),
         naming.delivery(path).alias("delivery"),
-        "path",
         "modificationTime",
     )
     return hours.where(F.col("create_date").isNotNull() & (F.col("hour") < 24))
 
 
 def newest_delivery(files: DataFrame) -> DataFrame:
-    """Where an hour was delivered more than once, the files of the newest delivery only."""
-    hour = ["create_date", "hour"]
-    aged = files.withColumn(
-        "delivered", F.max("modificationTime").over(Window.partitionBy(*hour, "delivery"))
-    )
-    newest = F.max(F.struct("delivered", "delivery")).over(Window.partitionBy(*hour))
-    return (
-        aged.withColumn("newest", newest)
-        .where(F.col("delivery") == F.col("newest.delivery"))
-        .drop("newest", "delivered")
-    )
+    """What to read for each hour: where it was delivered more than once, the newest delivery."""
+    newest = F.max(F.struct("modificationTime", "delivery"))["delivery"]
+    return files.groupBy("create_date", "hour").agg(newest.alias("delivery"))
 
 
-def hour_files(spark: SparkSession, landing: str, first: date, last: date) -> dict[Hour, list[str]]:
-    """Paths to read for every hour present. One entry per file, as Spark's own file index has."""
-    hours: dict[Hour, list[str]] = {}
-    for row in newest_delivery(list_files(spark, landing, first, last)).collect():
-        hours.setdefault((row.create_date, row.hour), []).append(row.path)
-    return hours
+def hour_files(spark: SparkSession, landing: str, first: date, last: date) -> dict[Hour, str]:
+    """The path to read for every hour present: one per hour, however many files it has."""
+    rows = newest_delivery(list_files(spark, landing, first, last)).collect()
+    return {(row.create_date, row.hour): row.delivery for row in rows}
