@@ -24,8 +24,9 @@ def backfill(
 ) -> TableStore:
     """Builds all tables for the days ``first`` to ``last``; a repeat replaces them.
 
-    It goes month by month. Hours without a file are left as they are. With ``hour_from="created_at"`` file names mean
-    nothing: the whole landing folder is read and every hour of the span is replaced.
+    It goes month by month. Hours without a file are left as they are. With
+    ``hour_from="created_at"`` file names mean nothing: the whole landing folder is read and every
+    hour of the span is replaced.
     """
     if not landing:
         raise ValueError("landing must name a folder or bucket")
