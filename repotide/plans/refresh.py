@@ -9,9 +9,11 @@ executor costs the tasks it ran, not the steps before.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 
 from repotide.functions.calendar import Hour, by_month, days_scope, hours_scope
@@ -66,20 +68,30 @@ def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None
 
 
 def _refresh_month(store: TableStore, days: list[date], settings: Settings) -> None:
+    """Three independent chains of tables, whose jobs share the cluster."""
     scope = days_scope(days)
     events = store.read("events", scope)
-    store.replace("hourly_events", hourly_event_counts(events, settings.minimums), scope)
-    store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), scope)
-    if settings.hourly_details:
+
+    def event_chain() -> None:
+        store.replace("hourly_events", hourly_event_counts(events, settings.minimums), scope)
+        store.replace("daily_events", daily_event_top(store.read("hourly_events", scope), settings.top), scope)
+        store.replace("repo_scores", aggregate_score(store.read("daily_events", scope)), scope)
+        details = scored_repo_details_from_events(
+            store.read("repo_scores", scope),
+            events,
+            settings.require_language,
+            score_rows=len(days) * len(settings.minimums) * settings.top,
+        )
+        store.replace("repo_details", details, scope)
+
+    def user_chain() -> None:
+        store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), scope)
+        store.replace("repo_users", daily_user_top(store.read("hourly_users", scope), settings.top), scope)
+
+    def all_details() -> None:
         store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), scope)
 
-    store.replace("daily_events", daily_event_top(store.read("hourly_events", scope), settings.top), scope)
-    store.replace("repo_users", daily_user_top(store.read("hourly_users", scope), settings.top), scope)
-    store.replace("repo_scores", aggregate_score(store.read("daily_events", scope)), scope)
-    details = scored_repo_details_from_events(
-        store.read("repo_scores", scope),
-        events,
-        settings.require_language,
-        score_rows=len(days) * len(settings.minimums) * settings.top,
-    )
-    store.replace("repo_details", details, scope)
+    chains = [event_chain, user_chain] + [all_details] * settings.hourly_details
+    with ThreadPoolExecutor(len(chains)) as pool:
+        for chain in [pool.submit(inheritable_thread_target(chain)) for chain in chains]:
+            chain.result()

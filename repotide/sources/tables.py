@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from repotide.schemas import TABLES
 
@@ -26,7 +27,7 @@ class TableStore:
     def create(self, name: str) -> None:
         """An empty table, if there is none yet."""
         table = TABLES[name]
-        empty = self.spark.createDataFrame([], table.schema)
+        empty = self._empty(table.schema)
         empty.write.mode("ignore").partitionBy(*table.keys).parquet(self.path(name))
 
     def partitions(self, name: str, scope: Column) -> set[tuple]:
@@ -61,6 +62,10 @@ class TableStore:
         written = {tuple(key) for key in seen.get["keys"]}
         for key in sorted(before - written):
             folder = "/".join(f"{column}={value}" for column, value in zip(table.keys, key))
-            empty = self.spark.createDataFrame([], table.columns)
+            empty = self._empty(table.schema).drop(*table.keys)
             empty.write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
         return written
+
+    def _empty(self, schema: StructType) -> DataFrame:
+        columns = [F.lit(None).cast(column.dataType).alias(column.name) for column in schema]
+        return self.spark.range(0).where(F.lit(False)).select(*columns)
