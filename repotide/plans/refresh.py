@@ -91,7 +91,8 @@ def _refresh_month(store: TableStore, days: list[date], settings: Settings) -> N
     def all_details() -> None:
         store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), scope)
 
+    in_thread = inheritable_thread_target(store.spark)
     chains = [event_chain, user_chain] + [all_details] * settings.hourly_details
     with ThreadPoolExecutor(len(chains)) as pool:
-        for chain in [pool.submit(inheritable_thread_target(chain)) for chain in chains]:
+        for chain in [pool.submit(in_thread(chain)) for chain in chains]:
             chain.result()
