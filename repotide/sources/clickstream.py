@@ -41,7 +41,7 @@ def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None)
         f"case event_type {cases} end as event",
         f"concat('repo_', {k if repos is None else f'{k} % {repos}'}) as repo_name",
         "concat('user_', user_id) as user_name",
-        "cast(ts as timestamp) as created_at",
+        "cast(concat(cast(ts as string), 'Z') as timestamp) as created_at",  # UTC in any session
         "cast(event_id as string) as id",
         """if(event_type = 'purchase', named_struct(
                'language', case event_id % 4 when 0 then 'Python' when 1 then 'Go' when 2 then 'Scala' end,
