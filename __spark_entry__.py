@@ -266,6 +266,20 @@ QUERIES: dict[str, Query] = {
     "event_time_counts": _event_time,
 }
 
+# The operators of repotide/llm and their pipeline are optional: both may be absent.
+SQL = dict(ORACLE)
+try:
+    import corpus_pipeline
+    from repotide.llm import registry
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "repotide.llm")):
+        raise
+else:
+    QUERIES |= registry.QUERIES | {"pipeline": corpus_pipeline.run}
+    SQL |= registry.ORACLE
+    if corpus_pipeline.ORACLE_SQL:
+        SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """The most popular repositories of the last month."""
@@ -277,4 +291,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return dict(SQL)
