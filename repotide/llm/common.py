@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers find this package where the driver has it, unless they have it installed."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written as Parquet to the shared work folder and read back: its lineage ends there."""
     path = work_dir(df.sparkSession, purpose)
