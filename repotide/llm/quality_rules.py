@@ -41,6 +41,8 @@ CHI_MEDIAN, CUTOFF = 4.351, 60.0
 SPREAD = (0.6, 0.15, 0.35, 1.2, 1.2)
 SIZE = len(SPREAD)
 GROUP = ["g_lang", "g_source"]
+#: Tables of groups are broadcast up to this many rows (about 200 bytes each), else rows are salted.
+BROADCAST_GROUPS, SALTS = 50_000, 64
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -115,23 +117,31 @@ def _vector() -> list[Column]:
     return [F.round(v * UNIT).cast("long").alias(f"x{i}") for i, v in enumerate(values)]
 
 
+def _named(column: str) -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit("null"))
+
+
 def _with_groups(stats: DataFrame, min_rows: int) -> DataFrame:
     """Adds the group by which a document is judged; small groups are pooled."""
-    by_source = stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    stats = stats.withColumn("of_lang", _named("lang")).withColumn("of_source", _named("source"))
+    by_source = stats.groupBy("of_lang", "of_source").agg(F.count(F.lit(1)).alias("n"))
     small = F.col("n") < min_rows
-    pooled = F.sum(F.when(small, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
-    named = by_source.withColumn("pooled", pooled).select(
-        F.col("lang").alias("of_lang"),
-        F.col("source").alias("of_source"),
-        F.when(small & (F.col("pooled") < min_rows), F.lit("all"))
-        .otherwise(F.concat(F.lit("lang "), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null"))))
-        .alias("g_lang"),
-        F.when(small, F.lit("all"))
-        .otherwise(F.concat(F.lit("source "), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))))
-        .alias("g_source"),
+    pooled = F.sum(F.when(small, F.col("n")).otherwise(0)).over(Window.partitionBy("of_lang"))
+    groups = by_source.withColumn("pooled", pooled).select(
+        "of_lang",
+        "of_source",
+        F.when(small & (F.col("pooled") < min_rows), F.lit("all")).otherwise(F.col("of_lang")).alias("g_lang"),
+        F.when(small, F.lit("all")).otherwise(F.col("of_source")).alias("g_source"),
     )
-    same = stats["lang"].eqNullSafe(named["of_lang"]) & stats["source"].eqNullSafe(named["of_source"])
-    return stats.join(named, same).drop("of_lang", "of_source")
+    return _beside(stats, stored(groups, "quality-groups"), ["of_lang", "of_source"]).drop("of_lang", "of_source")
+
+
+def _beside(df: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``df`` joined with a table of one row per group, without gathering a large group's rows in one task."""
+    if groups.count() <= BROADCAST_GROUPS:
+        return df.join(F.broadcast(groups), keys, how)
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("salt", F.floor(F.rand(0) * SALTS).cast("int")).join(salted, [*keys, "salt"], how).drop("salt")
 
 
 def _medians(values: DataFrame) -> DataFrame:
@@ -149,7 +159,7 @@ def _start(vectors: DataFrame) -> DataFrame:
         *GROUP, F.posexplode(F.array(*[F.col(f"x{i}") for i in range(SIZE)])).alias("j", "x")
     )
     centre = stored(_medians(long), "mcd-median").withColumnRenamed("x", "m")
-    spread = _medians(long.join(centre, [*GROUP, "j"]).select(*GROUP, "j", F.abs(F.col("x") - F.col("m")).alias("x")))
+    spread = _medians(_beside(long, centre, [*GROUP, "j"]).select(*GROUP, "j", F.abs(F.col("x") - F.col("m")).alias("x")))
     both = centre.join(spread, [*GROUP, "j"])
     at = [F.max(F.when(F.col("j") == i, F.col("m"))).cast("double").alias(f"m{i}") for i in range(SIZE)]
     deviation = [F.max(F.when(F.col("j") == i, F.col("x"))) * 1.4826 for i in range(SIZE)]
@@ -175,7 +185,7 @@ def _factored(groups: DataFrame) -> DataFrame:
 
 def _distances(vectors: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the squared Mahalanobis distance ``d`` and the bin it falls into."""
-    df = vectors.join(_factored(groups), GROUP, how)
+    df = _beside(vectors, _factored(groups), GROUP, how)
     for i in range(SIZE):
         inner = [F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)]
         df = df.withColumn(f"z{i}", reduce(lambda a, b: a - b, inner, F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"l{i}_{i}"))
@@ -215,14 +225,14 @@ def judge_quality(docs: DataFrame, min_rows: int = MIN_ROWS, cutoff: float = CUT
     ``distance`` is the squared robust distance in chi-square terms, null where the group is too small
     for an estimate.
     """
-    stats = stored(_with_groups(text_statistics(docs), min_rows), "quality-statistics")
+    stats = stored(_with_groups(stored(text_statistics(docs), "quality-counts"), min_rows), "quality-statistics")
     vectors = stored(stats.select(*GROUP, *_vector()), "quality-vectors")
     sizes = vectors.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows)
     groups = stored(_start(vectors).join(sizes, GROUP, "left_semi"), "mcd-start")
     for step in range(steps):
         groups = stored(_concentrated(vectors, groups), f"mcd-step-{step}")
     # the last estimate's own distances, once more, give its median
-    centre = groups.drop("half").join(_concentrated(vectors, groups).select(*GROUP, "half"), GROUP)
+    centre = stored(groups.drop("half").join(_concentrated(vectors, groups).select(*GROUP, "half"), GROUP), "mcd-last")
     judged = _distances(stats.select("*", *_vector()), centre, "left")
     distance = F.col("d") / F.col("half") * CHI_MEDIAN
     kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
