@@ -146,24 +146,24 @@ OP3_SQL = r"""
 WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
 ), lines AS (
-  SELECT doc_id, i - 1 AS at, trim(translate(parts[i], chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS line,
+  SELECT doc_id, i - 1 AS pos, trim(translate(parts[i], chr(9) || chr(11) || chr(12) || chr(13), '    ')) AS line,
     len(regexp_extract_all(parts[i], '[^\x20\x09-\x0D]+')) AS n
   FROM split, unnest(range(1, len(parts) + 1)) AS r(i)
 ), counted AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY at) AS i FROM lines WHERE n > 0
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM lines WHERE n > 0
 ), runs AS (
-  SELECT a.doc_id, a.at, [a.at, b.at] AS ats, a.line || chr(10) || b.line AS run
+  SELECT a.doc_id, a.pos, [a.pos, b.pos] AS spots, a.line || chr(10) || b.line AS run
   FROM counted a JOIN counted b ON a.doc_id = b.doc_id AND b.i = a.i + 1 WHERE a.n + b.n >= 8
   UNION ALL
-  SELECT doc_id, at, [at], line FROM counted WHERE n >= 12
+  SELECT doc_id, pos, [pos], line FROM counted WHERE n >= 12
 ), firsts AS (
-  SELECT run, min((doc_id, at)) AS keeps FROM runs GROUP BY run
+  SELECT run, min((doc_id, pos)) AS keeps FROM runs GROUP BY run
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(ats) AS at FROM runs JOIN firsts USING (run) WHERE (doc_id, at) > keeps
+  SELECT DISTINCT doc_id, unnest(spots) AS pos FROM runs JOIN firsts USING (run) WHERE (doc_id, pos) > keeps
 ), lost AS (
-  SELECT doc_id, list(at) AS ats FROM gone GROUP BY doc_id
+  SELECT doc_id, list(pos) AS spots FROM gone GROUP BY doc_id
 )
-SELECT doc_id, coalesce(len(ats), 0) AS n_removed,
-  sha256(array_to_string(list_filter(parts, lambda x, i: NOT list_contains(coalesce(ats, []), i - 1)), chr(10))) AS kept_sha256
+SELECT doc_id, coalesce(len(spots), 0) AS n_removed,
+  sha256(array_to_string(list_filter(parts, lambda x, i: NOT list_contains(coalesce(spots, []), i - 1)), chr(10))) AS kept_sha256
 FROM split LEFT JOIN lost USING (doc_id)
 """

@@ -95,14 +95,17 @@ def matches(text: Column, pattern: Column) -> Column:
     return let(F.regexp_extract_all(text, pattern, F.lit(0)), of)
 
 
+def _found(text: Column, kind: str) -> Column:
+    passed = F.filter(matches(text, F.lit(PATTERNS[kind])), lambda s: CHECKS[kind](s["value"]))
+    spans = F.when(SIGNS[kind](text), passed).otherwise(F.array().cast(SPAN))
+    return F.transform(
+        spans, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))
+    )
+
+
 def _base(text: Column) -> Column:
     """All base spans with their kind, by kind and start."""
-    found = []
-    for kind in KINDS:
-        spans = F.filter(matches(text, F.lit(PATTERNS[kind])), lambda s, kind=kind: CHECKS[kind](s["value"]))
-        spans = F.when(SIGNS[kind](text), spans).otherwise(F.array().cast(SPAN))
-        found.append(F.transform(spans, lambda s, kind=kind: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))))
-    return F.concat(*found)
+    return F.concat(*[_found(text, kind) for kind in KINDS])
 
 
 def _terms(text: Column) -> Column:
@@ -212,7 +215,11 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> D
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in KINDS]
     base = _text_of(F.col("spans"))
     terms = _text_of(F.coalesce("terms", F.array().cast("array<struct<kind:string,start:int,end:int,certain:boolean>>")))
     every = F.concat_ws(",", *[F.when(x != "", x) for x in (base, terms)])
