@@ -7,9 +7,11 @@ from repotide.llm.pii import op10_pii
 from repotide.llm.quality_rules import op9_quality_rules
 from repotide.llm.sharding import op7_sharding
 from repotide.llm.simhash import op6_simhash_near_dedup
+from repotide.llm.suffix_dedup import op2_suffix_array_dedup
 from repotide.llm.url_filters import op8_url_filters
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_best_fit_packing": op5_best_fit_packing,
