@@ -4,6 +4,7 @@ from repotide.llm.decontamination import op4_benchmark_decontamination
 from repotide.llm.line_dedup import OP3_SQL, op3_line_dedup
 from repotide.llm.packing import op5_best_fit_packing
 from repotide.llm.pii import op10_pii
+from repotide.llm.quality_gam import op1_quality_classifier
 from repotide.llm.quality_rules import op9_quality_rules
 from repotide.llm.sharding import op7_sharding
 from repotide.llm.simhash import op6_simhash_near_dedup
@@ -11,6 +12,7 @@ from repotide.llm.suffix_dedup import op2_suffix_array_dedup
 from repotide.llm.url_filters import op8_url_filters
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
