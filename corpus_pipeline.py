@@ -1,4 +1,8 @@
-"""Documents to packed training sequences: five stages, each of one operator of ``repotide.llm``."""
+"""Documents to packed training sequences: five stages, each of one operator of ``repotide.llm``.
+
+A stage takes what the one before it kept. All but the last return the columns of ``documents``; ``n_chars``
+follows the text.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repotide.llm import quality_rules
+from repotide.llm import decontamination, line_dedup, packing, quality_rules, simhash
 from repotide.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,9 +21,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later runs of repeated lines go; all documents stay, if with less text."""
+    return line_dedup.drop_repeated_lines(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
+    return simhash.keep_first(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequences."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("best_fit_packing", packed),
+]
 
-#: The rules' estimates are found by iteration, which SQL cannot express; tests use brute force.
+#: Estimates and components are found by iteration and ids by a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
 
