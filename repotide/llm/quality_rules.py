@@ -35,11 +35,12 @@ STEPS = 5
 #: Bins per doubling of a squared distance, and their number.
 PER_DOUBLING, BINS = 8, 512
 #: Squared distance at which a document is an outlier, in terms of a chi-square of five degrees: its
-#: median is 4.351, and 60 has a tail of 1.2e-11.
-CHI_MEDIAN, CUTOFF = 4.351, 60.0
+#: median is 4.351, and 30 has a tail of 1.5e-5.
+CHI_MEDIAN, CUTOFF = 4.351, 30.0
 #: Least spread of each statistic: where most documents agree exactly, small differences are no outliers.
 SPREAD = (0.6, 0.15, 0.35, 1.2, 1.2)
 SIZE = len(SPREAD)
+PRODUCTS = [(i, j) for i in range(SIZE) for j in range(i + 1)]
 GROUP = ["g_lang", "g_source"]
 #: Tables of groups are broadcast up to this many rows (about 200 bytes each), else rows are salted.
 BROADCAST_GROUPS, SALTS = 50_000, 64
@@ -168,55 +169,58 @@ def _start(vectors: DataFrame) -> DataFrame:
     return rows.select(
         *GROUP,
         *[f"m{i}" for i in range(SIZE)],
-        *[(F.col(f"d{i}") * F.col(f"d{i}") if i == j else zero).alias(f"s{i}_{j}") for i in range(SIZE) for j in range(i + 1)],
-        F.lit(None).cast("double").alias("half"),
+        *[(F.col(f"d{i}") * F.col(f"d{i}") if i == j else zero).alias(f"s{i}_{j}") for i, j in PRODUCTS],
     )
 
 
 def _factored(groups: DataFrame) -> DataFrame:
     """Cholesky factor of the scatter, widened by the least spreads, in place of the scatter."""
+    done = [c for c in groups.columns if not c.startswith("s")]
     for i in range(SIZE):
         for j in range(i + 1):
             inner = [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
             rest = reduce(lambda a, b: a - b, inner, F.col(f"s{i}_{j}") + (F.lit((SPREAD[i] * UNIT) ** 2) if i == j else 0.0))
             groups = groups.withColumn(f"l{i}_{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}_{j}"))
-    return groups.drop(*[f"s{i}_{j}" for i in range(SIZE) for j in range(i + 1)])
+    return groups.select(*done, *[f"l{i}_{j}" for i, j in PRODUCTS])
 
 
 def _distances(vectors: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
     """Adds the squared Mahalanobis distance ``d`` and the bin it falls into."""
-    df = _beside(vectors, _factored(groups), GROUP, how)
+    df = _beside(vectors, groups, GROUP, how)
     for i in range(SIZE):
         inner = [F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)]
         df = df.withColumn(f"z{i}", reduce(lambda a, b: a - b, inner, F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"l{i}_{i}"))
-    df = df.withColumn("d", reduce(lambda a, b: a + b, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(SIZE)]))
+    distance = reduce(lambda a, b: a + b, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(SIZE)])
     level = F.floor(F.log2(F.col("d") + 1e-3) * PER_DOUBLING) + 10 * PER_DOUBLING
     level = F.least(F.greatest(level, F.lit(0)), F.lit(BINS - 1)).cast("int")
-    return df.withColumn("bin", level)
+    return df.withColumn("d", distance).withColumn("bin", level)
 
 
-def _concentrated(vectors: DataFrame, groups: DataFrame) -> DataFrame:
-    """Location and scatter of the half of each group that is nearest under ``groups``."""
-    pairs = [(i, j) for i in range(SIZE) for j in range(i + 1)]
-    names = ["n", *[f"t{i}" for i in range(SIZE)], *[f"q{i}_{j}" for i, j in pairs]]
+def _nearest_half(vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """Count, sums and edge of the half of each group that is nearest under ``groups``."""
     bins = _distances(vectors, groups).groupBy(*GROUP, "bin").agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(f"x{i}").alias(f"t{i}") for i in range(SIZE)],
-        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}_{j}") for i, j in pairs],
+        *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}_{j}") for i, j in PRODUCTS],
     )
+    names = bins.columns[len(GROUP) + 1 :]
     upto = Window.partitionBy(*GROUP).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     running = bins.select(
         *GROUP, "bin", F.sum("n").over(Window.partitionBy(*GROUP)).alias("rows"), *[F.sum(c).over(upto).alias(c) for c in names]
     )
     half = running.where(2 * F.col("n") >= F.col("rows"))
-    first = half.groupBy(*GROUP).agg(F.min(F.struct("bin", *names)).alias("s")).select(*GROUP, "s.*")
+    edge = F.pow(F.lit(2.0), (F.col("bin") + 1 - 10 * PER_DOUBLING) / PER_DOUBLING) - 1e-3
+    return half.groupBy(*GROUP).agg(F.min(F.struct("bin", *names)).alias("s")).select(*GROUP, "s.*").withColumn("half", edge)
+
+
+def _concentrated(vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """Location and factored scatter of the half of each group that is nearest under ``groups``."""
     mean = [(F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(SIZE)]
     scatter = [
         (F.col(f"q{i}_{j}") / F.col("n") - (F.col(f"t{i}") / F.col("n")) * (F.col(f"t{j}") / F.col("n"))).alias(f"s{i}_{j}")
-        for i, j in pairs
+        for i, j in PRODUCTS
     ]
-    edge = F.pow(F.lit(2.0), (F.col("bin") + 1 - 10 * PER_DOUBLING) / PER_DOUBLING) - 1e-3
-    return first.select(*GROUP, *mean, *scatter, edge.alias("half"))
+    return _factored(_nearest_half(vectors, groups).select(*GROUP, *mean, *scatter))
 
 
 def judge_quality(docs: DataFrame, min_rows: int = MIN_ROWS, cutoff: float = CUTOFF, steps: int = STEPS) -> DataFrame:
@@ -228,13 +232,14 @@ def judge_quality(docs: DataFrame, min_rows: int = MIN_ROWS, cutoff: float = CUT
     stats = stored(_with_groups(stored(text_statistics(docs), "quality-counts"), min_rows), "quality-statistics")
     vectors = stored(stats.select(*GROUP, *_vector()), "quality-vectors")
     sizes = vectors.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows)
-    groups = stored(_start(vectors).join(sizes, GROUP, "left_semi"), "mcd-start")
+    groups = stored(_factored(_start(vectors).join(sizes, GROUP, "left_semi")), "mcd-start")
     for step in range(steps):
         groups = stored(_concentrated(vectors, groups), f"mcd-step-{step}")
     # the last estimate's own distances, once more, give its median
-    centre = stored(groups.drop("half").join(_concentrated(vectors, groups).select(*GROUP, "half"), GROUP), "mcd-last")
+    centre = stored(groups.join(_nearest_half(vectors, groups).select(*GROUP, "half"), GROUP), "mcd-last")
     judged = _distances(stats.select("*", *_vector()), centre, "left")
-    distance = F.col("d") / F.col("half") * CHI_MEDIAN
+    # the nearest half understates the scatter, but the least spreads never do
+    distance = F.col("d") / F.greatest(F.col("half") / CHI_MEDIAN, F.lit(1.0))
     kept = ~F.col("base_failed") & F.coalesce(distance <= cutoff, F.lit(True))
     return judged.select("doc_id", "row_hash", *COUNTS, "base_failed", kept.alias("kept"), distance.alias("distance"))
 
