@@ -20,6 +20,7 @@ empty table gives no rows. Columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,8 +38,10 @@ LENGTH = 2048
 TOKENIZER = "word_bpe_49k.json"
 CLOSING = np.array([0], "<u4").tobytes()
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Words whose ids a Python worker remembers, and the longest of them in bytes.
-WORDS_KEPT, WORD_BYTES = 300_000, 48
+#: Words whose ids a Python worker remembers before it starts anew, and words encoded in one call.
+WORDS_KEPT, WORDS_AT_ONCE = 600_000, 4000
+#: Signs, but for the apostrophe, that end a word after a letter.
+AFTER_LETTERS = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[ \t-\r]|$)")
 
 _encoders: dict[str, Encoder] = {}
 
@@ -46,8 +49,9 @@ _encoders: dict[str, Encoder] = {}
 class Encoder:
     """Token ids as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are those of its
-    words in order, and frequent words are looked up.
+    The tokenizer ignores case, drops white space and never joins what it separates, nor letters with other
+    signs after them. So a text's ids are those of its words in order, and words are looked up. A text with
+    signs that may be a special token's is encoded as it stands.
     """
 
     def __init__(self, path: str):
@@ -60,23 +64,40 @@ class Encoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        texts = [word.decode("utf-8") for word in words]
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return {word: np.array(x.ids, "<u4").tobytes() for word, x in zip(words, found, strict=True)}
-
-    def encode(self, text: str) -> bytes:
-        words = text.encode("utf-8").split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            new = self._encode(list(set(words) - self.known.keys()))
+    def _learn(self, words: list[bytes]) -> None:
+        """Encodes new words, many at a time; a token's place tells its word."""
+        for first in range(0, len(words), WORDS_AT_ONCE):
+            some = [w.decode("utf-8") for w in words[first : first + WORDS_AT_ONCE]]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in some])
+            at = np.array([a for a, _ in found.offsets], np.int64)
+            cuts = np.searchsorted(at, ends)
+            ids = np.array(found.ids, "<u4")
+            for word, a, b in zip(words[first:], [0, *cuts[:-1].tolist()], cuts.tolist(), strict=False):
+                self.known[word] = ids[a:b].tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [AFTER_LETTERS.sub(rb" \1", text.encode("utf-8").lower()).split() for text in texts]
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-            return b"".join(map(self._encode(list(set(words))).__getitem__, words))
-        ids = b"".join([self.known[w] if w in self.known else new[w] for w in words])
-        self.known |= {w: x for w, x in new.items() if len(w) <= WORD_BYTES}
-        return ids
+        self._learn([w for w in set().union(*split) if w not in self.known])
+        look_up = self.known.__getitem__
+        return [self._whole(t) if "<|" in t else b"".join(map(look_up, words)) for t, words in zip(texts, split, strict=True)]
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def portions(texts: list[str], characters: int = 4_000_000) -> Iterator[list[str]]:
+    """The texts in lists of about so many characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= characters:
+            yield held
+            held, size = [], 0
+    yield held
 
 
 def pieces_of(ids: bytes, length: int) -> Iterator[tuple[int, int, int, bytes]]:
@@ -95,10 +116,11 @@ def tokenised(docs: DataFrame, length: int = LENGTH, path: str | None = None, wi
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.at(path)
         for batch in batches:
+            encoded = [ids for texts in portions(batch["text"].tolist()) for ids in encoder.encode(texts)]
             rows = [
                 (doc, piece, start, n, zlib.crc32(ids), *([np.frombuffer(ids, "<u4").astype(np.int32)] if with_ids else []))
-                for doc, text in zip(batch["doc_id"], batch["text"], strict=True)
-                for piece, start, n, ids in pieces_of(encoder.encode(text) + CLOSING, length)
+                for doc, all_ids in zip(batch["doc_id"], encoded, strict=True)
+                for piece, start, n, ids in pieces_of(all_ids + CLOSING, length)
             ]
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
             out["doc_id"] = out["doc_id"].astype("Int64")
