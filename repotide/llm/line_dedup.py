@@ -109,35 +109,36 @@ def repeated_lines(docs: DataFrame, window: int = WINDOW, min_words: int = MIN_W
 
 
 def _marked(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with the places of their lost lines, null where none is lost."""
-    gone = repeated_lines(docs, **settings).select(
-        F.col("doc_id").alias("line_dedup_id"), F.col("row_hash").alias("line_dedup_hash"), F.col("gone").alias("line_dedup_gone")
-    )
-    same = docs["doc_id"].eqNullSafe(gone["line_dedup_id"]) & (row_hash("text") == gone["line_dedup_hash"])
-    return docs.join(gone, same, "left").drop("line_dedup_id", "line_dedup_hash")
+    """The documents as ``row`` with the places ``gone`` of their lost lines, null where none is lost."""
+    lost = repeated_lines(docs, **settings).select(F.col("doc_id").alias("lost_id"), F.col("row_hash").alias("lost_hash"), "gone")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), row_hash("text").alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("lost_id")) & (F.col("own_hash") == F.col("lost_hash"))
+    return rows.join(lost, same, "left").select("row", "gone")
 
 
 def _rest() -> Column:
-    """The text without its lost lines; these are put in a map, so that a line's look-up is not a search."""
-    left = F.array_except(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), F.col("line_dedup_gone"))
-    kept = let(F.split(F.col("text"), "\n"), lambda lines: F.transform(left, lambda i: F.get(lines, i)))
-    return F.when(F.col("line_dedup_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    """The text without its lost lines."""
+    text = F.col("row.text")
+    left = F.array_except(F.sequence(F.lit(0), F.size(F.split(text, "\n")) - 1), F.col("gone"))
+    kept = let(F.split(text, "\n"), lambda lines: F.transform(left, lambda i: F.get(lines, i)))
+    return F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
 def drop_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` without the later runs of repeated lines."""
-    out = _marked(docs, **settings).withColumn("text", _rest())
+    row = F.col("row").withField("text", _rest())
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+        kind = dict(docs.dtypes)["n_chars"]
+        row = row.withField("n_chars", F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.char_length(_rest()).cast(kind)))
+    return _marked(docs, **settings).select(row.alias("row")).select("row.*")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the number of lines that go and a digest of what stays."""
     marked = _marked(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select(
-        "doc_id",
-        F.coalesce(F.size("line_dedup_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        "row.doc_id",
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(F.coalesce(_rest(), F.lit("")), 256).alias("kept_sha256"),
     )
 

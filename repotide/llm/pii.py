@@ -197,20 +197,22 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> D
         F.coalesce("terms", F.array().cast("array<struct<kind:string,start:int,end:int,certain:boolean>>")),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["certain"], "").otherwise("<TERM>").alias("by")),
     )
-    edits = found.select(F.col("doc_id").alias("pii_id"), F.col("row_hash").alias("pii_hash"), F.array_sort(F.concat(words, terms)).alias("pii_edits"))
-    edits = edits.where(F.size("pii_edits") > 0)
-    same = docs["doc_id"].eqNullSafe(edits["pii_id"]) & (row_hash("text") == edits["pii_hash"])
+    edits = found.select(F.col("doc_id").alias("pii_id"), F.col("row_hash").alias("pii_hash"), F.array_sort(F.concat(words, terms)).alias("edits"))
+    edits = edits.where(F.size("edits") > 0)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), row_hash("text").alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("pii_id")) & (F.col("own_hash") == F.col("pii_hash"))
+    text = F.col("row.text")
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(so_far: Column, s: Column) -> Column:
         """A span that overlaps the one before only lengthens it."""
-        new = F.array(F.substring(F.col("text"), so_far["at"] + 1, s["start"] - so_far["at"]), s["by"])
+        new = F.array(F.substring(text, so_far["at"] + 1, s["start"] - so_far["at"]), s["by"])
         parts = F.when(s["start"] >= so_far["at"], F.concat(so_far["parts"], new)).otherwise(so_far["parts"])
         return F.struct(F.greatest(so_far["at"], s["end"]).alias("at"), parts.alias("parts"))
 
-    rest = F.aggregate("pii_edits", zero, step, lambda r: F.concat(F.array_join(r["parts"], ""), F.substring(F.col("text"), r["at"] + 1, F.char_length("text"))))
-    joined = docs.join(edits, same, "left").withColumn("text", F.when(F.col("pii_edits").isNull(), F.col("text")).otherwise(rest))
-    return joined.select(*docs.columns)
+    rest = F.aggregate("edits", zero, step, lambda r: F.concat(F.array_join(r["parts"], ""), F.substring(text, r["at"] + 1, F.char_length(text))))
+    edited = F.when(F.col("edits").isNull(), text).otherwise(rest)
+    return rows.join(edits, same, "left").select(F.col("row").withField("text", edited).alias("row")).select("row.*")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

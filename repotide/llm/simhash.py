@@ -214,10 +214,9 @@ def keep_first(docs: DataFrame, **settings) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fingerprint", "row_hash")).alias("kept")
     )
     chosen = chosen.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.row_hash").alias("kept_hash"))
-    own = docs.withColumn("near_dup_row_hash", row_hash("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("near_dup_row_hash") == F.col("kept_hash"))
-    kept = own.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "near_dup_row_hash"])
-    return kept.drop("near_dup_row_hash")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), row_hash("text").alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["own_id", "own_hash"]).select("row.*")
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
