@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle_queries import ORACLE  # noqa: E402
-from repotide.functions import calendar, naming  # noqa: E402
+from oracle_queries import NAMES, ORACLE  # noqa: E402
+from repotide.functions import calendar, joins, naming  # noqa: E402
 from repotide.operators import daily, details, hourly, scoring  # noqa: E402
 from repotide.plans import serving  # noqa: E402
 from repotide.plans.backfill import backfill  # noqa: E402
@@ -40,6 +40,8 @@ TOP = 20
 SETTINGS = Settings(minimums=ANY, user_minimum=0, top=TOP)
 WITH_DETAILS = replace(SETTINGS, hourly_details=True)
 FEW = 10
+# A day has at most TOP repositories per type.
+SCORE_ROWS = ((LAST - FIRST).days + 1) * len(ANY) * TOP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,12 +154,18 @@ def _stack_hours(events: DataFrame) -> DataFrame:
 
 def _scored_details(events: DataFrame) -> DataFrame:
     scores = scoring.aggregate_score(_daily_top(events))
-    return details.scored_repo_details(scores, details.repo_detail_rows(events))
+    return details.scored_repo_details(scores, details.repo_detail_rows(events), SCORE_ROWS)
+
+
+def _scored_details_by_shuffle(events: DataFrame) -> DataFrame:
+    """No day's repository holds a twentieth of the rows, so all take the shuffled part of the join."""
+    scores = scoring.aggregate_score(_daily_top(events))
+    return joins.lookup_join(details.repo_detail_rows(events), scores, ["create_date", "repo_name"], shares=20)
 
 
 def _scored_details_from_events(events: DataFrame) -> DataFrame:
     scores = scoring.aggregate_score(_daily_top(events))
-    return details.scored_repo_details_from_events(scores, events)
+    return details.scored_repo_details_from_events(scores, events, score_rows=SCORE_ROWS)
 
 
 def _top_users_of_top_repos(tables: serving.TrendTables) -> DataFrame:
@@ -169,6 +177,19 @@ def _backfilled(spark: SparkSession, sf_dir: str, settings: Settings) -> TableSt
     return backfill(spark, _landing(spark, sf_dir), work_dir(spark, "tables"), FIRST, LAST, settings)
 
 
+def _deep_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours lie in folders of folders, odd ones deeper than even ones."""
+    landing, events = work_dir(spark, "landing"), read_clickstream(spark, sf_dir)
+    for odd, folder in ((0, "2024"), (1, "2024/01/odd")):
+        write_landing(events.where(F.col("hour") % 2 == odd), f"{landing}/{folder}", compressed=True)
+    return _stored_counts(backfill(spark, landing, work_dir(spark, "tables"), FIRST, LAST, SETTINGS))
+
+
+def _on_stored(build: Callable[[serving.TrendTables], DataFrame]) -> Query:
+    """A question asked of the stored tables of a backfill."""
+    return lambda spark, sf_dir: _plain(build(serving.TrendTables.stored(_backfilled(spark, sf_dir, SETTINGS))))
+
+
 def _ingested(spark: SparkSession, sf_dir: str, settings: Settings) -> TableStore:
     """The hours arrive in two deliveries, odd hours first; the job runs after each."""
     landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
@@ -220,6 +241,9 @@ QUERIES: dict[str, Query] = {
     "hourly_event_counts": _on_events(lambda e: _hourly(e, TWICE), repos=FEW),
     "hourly_event_counts_by_type": _on_events(lambda e: _hourly(e, STAGGERED), repos=FEW),
     "hourly_user_pushes": _on_events(lambda e: hourly.hourly_user_pushes(e, 0)),
+    "hourly_user_pushes_above": lambda spark, sf_dir: _plain(
+        hourly.hourly_user_pushes(read_clickstream(spark, sf_dir, FEW, FEW), 1)
+    ),
     "daily_event_counts": _on_events(lambda e: daily.daily_event_counts(_hourly(e))),
     "daily_event_top": _on_events(_daily_top),
     "daily_event_top_two_level": _on_events(lambda e: daily.daily_event_top(_hourly(e, TWICE), TOP), repos=FEW),
@@ -240,6 +264,7 @@ QUERIES: dict[str, Query] = {
     ),
     "scored_repo_details": _on_events(_scored_details, "score", *_DETAILS),
     "scored_repo_details_from_events": _on_events(_scored_details_from_events, "score", *_DETAILS),
+    "scored_repo_details_by_shuffle": _on_events(_scored_details_by_shuffle, "score", *_DETAILS),
     **{
         f"top_repos_{metric}_{window}": _on_tables(
             lambda t, metric=metric, window=window: serving.top_repos(t, metric, window, AS_OF)
@@ -252,6 +277,11 @@ QUERIES: dict[str, Query] = {
     "top_users": _on_tables(lambda t: serving.top_users(t, "month", AS_OF)),
     "latest_repo_details": _on_tables(serving.latest_repo_details, *_DETAILS),
     "repo_profile": _on_tables(lambda t: serving.repo_profile(t, "month", AS_OF)),
+    "repo_profile_of": _on_tables(lambda t: serving.repo_profile(t, "month", AS_OF, (name for name in NAMES))),
+    "stored_repo_profile_of": _on_stored(lambda t: serving.repo_profile(t, "month", AS_OF, NAMES)),
+    "stored_top_repos_aggregate_week": _on_stored(lambda t: serving.top_repos(t, serving.AGGREGATE, "week", AS_OF)),
+    "stored_top_repos_push_month": _on_stored(lambda t: serving.top_repos(t, "push", "month", AS_OF)),
+    "stored_repos_over": _on_stored(lambda t: serving.repos_over(t, "push", 2)),
     "profile_text": _on_tables(lambda t: serving.profile_text(serving.repo_profile(t, "month", AS_OF))),
     "repos_over": _on_events(
         lambda e: serving.repos_over(
@@ -261,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "repos_over_score": _on_tables(lambda t: serving.repos_over(t, serving.AGGREGATE, 0.5000001)),
     "backfill_counts": lambda spark, sf_dir: _stored_counts(_backfilled(spark, sf_dir, SETTINGS)),
     "backfill_details": lambda spark, sf_dir: _stored_details(_backfilled(spark, sf_dir, WITH_DETAILS)),
+    "backfill_deep_layout": _deep_layout,
     "incremental_counts": lambda spark, sf_dir: _stored_counts(_ingested(spark, sf_dir, SETTINGS)),
     "incremental_details": lambda spark, sf_dir: _stored_details(_ingested(spark, sf_dir, WITH_DETAILS)),
     "event_time_counts": _event_time,

@@ -13,8 +13,9 @@ ev AS (
            CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'view' THEN 'WatchEvent'
                 WHEN 'signup' THEN 'ForkEvent' WHEN 'purchase' THEN 'PullRequestEvent'
                 WHEN 'error' THEN 'IssuesEvent' END AS event,
-           {repo} AS repo_name,
-           'user_' || CAST(user_id AS VARCHAR) AS user_name,
+           CASE WHEN event_type <> 'purchase' OR event_id % 13 <> 0 THEN {repo} END AS repo_name,
+           'user_' || CAST({user} AS VARCHAR) AS user_name,
+           event_type = 'purchase' AND event_id % 11 <> 0 AS has_head,
            ts,
            event_id,
            CAST(event_id AS VARCHAR) AS id,
@@ -27,8 +28,10 @@ ev AS (
     FROM events)
 """
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
-EV = "WITH " + _EVENTS.format(repo=f"'repo_' || CAST({_K} AS VARCHAR)").strip()
-EV10 = "WITH " + _EVENTS.format(repo=f"'repo_' || CAST({_K} % 10 AS VARCHAR)").strip()
+_FEW = f"'repo_' || CAST({_K} % 10 AS VARCHAR)"
+EV = "WITH " + _EVENTS.format(repo=f"'repo_' || CAST({_K} AS VARCHAR)", user="user_id").strip()
+EV10 = "WITH " + _EVENTS.format(repo=_FEW, user="user_id").strip()
+EV10_10 = "WITH " + _EVENTS.format(repo=_FEW, user="user_id % 10").strip()
 
 _COUNTED = "event IN ('PushEvent', 'WatchEvent', 'ForkEvent')"
 
@@ -82,7 +85,7 @@ scores AS (
 def _details(require_language: bool) -> str:
     condition = "AND language IS NOT NULL" if require_language else ""
     return f"""
-pr AS (SELECT * FROM ev WHERE event = 'PullRequestEvent' {condition}),
+pr AS (SELECT * FROM ev WHERE event = 'PullRequestEvent' AND has_head AND repo_name IS NOT NULL {condition}),
 langs AS (
     SELECT create_date, hour, repo_name,
            coalesce(string_agg(DISTINCT language, ',' ORDER BY language), '') AS languages
@@ -150,6 +153,17 @@ SELECT repo_name, {columns}, 'https://github.com/' || repo_name || '/' AS url
 FROM user_lists FULL OUTER JOIN latest USING (repo_name)"""
 
 
+NAMES = ("repo_1", "repo_2", "repo_42", "repo_none")
+
+
+def _profile_of(ctes: str) -> str:
+    rows = ", ".join(f"('{name}')" for name in NAMES)
+    return f"""{ctes}
+SELECT repo_name, coalesce(users, '') AS users, languages, has_wiki, forks, open_issues_count AS open_issues,
+       stars_count AS stars, watchers, 'https://github.com/' || repo_name || '/' AS url
+FROM (VALUES {rows}) AS names(repo_name) LEFT JOIN user_lists USING (repo_name) LEFT JOIN latest USING (repo_name)"""
+
+
 # Tables of a whole run: everything that counts, one row per stored row.
 STORED_COUNTS = f"""{_with(*SCORE_CHAIN, *USER_CHAIN, TOP_USERS)}
 SELECT 'hourly_events' AS stored_in, {DAY}, hour, event, repo_name, NULL AS user_name,
@@ -176,9 +190,9 @@ ORACLE = {
 SELECT {DAY}, hour, event, repo_name, user_name, id FROM ev""",
     "landing_events": f"""{EV}
 SELECT {DAY}, hour, event, repo_name, user_name, id,
-       CASE WHEN event = 'PullRequestEvent' THEN language END AS language,
-       CASE WHEN event = 'PullRequestEvent' THEN forks END AS forks,
-       event = 'PullRequestEvent' AS has_head_repo
+       CASE WHEN has_head THEN language END AS language,
+       CASE WHEN has_head THEN forks END AS forks,
+       has_head AS has_head_repo
 FROM ev WHERE event <> 'IssuesEvent'""",
     "landing_events_by_created_at": f"""{EV}
 SELECT {DAY}, hour, event, count(*) AS count FROM ev WHERE event <> 'IssuesEvent'
@@ -204,6 +218,8 @@ SELECT {DAY}, hour, event, repo_name, count FROM counts
 WHERE count > CASE event WHEN 'PushEvent' THEN 2 WHEN 'WatchEvent' THEN 1 ELSE 0 END""",
     "hourly_user_pushes": f"""{_with(HOURLY_USERS)}
 SELECT {DAY}, hour, repo_name, user_name, count FROM hourly_users""",
+    "hourly_user_pushes_above": f"""{_with(HOURLY_USERS, events=EV10_10)}
+SELECT {DAY}, hour, repo_name, user_name, count FROM hourly_users WHERE count > 1""",
     "daily_event_counts": f"""{_with(_hourly(0), DAILY)}
 SELECT {DAY}, event, repo_name, count FROM daily""",
     "daily_event_top": f"""{_with(_hourly(0), DAILY, TOP)}
@@ -265,6 +281,19 @@ SELECT repo_name, {DAY}, hour, languages, {FIELDS}, id FROM latest""",
         "CAST(forks AS VARCHAR) AS forks, CAST(open_issues_count AS VARCHAR) AS open_issues, "
         "CAST(stars_count AS VARCHAR) AS stars, CAST(watchers AS VARCHAR) AS watchers"
     ),
+    "scored_repo_details_by_shuffle": f"""{_with(*SCORE_CHAIN, _details(True), SCORED)}
+SELECT {DAY}, hour, repo_name, round(score, 6) AS score, languages, {FIELDS}, id FROM scored""",
+    "repo_profile_of": _profile_of(_with(*USER_CHAIN, _USER_RANKS, _details(True), LATEST)),
+    "stored_repo_profile_of": _profile_of(
+        _with(*SCORE_CHAIN, *USER_CHAIN, TOP_USERS, _USER_RANKS, _details(True), SCORED, LATEST)
+        .replace("FROM daily_users\n    WHERE create_date >=", "FROM top_users\n    WHERE create_date >=")
+        .replace("AS rn\n        FROM details)", "AS rn\n        FROM scored)")
+    ),
+    "stored_top_repos_aggregate_week": _top_repos("aggregate", "2024-01-24"),
+    "stored_top_repos_push_month": _top_repos("push", "2024-01-01"),
+    "stored_repos_over": f"""{_with(_hourly(0), DAILY, TOP)}
+SELECT {DAY}, repo_name, count AS value FROM top WHERE event = 'PushEvent' AND count > 2""",
+    "backfill_deep_layout": STORED_COUNTS,
     "repos_over": f"""{_with(_hourly(0), DAILY)}
 SELECT {DAY}, repo_name, count AS value FROM daily WHERE event = 'PushEvent' AND count > 2""",
     "repos_over_score": f"""{_with(*SCORE_CHAIN)}

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An hour is one file, or a folder of part files as Spark writes it. Group 1 is the
+# An hour is one file, or a folder with part files at any depth. Group 1 is the
 # delivery (file or folder), 2 the day, 3 the hour.
-HOUR_PATH = r"^(.*?(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json(?:\.gz)?)(?:/[^/]*)?$"
-
-
-def hour_path(day: date, hour: int) -> str:
-    """Landing path of an hour."""
-    return f"{day:%Y-%m-%d}/{day:%Y-%m-%d}-{hour}.json"
+HOUR_PATH = r"^(.*?(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json(?:\.gz)?)(?:/.*)?$"
 
 
 def hour_file_name(day: Column, hour: Column) -> Column:

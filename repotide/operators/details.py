@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from repotide.functions.joins import lookup_join, may_broadcast
 from repotide.schemas import DETAIL_FIELDS, PULL_REQUEST
 
+_SALTS = 4
 HOUR_REPO = ["create_date", "hour", "repo_name"]
 
 
@@ -46,13 +47,16 @@ def attach_languages(rows: DataFrame, list_rows: int | None = None) -> DataFrame
     """Every row gets the languages of its hour and repository, in place of its own.
 
     ``list_rows``, if given, must be a proven upper bound of the number of hours times
-    repositories; it decides on broadcasting the lists.
+    repositories; it decides on broadcasting the lists. Else both meet by hour, repository and a salt,
+    each list once per salt: the rows are read twice, and both sides are plain exchanges, so the
+    skew join can split a repository further.
     """
-    lists = repo_languages(rows)
+    lists = repo_languages(rows).drop("n")
     rows = rows.drop("language")
     if may_broadcast(list_rows):
-        return rows.join(F.broadcast(lists.drop("n")), HOUR_REPO)
-    return lookup_join(rows, lists, HOUR_REPO, weight="n")
+        return rows.join(F.broadcast(lists), HOUR_REPO)
+    salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")).join(salted, [*HOUR_REPO, "salt"]).drop("salt")
 
 
 def repo_detail_rows(events: DataFrame, require_language: bool = True) -> DataFrame:
@@ -64,10 +68,10 @@ def scored_repo_details(scores: DataFrame, details: DataFrame, score_rows: int |
     """Detail rows of the scored repositories, with the day's score.
 
     ``score_rows`` is a proven upper bound of the rows of ``scores``, which decides on
-    broadcasting them; they are counted if it is not given.
+    broadcasting them; without one the join is by shuffle.
     """
     keys = ["create_date", "repo_name"]
-    if may_broadcast(scores.count() if score_rows is None else score_rows):
+    if may_broadcast(score_rows):
         return details.join(F.broadcast(scores), keys)
     return lookup_join(details, scores, keys)
 
@@ -80,7 +84,5 @@ def scored_repo_details_from_events(
     A language list depends only on rows of the same day and repository, so rows without a
     score can go before the lists are made, and nearly all rows go there.
     """
-    if score_rows is None:
-        score_rows = scores.count()
     rows = scored_repo_details(scores, pull_request_rows(events, require_language), score_rows)
-    return attach_languages(rows, 24 * score_rows)
+    return attach_languages(rows, None if score_rows is None else 24 * score_rows)

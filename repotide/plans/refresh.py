@@ -54,8 +54,7 @@ def write_events(store: TableStore, events: DataFrame, scope: Column, by_file: b
     ``by_file`` says that a file has one hour only. A task then writes few partitions and no
     shuffle is needed; otherwise the hours are gathered first.
     """
-    ordered = events.sortWithinPartitions("create_date", "hour", "event", "repo_name")
-    return store.replace("events", ordered if by_file else events, scope, gather=not by_file)
+    return store.replace("events", events, scope, gather=not by_file, order=["create_date", "hour", "event", "repo_name"])
 
 
 def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None:

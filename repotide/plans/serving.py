@@ -57,8 +57,18 @@ def since(df: DataFrame, window: str | int, as_of: Day) -> DataFrame:
     return df.where(F.col("create_date") >= window_start(as_of, window))
 
 
+def as_names(repos: Names) -> DataFrame | tuple[str, ...] | None:
+    """Names that can be read more than once. One name as plain text is an error."""
+    if repos is None or isinstance(repos, DataFrame):
+        return repos
+    if isinstance(repos, str):
+        raise TypeError("repos must be several names: a list, a tuple or a DataFrame")
+    return tuple(repos)
+
+
 def of_repos(df: DataFrame, repos: Names) -> DataFrame:
     """Rows of the given repositories, of all if ``repos`` is None."""
+    repos = as_names(repos)
     if repos is None:
         return df
     if isinstance(repos, DataFrame):
@@ -120,6 +130,7 @@ def repo_profile(
     Without ``repos`` every repository with users in the window or with details has a row. A
     given repository always has one; what is unknown of it stays empty or NULL.
     """
+    repos = as_names(repos)
     ranked = F.sort_array(F.collect_list(F.struct("rank", "user_name")))
     users = (
         repo_top_users(tables, window, as_of, k, repos)

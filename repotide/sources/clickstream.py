@@ -27,10 +27,13 @@ EVENT_TYPES = {
 }
 
 
-def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None) -> DataFrame:
+def read_clickstream(
+    spark: SparkSession, sf_dir: str, repos: int | None = None, users: int | None = None
+) -> DataFrame:
     """Events of ``<sf_dir>/events.parquet`` as flat repository events.
 
-    ``repos`` folds the repositories into that many.
+    ``repos`` and ``users`` fold the repositories and users into that many. Every 11th pull request
+    has no head repository and every 13th names no repository, as happens in archives.
     """
     raw = spark.read.schema(CLICKSTREAM_SCHEMA).parquet(f"{sf_dir}/events.parquet")
     k = "from_json(props, 'k bigint').k"
@@ -39,11 +42,12 @@ def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None)
         "cast(ts as date) as create_date",
         "hour(ts) as hour",
         f"case event_type {cases} end as event",
-        f"concat('repo_', {k if repos is None else f'{k} % {repos}'}) as repo_name",
-        "concat('user_', user_id) as user_name",
+        f"""if(event_type = 'purchase' and event_id % 13 = 0, null,
+               concat('repo_', {k if repos is None else f'{k} % {repos}'})) as repo_name""",
+        f"concat('user_', {'user_id' if users is None else f'user_id % {users}'}) as user_name",
         "cast(concat(cast(ts as string), 'Z') as timestamp) as created_at",  # UTC in any session
         "cast(event_id as string) as id",
-        """if(event_type = 'purchase', named_struct(
+        """if(event_type = 'purchase' and event_id % 11 != 0, named_struct(
                'language', case event_id % 4 when 0 then 'Python' when 1 then 'Go' when 2 then 'Scala' end,
                'open_issues_count', event_id % 7,
                'forks', floor(value),
@@ -54,7 +58,10 @@ def read_clickstream(spark: SparkSession, sf_dir: str, repos: int | None = None)
 
 
 def write_landing(events: DataFrame, landing: str, compressed: bool = False) -> None:
-    """Writes flat events as archive JSON, one folder per hour named like the hour's file."""
+    """Writes flat events as archive JSON, one folder per hour named like the hour's file.
+
+    An hour's rows are gathered into few part files; one that is too large for a task is split.
+    """
     head = F.col("head_repo")
     head_json = F.struct(
         head["language"].alias("language"),
@@ -77,11 +84,10 @@ def write_landing(events: DataFrame, landing: str, compressed: bool = False) ->
             payload.alias("payload"),
         )
     )
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hour_file = hour_file_name(F.col("create_date"), F.col("hour")).alias("hour_file")
     (
         events.select(line.alias("value"), hour_file)
-        .repartition(tasks, "hour_file")
+        .hint("rebalance", "hour_file")
         .write.mode("append")
         .partitionBy("hour_file")
         .option("compression", "gzip" if compressed else "none")

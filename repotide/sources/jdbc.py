@@ -44,6 +44,35 @@ def export_jdbc(
     df.write.option("numPartitions", connections).jdbc(url, table, mode, dict(properties or {}))
 
 
+def export_closed_days(store: TableStore, url: str, properties: Mapping[str, str] | None = None) -> None:
+    """Appends the days that are closed and not yet exported, so that no day is there twice.
+
+    A day is closed once a later one has rows. What has gone out is marked by table and day in the
+    table ``exported`` beside the others; a run that fails between a database table and its
+    mark appends that one again.
+    """
+    spark = store.spark
+    daily = store.read("daily_events")
+    newest = daily.agg(F.max("create_date")).scalar()
+    schema = "name string, create_date date"
+    marks = f"{store.root}/exported"
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(marks)
+    for name, rows in exported_frames(store, F.col("create_date") < newest).items():
+        done = spark.read.schema(schema).parquet(marks).where(F.col("name") == name)
+        new_days = rows.select("create_date").distinct().join(done, "create_date", "left_anti")
+        days = sorted(row.create_date for row in new_days.collect())  # at most one per calendar day
+        if days:
+            export_jdbc(rows.where(F.col("create_date").isin(days)), url, name, "append", properties)
+            spark.createDataFrame([(name, day) for day in days], schema).coalesce(1).write.mode("append").parquet(marks)
+
+
+def exported_frames(store: TableStore, scope: Column | None = None) -> dict[str, DataFrame]:
+    """The daily tables, or the days in ``scope``, by their names in the database."""
+    daily = store.read("daily_events", scope).select("event", "repo_name", "count", "create_date")
+    frames = {name: daily.where(F.col("event") == event) for event, name in EXPORTED_EVENT_TABLES.items()}
+    return frames | {name: store.read(table, scope).select(*columns) for table, (name, columns) in EXPORTED_TABLES.items()}
+
+
 def export_tables(
     store: TableStore,
     url: str,
@@ -52,12 +81,8 @@ def export_tables(
     properties: Mapping[str, str] | None = None,
     connections: int = 8,
 ) -> None:
-    """Exports the daily tables, or the days in ``scope``, to the database."""
-    daily = store.read("daily_events", scope).select("event", "repo_name", "count", "create_date")
-    for event, name in EXPORTED_EVENT_TABLES.items():
-        export_jdbc(daily.where(F.col("event") == event), url, name, mode, properties, connections)
-    for table, (name, columns) in EXPORTED_TABLES.items():
-        df = store.read(table, scope).select(*columns)
+    """Exports the daily tables, or the days in ``scope``, to the database, whatever it has of them."""
+    for name, df in exported_frames(store, scope).items():
         export_jdbc(df, url, name, mode, properties, connections)
 
 

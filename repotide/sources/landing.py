@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions import naming
-from repotide.functions.calendar import Hour, months_between, utc_date, utc_hour
+from repotide.functions.calendar import Hour, utc_date, utc_hour
 from repotide.schemas import EVENT_SCHEMA, USED_EVENTS
 
 # Columns of Spark's binaryFile source; the content is never selected, so never read.
 FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+# Spark's default skips files more than a week older than the newest one it has seen.
+NEVER_TOO_OLD = "36500d"
+
 _HEAD = "payload.pull_request.head.repo"
 # Our name and the archive's name of each head repository field.
 HEAD_FIELDS = {
@@ -36,23 +39,28 @@ def read_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return reader.json(paths).select("*", "_metadata.file_path")
 
 
-def stream_events(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """The raw events of a landing folder as a stream."""
+def stream_events(spark: SparkSession, landing: str) -> DataFrame:
+    """The raw events of a landing folder as a stream.
+
+    All files there are one batch, so that the watermark of a run does not move between its files,
+    and none is skipped for its age.
+    """
     reader = spark.readStream.schema(EVENT_SCHEMA).option("recursiveFileLookup", True)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(landing)
+    return reader.option("maxFileAge", NEVER_TOO_OLD).json(landing)
 
 
 def canonical_events(raw: DataFrame, hour_from: str = "file") -> DataFrame:
     """Flat events of the used types, placed in the hour their file is named after.
 
-    With ``hour_from="created_at"`` they go to the UTC hour of the event instead, for
-    landing folders without such names.
+    A file whose name gives no hour is an error, as its rows would be in no table. With
+    ``hour_from="created_at"`` events go to their own UTC hour instead, for landing folders without
+    such names.
     """
     if hour_from == "file":
         path = F.col("file_path")
-        day, hour = naming.path_date(path), naming.path_hour(path)
+        nameless = F.raise_error(F.concat(F.lit("the name gives no hour: "), path))
+        day = F.coalesce(naming.path_date(path), nameless.cast("date"))
+        hour = F.coalesce(naming.path_hour(path), nameless.cast("int"))
     elif hour_from == "created_at":
         day, hour = utc_date(F.col("created_at")), utc_hour(F.col("created_at"))
     else:
@@ -73,13 +81,12 @@ def canonical_events(raw: DataFrame, hour_from: str = "file") -> DataFrame:
 def list_files(spark: SparkSession, landing: str, first: date, last: date) -> DataFrame:
     """Files of the hours from ``first`` to ``last``: day, hour, delivery and age.
 
-    Hours lie in the landing folder itself or in folders named after the day. Only names of the
-    months in question are listed. Spark skips files of zero bytes, so these count as not delivered.
+    Hours may lie at any depth, as what is read later is found at any depth too. Only names are
+    listed. Spark skips files of zero bytes, so these count as not delivered.
     """
-    months = ",".join(months_between(first, last))
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    reader = spark.read.format("binaryFile").schema(FILE_LIST_SCHEMA).option("recursiveFileLookup", True)
     try:
-        files = reader.load(f"{landing.rstrip('/')}/*{{{months}}}*")
+        files = reader.load(landing)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

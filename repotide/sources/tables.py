@@ -35,20 +35,25 @@ class TableStore:
         keys = self.read(name, scope).select(*TABLES[name].keys).distinct()
         return {tuple(row) for row in keys.collect()}
 
-    def replace(self, name: str, df: DataFrame, scope: Column, gather: bool = True) -> set[tuple]:
+    def replace(
+        self, name: str, df: DataFrame, scope: Column, gather: bool = True, order: list[str] | None = None
+    ) -> set[tuple]:
         """Replaces all partitions in ``scope`` by ``df`` and returns the keys written.
 
-        Partitions with rows are overwritten dynamically; those left without rows are then
-        overwritten by an empty frame each, which is rare. Doing the same again changes
-        nothing, so a run that was cut short is simply run again.
+        Partitions with rows are overwritten dynamically; the folders of those left without rows are
+        then removed through the file system, without a job. Doing the same again changes nothing, so
+        a run that was cut short is simply run again.
 
         ``gather`` brings each partition's rows into few tasks of about the advisory size, so
-        into few files; Spark splits a day that is too large for one task.
+        into few files; Spark splits a day that is too large for one task. ``order`` sorts what a
+        task then writes.
         """
         table = TABLES[name]
         rows = df.select(*table.schema.fieldNames())
         if gather:
             rows = rows.hint("rebalance", *table.keys)
+        if order:
+            rows = rows.sortWithinPartitions(*order)
         self.create(name)
         before = self.partitions(name, scope)
         seen = Observation()
@@ -62,10 +67,14 @@ class TableStore:
         written = {tuple(key) for key in seen.get["keys"]}
         for key in sorted(before - written):
             folder = "/".join(f"{column}={value}" for column, value in zip(table.keys, key))
-            empty = self._empty(table.schema).drop(*table.keys)
-            empty.write.mode("overwrite").parquet(f"{self.path(name)}/{folder}")
+            self._remove(f"{self.path(name)}/{folder}")
         return written
 
+    def _remove(self, folder: str) -> None:
+        jvm, session = self.spark._jvm, self.spark._jsparkSession
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
+
     def _empty(self, schema: StructType) -> DataFrame:
         columns = [F.lit(None).cast(column.dataType).alias(column.name) for column in schema]
         return self.spark.range(0).where(F.lit(False)).select(*columns)

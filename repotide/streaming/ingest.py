@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from repotide.plans.refresh import Settings, refresh_files
-from repotide.sources.landing import FILE_LIST_SCHEMA, hour_files, hours_of_files
+from repotide.sources.landing import FILE_LIST_SCHEMA, NEVER_TOO_OLD, hour_files, hours_of_files
 from repotide.sources.tables import TableStore
 
 
@@ -21,7 +21,7 @@ def arriving_files(spark: SparkSession, landing: str, max_files: int | None = No
         .schema(FILE_LIST_SCHEMA)
         .option("recursiveFileLookup", True)
         # never skip a late file for its age; the number of hours bounds the files remembered
-        .option("maxFileAge", "36500d")
+        .option("maxFileAge", NEVER_TOO_OLD)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -38,7 +38,7 @@ def ingest_batch(batch: DataFrame, landing: str, out: str, settings: Settings) -
     present = hour_files(spark, landing, min(days), max(days))
     missing = touched - set(present)
     if missing:
-        raise FileNotFoundError(f"hours not found in, or one folder below, {landing}: {sorted(missing)}")
+        raise FileNotFoundError(f"hours not found below {landing}: {sorted(missing)}")
     refresh_files(TableStore(spark, out), {hour: present[hour] for hour in touched}, settings)
 
 

@@ -12,7 +12,7 @@ from repotide.schemas import TABLES
 from repotide.sources.tables import TableStore
 from repotide.streaming.event_time import run_event_time_counts
 from repotide.streaming.ingest import ingest_available
-from repotide.sources.landing import stream_events
+from repotide.sources.landing import canonical_events, read_events, stream_events
 
 from . import archive
 
@@ -143,10 +143,40 @@ def test_backfill_by_created_at_ignores_names(spark, tmp_path, expected):
     assert store.read("repo_details").count() == 0
 
 
-def test_hours_too_deep_are_reported_not_lost(spark, tmp_path):
-    archive.put_hour(tmp_path / "landing" / "a" / "b", HOURS[2])
-    with pytest.raises(Exception, match="hours not found"):
-        ingest_available(spark, str(tmp_path / "landing"), str(tmp_path / "t"), str(tmp_path / "s"), SETTINGS)
+def test_hours_at_any_depth(spark, tmp_path, expected):
+    landing = tmp_path / "landing"
+    for hour, folder in zip(HOURS, ("", "2019/06", "a/b/c"), strict=True):
+        archive.put_hour(landing / folder, hour)
+    assert contents(backfill(spark, str(landing), str(tmp_path / "t"), FIRST, LAST, SETTINGS)) == expected
+    ingest_available(spark, str(landing), str(tmp_path / "t2"), str(tmp_path / "s"), SETTINGS)
+    assert contents(TableStore(spark, str(tmp_path / "t2"))) == expected
+
+
+def test_part_files_in_folders_of_an_hour(spark, tmp_path, expected):
+    for day, hour in HOURS:
+        rows = archive.lines((day, hour))
+        folder = tmp_path / "landing" / f"{day}-{hour}.json"
+        archive.put(folder, day, hour, rows[::2], flat=True, name="part-0.txt")
+        archive.put(folder / "more" / "still", day, hour, rows[1::2], flat=True, name="part-1.txt")
+    assert contents(backfill(spark, str(tmp_path / "landing"), str(tmp_path / "t"), FIRST, LAST, SETTINGS)) == expected
+    assert not list((tmp_path / "t").glob("**/*HIVE_DEFAULT*"))
+
+
+def test_files_without_an_hour_are_an_error(spark, tmp_path):
+    archive.put(tmp_path, "", 0, archive.lines(HOURS[2]), flat=True, name="dump.json")
+    with pytest.raises(Exception, match="the name gives no hour"):
+        canonical_events(read_events(spark, str(tmp_path))).collect()
+
+
+def test_event_time_stream_takes_files_of_any_age(spark, tmp_path):
+    landing, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
+    archive.put_hour(landing, HOURS[0])
+    run_event_time_counts(stream_events(spark, landing), out, state)
+    late = archive.put_hour(landing, HOURS[2])
+    os.utime(late, (1.5e9, 1.5e9))
+    run_event_time_counts(stream_events(spark, landing), out, state)
+    read = spark.read.json(f"{state}/offsets/*").count()
+    assert read and len(list((tmp_path / "state" / "sources" / "0").glob("[0-9]*"))) == 2
 
 
 def test_backfill_of_an_empty_month_and_without_landing(spark, tmp_path):

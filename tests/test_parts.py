@@ -14,9 +14,9 @@ from repotide.functions.ranking import with_rank
 from repotide.operators import daily, details, hourly, scoring
 from repotide.plans import serving
 from repotide.plans.backfill import backfill_month
-from repotide.schemas import USED_EVENTS
+from repotide.schemas import TABLES, USED_EVENTS
 from repotide.session import work_dir
-from repotide.sources.jdbc import export_jdbc, export_tables, read_jdbc
+from repotide.sources.jdbc import export_closed_days, export_jdbc, export_tables, read_jdbc
 from repotide.sources.landing import canonical_events, read_events
 
 from . import archive
@@ -95,8 +95,8 @@ def test_plans_prune_partitions_columns_and_json(spark, tmp_path):
     users = plan_of(hourly.hourly_user_pushes(store.read("events")))
     assert users.split("ReadSchema: ")[1].startswith("struct<event:string,repo_name:string,user_name:string>")
 
-    scores = plan_of(scoring.aggregate_score(store.read("daily_events")))
-    assert "BroadcastHashJoin" in scores and "SortMergeJoin" not in scores
+    scores = scoring.aggregate_score(store.read("daily_events"))._jdf.queryExecution().executedPlan().toString()
+    assert scores.count("FileScan parquet") == 1 and "Join" not in scores
 
 
 def test_windows(spark):
@@ -140,18 +140,18 @@ def test_hours_scope(spark):
 
 
 def test_hour_names(spark):
-    assert naming.hour_path(date(2019, 6, 5), 4) == "2019-06-05/2019-06-05-4.json"
     paths = [
         ("s3a://b/2019-06-27/2019-06-27-5.json", "2019-06-27", 5),
         ("file:/l/2019-06-27-23.json.gz", "2019-06-27", 23),
         ("file:/l/hour_file=2019-06-27-0.json/part-0.txt.gz", "2019-06-27", 0),
         ("file:/2018-01-01-3.json/2019-06-27-4.json", "2018-01-01", 3),
+        ("file:/2019-06-27-5.json/a/b.json", "2019-06-27", 5),
     ]
     frame = spark.createDataFrame([(p,) for p, _, _ in paths], "path string")
     path = F.col("path")
     parsed = frame.select("path", naming.path_date(path).cast("string"), naming.path_hour(path)).collect()
     assert [tuple(r) for r in parsed] == paths
-    others = [("file:/l/2019-06-27-5.json.tmp",), ("file:/l/notes.json",), ("file:/2019-06-27-5.json/a/b.json",)]
+    others = [("file:/l/2019-06-27-5.json.tmp",), ("file:/l/notes.json",), ("file:/2019-06-27-5.jsonl/b.json",)]
     frame = spark.createDataFrame(others, "path string")
     assert frame.where(naming.is_hour_path(path)).count() == 0
 
@@ -205,6 +205,56 @@ def test_export_gives_spark_the_tables_readers_expect(spark, tmp_path, monkeypat
     assert written["one"][4] == 3
 
 
+def test_closed_days_go_out_once(spark, tmp_path, monkeypatch):
+    archive.put_all(tmp_path / "landing")
+    store = backfill_month(spark, str(tmp_path / "landing"), str(tmp_path / "t"), "2019", "06")
+    written = []
+
+    def jdbc(writer, url, table, mode=None, properties=None):
+        days = sorted({str(r.create_date) for r in writer._df.select("create_date").collect()})
+        written.append((table, mode, days))
+
+    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
+    for _ in range(2):
+        export_closed_days(store, "jdbc:some:db")
+    assert sorted(written)[:2] == [("AggregateEvent_table", "append", ["2019-06-27"]), ("ForkEvent_table", "append", ["2019-06-27"])]
+    assert len({table for table, _, _ in written}) == len(written) == 6  # the second run finds nothing new
+    newer = store.read("daily_events").where("create_date = '2019-06-28'").withColumn("create_date", F.lit("2019-06-29").cast("date"))
+    store.replace("daily_events", newer, F.col("create_date") == "2019-06-29")
+    written.clear()
+    export_closed_days(store, "jdbc:some:db")
+    assert {tuple(days) for _, _, days in written} == {("2019-06-28",)}
+
+
+def test_names_are_read_once_and_plain_text_is_an_error(spark):
+    users = spark.createDataFrame([("a", "u", 1, date(2019, 6, 27))], "repo_name string, user_name string, count long, create_date date")
+    details = spark.createDataFrame([], TABLES["repo_details"].schema)
+    tables = serving.TrendTables(users, users, users, details)
+    profile = [
+        sorted(r.repo_name for r in serving.repo_profile(tables, "month", "2019-06-30", names).collect())
+        for names in ((n for n in ("a", "b")), ["a", "b"], spark.createDataFrame([("a",), ("b",)], "repo_name string"))
+    ]
+    assert profile == [["a", "b"]] * 3
+    with pytest.raises(TypeError):
+        serving.repo_profile(tables, "month", "2019-06-30", "ab")
+
+
+def test_details_read_the_events_twice_and_build_without_a_job(spark, tmp_path):
+    spark.range(10).selectExpr(
+        "date'2019-06-27' as create_date", "1 as hour", "'PullRequestEvent' as event", "'r' as repo_name", "'u' as user_name",
+        "timestamp'2019-06-27 01:00:00' as created_at", "cast(id as string) as id",
+        "named_struct('language', 'Go', 'open_issues_count', id, 'forks', id, 'has_wiki', true, 'stars_count', id, 'watchers', id) as head_repo",
+    ).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    spark.sparkContext.setJobGroup("build", "build")
+    frame = details.repo_detail_rows(events)
+    scored = details.scored_repo_details_from_events(frame.selectExpr("create_date", "repo_name", "1.0D as score").distinct(), events)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert frame.count() == 10 and scored.count() == 10
+
+
 def test_read_jdbc_arguments(spark, monkeypatch):
     seen = {}
 
