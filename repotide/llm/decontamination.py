@@ -12,7 +12,8 @@ with more placeholders than words are not looked up, as any list of numbers woul
 than a window are one window; items under ``SHORTEST`` words are not searched for, as they say too little.
 
 The benchmark's window hashes are broadcast if they are at most ``BROADCAST_ROWS``, else joined by
-shuffle. Documents' windows are never stored or shuffled before this join; only matching ones go on.
+shuffle. Matching windows alone are stored, with their placeholders' values, and no text is moved; the
+documents to drop are broadcast under the same bound.
 
 Defined results: null and empty texts match nothing, whether of documents or items; repeated rows get equal
 results; an item found several times in a document is one row; empty tables give no rows. Columns other
@@ -21,6 +22,8 @@ than doc_id, text and item_id are not read; ``drop_contaminated`` keeps all colu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,14 +62,29 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
 
 
+def _slots(words: Column) -> Column:
+    return F.filter(words, _is_slot)
+
+
 def _windows(words: Column, length: int) -> Column:
-    """Hash and start of each window of ``length`` words."""
+    """Hash, start and placeholders (null where the text has none) of each window of ``length`` words."""
 
-    def of(hashes: Column) -> Column:
+    def of(both: Column) -> Column:
+        hashes = both["hashes"]
         starts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (length - 1), F.lit(0)))
-        return F.transform(starts, lambda _, i: F.xxhash64(F.slice(hashes, i + 1, F.lit(length))))
+        return F.transform(
+            starts,
+            lambda _, i: F.struct(
+                F.xxhash64(F.slice(hashes, i + 1, F.lit(length))).alias("found"),
+                i.alias("at"),
+                F.when(both["any"], _slots(F.slice(both["words"], i + 1, F.lit(length)))).alias("slots"),
+            ),
+        )
 
-    return let(_hashes(words), of)
+    def with_hashes(w: Column) -> Column:
+        return F.struct(w.alias("words"), _hashes(w).alias("hashes"), F.exists(w, _is_slot).alias("any"))
+
+    return let(let(words, with_hashes), of)
 
 
 def _items(benchmark: DataFrame, window: int) -> DataFrame:
@@ -77,7 +95,7 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
     )
     part = F.slice("words", F.col("start") + 1, F.col("length"))
     slots = F.size(F.filter(part, _is_slot))
-    return items.where(2 * slots <= F.col("length")).select("item_id", "length", "start", F.xxhash64(_hashes(part)).alias("hash"), part.alias("item_part"))
+    return items.where(2 * slots <= F.col("length")).select("item_id", "length", "start", F.xxhash64(_hashes(part)).alias("hash"), _slots(part).alias("item_slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -87,33 +105,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     keys = items.select(F.col("hash").alias("sought")).distinct()
     if items.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    own = docs.select("doc_id", row_hash("text").alias("row_hash"), "text")
-    words = own.select("doc_id", "row_hash", template(F.col("text")).alias("words"))
+    words = docs.select("doc_id", row_hash("text").alias("row_hash"), template(F.col("text")).alias("words"))
     windows = [
-        words.select("doc_id", "row_hash", F.lit(n).alias("length"), F.posexplode(_windows(F.col("words"), n)).alias("at", "found"))
+        words.select("doc_id", "row_hash", F.lit(n).alias("length"), F.explode(_windows(F.col("words"), n)).alias("w"))
         for n in lengths or [window]
     ]
-    hits = windows[0]
-    for more in windows[1:]:
-        hits = hits.union(more)
+    hits = reduce(DataFrame.union, windows).select("doc_id", "row_hash", "length", "w.*")
     hits = stored(hits.join(keys, F.col("found") == F.col("sought"), "left_semi"), "benchmark-hits")
-    # the values are read again from the few documents with a hit
-    some = hits.select(F.col("doc_id").alias("hit_id"), F.col("row_hash").alias("hit_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("row_hash") == F.col("hit_hash"))
-    texts = own.join(some, same, "left_semi").dropDuplicates(["doc_id", "row_hash"]).select(
-        F.col("doc_id").alias("text_id"), F.col("row_hash").alias("text_hash"), template(F.col("text")).alias("words")
-    )
     parts = items.withColumnRenamed("length", "item_length")
-    hits = hits.distinct().join(parts, (F.col("found") == F.col("hash")) & (F.col("length") == F.col("item_length")))
-    same = F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("row_hash") == F.col("text_hash"))
-    part = F.slice("words", F.col("at") + 1, F.col("length"))
-    pairs = hits.join(texts, same).select(
-        "doc_id",
-        "row_hash",
-        "item_id",
-        (F.col("at") - F.col("start")).alias("shift"),
-        "start",
-        F.filter(F.arrays_zip(F.col("item_part").alias("item"), part.alias("doc")), lambda p: _is_slot(p["item"])).alias("slots"),
+    both = (F.col("found") == F.col("hash")) & (F.col("length") == F.col("item_length"))
+    # equal templates have their placeholders in the same places, so these pair up in order
+    values = F.arrays_zip(F.col("item_slots").alias("item"), F.coalesce("slots", F.array().cast("array<string>")).alias("doc"))
+    pairs = hits.join(parts, both).select(
+        "doc_id", "row_hash", "item_id", (F.col("at") - F.col("start")).alias("shift"), "start", values.alias("slots")
     )
     aligned = pairs.groupBy("doc_id", "row_hash", "item_id", "shift").agg(
         F.count_distinct("start").alias("n_windows"),
@@ -130,7 +134,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    bad = contaminated(docs, benchmark, window).select(F.col("doc_id").alias("leak_id"), F.col("row_hash").alias("leak_hash")).distinct()
+    bad = contaminated(docs, benchmark, window).select(F.col("doc_id").alias("leak_id"), F.col("row_hash").alias("leak_hash"))
+    bad = stored(bad.distinct(), "contaminated")
+    if bad.count() <= BROADCAST_ROWS:
+        bad = F.broadcast(bad)
     same = docs["doc_id"].eqNullSafe(bad["leak_id"]) & (row_hash("text") == bad["leak_hash"])
     return docs.join(bad, same, "left_anti")
 
