@@ -13,8 +13,9 @@ An estimate needs ``SUPPORT`` different surroundings, so that copies of one text
 stand beside a value once, tell nothing.
 
 Positions are found by the lengths of the parts between matches. The patterns run in linear time and without
-recursion on any text. Only documents with a value take part in joins with terms; all documents' words
-are counted once, for candidate terms only.
+recursion on any text. Only documents with a value take part in joins with terms, and each meets the disclosing
+terms among its own words, so an entity in a third of all documents is no product of documents and terms; all
+documents' words are counted once, for candidate terms only.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results and count as
 one document; an empty table gives no rows. Columns other than doc_id and text are not read by ``find_pii``;
@@ -23,6 +24,8 @@ one document; an empty table gives no rows. Columns other than doc_id and text a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +51,7 @@ SIGNS = {
 }
 TERM = "term"
 AROUND, SUPPORT, SHARE = 100, 3, 0.8
-#: Candidate terms are broadcast up to this number, else joined by shuffle.
+#: Candidate and disclosing terms are broadcast up to this number, else joined by shuffle.
 BROADCAST_ROWS = 100_000
 NOT_WORD = "[^\\p{L}\\p{N}]+"
 SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -167,8 +170,18 @@ def find_pii(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> D
     based = based.select("doc_id", "row_hash", "spans", F.when(F.size("spans") > 0, _surroundings(F.col("text"), F.col("spans"))).alias("near"))
     based = stored(based, "pii-base")
     told = stored(disclosing_terms(docs, based, support, share), "pii-terms")
-    named = based.where(F.size("spans") > 0).select("doc_id", "row_hash", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("entity"))
-    lists = named.distinct().join(told, "entity").groupBy(F.col("doc_id").alias("term_id"), F.col("row_hash").alias("term_hash")).agg(
+    # a document meets the terms that it has itself, never all terms of its entities
+    named = based.where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("named_id"),
+        F.col("row_hash").alias("named_hash"),
+        F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("named"),
+    ).distinct()
+    if told.count() <= BROADCAST_ROWS:
+        told = F.broadcast(told)
+    hinted = reduce(lambda a, b: a | b, [SIGNS[kind](F.col("text")) for kind in KINDS])
+    words = own.where(hinted).select("doc_id", "row_hash", F.explode(_terms(F.col("text"))).alias("word"))
+    its = F.col("doc_id").eqNullSafe(F.col("named_id")) & (F.col("row_hash") == F.col("named_hash")) & (F.col("entity") == F.col("named"))
+    lists = words.join(told, F.col("word") == F.col("term")).join(named, its).groupBy(F.col("doc_id").alias("term_id"), F.col("row_hash").alias("term_hash")).agg(
         F.collect_set("term").alias("found"), F.collect_set(F.when(F.col("certain"), F.col("term"))).alias("certain")
     )
     lists = stored(lists, "pii-term-lists")

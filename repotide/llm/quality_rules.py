@@ -125,10 +125,10 @@ def _named(column: str) -> Column:
 def _with_groups(stats: DataFrame, min_rows: int) -> DataFrame:
     """Adds the group by which a document is judged; small groups are pooled."""
     stats = stats.withColumn("of_lang", _named("lang")).withColumn("of_source", _named("source"))
-    by_source = stats.groupBy("of_lang", "of_source").agg(F.count(F.lit(1)).alias("n"))
+    by_source = stored(stats.groupBy("of_lang", "of_source").agg(F.count(F.lit(1)).alias("n")), "quality-sources")
     small = F.col("n") < min_rows
-    pooled = F.sum(F.when(small, F.col("n")).otherwise(0)).over(Window.partitionBy("of_lang"))
-    groups = by_source.withColumn("pooled", pooled).select(
+    pooled = stored(by_source.where(small).groupBy("of_lang").agg(F.sum("n").alias("pooled")), "quality-pools")
+    groups = _beside(by_source, pooled, ["of_lang"], "left").select(
         "of_lang",
         "of_source",
         F.when(small & (F.col("pooled") < min_rows), F.lit("all")).otherwise(F.col("of_lang")).alias("g_lang"),
