@@ -2,13 +2,15 @@
 
 The month backfill and the incremental job both end here, so history and increments give
 the same tables. The JSON text of an hour is parsed once, into the events table; everything
-after that reads whole days of Parquet, only the columns and types it needs. Each table is written once and read back, which keeps lineage short: a lost
-executor costs the tasks it ran, not the steps before.
+after that reads Parquet, only the columns and types it needs: hourly tables are recomputed for the new
+hours alone, daily ones from the hourly tables of their days. Only the folders of these days are listed. Each
+table is written once and read back, which keeps lineage short: a lost executor costs the tasks it ran, not
+the steps before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -40,55 +42,69 @@ class Settings:
 
 
 def refresh_files(store: TableStore, files: Mapping[Hour, str], settings: Settings) -> None:
-    """Reads the hours in ``files`` and recomputes their days, replacing what the tables had."""
-    if not files:
-        return
-    paths = [files[hour] for hour in sorted(files)]
-    write_events(store, canonical_events(read_events(store.spark, paths)), hours_scope(files))
-    refresh_days(store, {day for day, _ in files}, settings)
+    """Reads the hours in ``files``, month by month, and replaces what the tables had of them and their days."""
+    for hours in _months(files):
+        paths = [files[hour] for hour in sorted(hours)]
+        days = {day for day, _ in hours}
+        write_events(store, canonical_events(read_events(store.spark, paths)), hours_scope(hours), days=days)
+        _refresh_month(store, hours, settings)
 
 
-def write_events(store: TableStore, events: DataFrame, scope: Column, by_file: bool = True) -> set[tuple]:
+def write_events(
+    store: TableStore, events: DataFrame, scope: Column, by_file: bool = True, days: set[date] | None = None
+) -> set[tuple]:
     """Writes the events table, sorted so that row groups can be skipped and columns pack well.
 
     ``by_file`` says that a file has one hour only. A task then writes few partitions and no
     shuffle is needed; otherwise the hours are gathered first.
     """
-    return store.replace("events", events, scope, gather=not by_file, order=["create_date", "hour", "event", "repo_name"])
+    order = ["create_date", "hour", "event", "repo_name"]
+    return store.replace("events", events, scope, gather=not by_file, order=order, days=days)
 
 
-def refresh_days(store: TableStore, days: set[date], settings: Settings) -> None:
-    """Recomputes the hourly and daily tables of whole ``days`` from the events table.
+def refresh_hours(store: TableStore, hours: set[Hour], settings: Settings) -> None:
+    """Recomputes the hourly tables of ``hours`` and the daily ones of their days from the events table.
 
     Month by month, so that what is broadcast has the size of a month however long the span.
     """
-    for month in by_month(days):
+    for month in _months(hours):
         _refresh_month(store, month, settings)
 
 
-def _refresh_month(store: TableStore, days: list[date], settings: Settings) -> None:
+def _months(hours: Collection[Hour]) -> Iterator[set[Hour]]:
+    for days in by_month({day for day, _ in hours}):
+        month = set(days)
+        yield {hour for hour in hours if hour[0] in month}
+
+
+def _refresh_month(store: TableStore, hours: set[Hour], settings: Settings) -> None:
     """Three independent chains of tables, whose jobs share the cluster."""
-    scope = days_scope(days)
-    events = store.read("events", scope)
+    days = {day for day, _ in hours}
+    new, whole = hours_scope(hours), days_scope(days)
+    events = store.read("events", new, days)
+
+    def day_tables(name: str) -> DataFrame:
+        return store.read(name, whole, days)
 
     def event_chain() -> None:
-        store.replace("hourly_events", hourly_event_counts(events, settings.minimums), scope)
-        store.replace("daily_events", daily_event_top(store.read("hourly_events", scope), settings.top), scope)
-        store.replace("repo_scores", aggregate_score(store.read("daily_events", scope)), scope)
+        store.replace("hourly_events", hourly_event_counts(events, settings.minimums), new, days=days)
+        store.replace("daily_events", daily_event_top(day_tables("hourly_events"), settings.top), whole, days=days)
+        store.replace("repo_scores", aggregate_score(day_tables("daily_events")), whole, days=days)
+        # a new hour changes the day's scores, so all of the day's details are looked up again
         details = scored_repo_details_from_events(
-            store.read("repo_scores", scope),
-            events,
+            day_tables("repo_scores"),
+            day_tables("events"),
             settings.require_language,
             score_rows=len(days) * len(settings.minimums) * settings.top,
         )
-        store.replace("repo_details", details, scope)
+        store.replace("repo_details", details, whole, days=days)
 
     def user_chain() -> None:
-        store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), scope)
-        store.replace("repo_users", daily_user_top(store.read("hourly_users", scope), settings.top), scope)
+        store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), new, days=days)
+        store.replace("repo_users", daily_user_top(day_tables("hourly_users"), settings.top), whole, days=days)
 
     def all_details() -> None:
-        store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), scope)
+        store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), new, days=days)
 
     in_thread = inheritable_thread_target(store.spark)
     chains = [event_chain, user_chain] + [all_details] * settings.hourly_details

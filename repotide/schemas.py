@@ -63,8 +63,8 @@ class Table:
         return T.StructType.fromDDL(self.partitions).fieldNames()
 
 
-# Only the events come by the hour. An hour's counts are a few rows, so those tables keep whole
-# days per partition: a file an hour would be mostly overhead.
+# What is computed hour by hour is kept by the hour, so that a new hour replaces its own partition
+# and no other; what is computed of a day is kept by the day.
 _BY_HOUR = "create_date date, hour int"
 _BY_DAY = "create_date date"
 
@@ -76,9 +76,9 @@ TABLES = {
             f"event string, repo_name string, user_name string, created_at timestamp, id string, head_repo {HEAD_REPO}",
             _BY_HOUR,
         ),
-        Table("hourly_events", "hour int, event string, repo_name string, count bigint", _BY_DAY),
-        Table("hourly_users", "hour int, repo_name string, user_name string, count bigint", _BY_DAY),
-        Table("hourly_repo_details", f"hour int, repo_name string, {_DETAIL_DDL}", _BY_DAY),
+        Table("hourly_events", "event string, repo_name string, count bigint", _BY_HOUR),
+        Table("hourly_users", "repo_name string, user_name string, count bigint", _BY_HOUR),
+        Table("hourly_repo_details", f"repo_name string, {_DETAIL_DDL}", _BY_HOUR),
         Table("daily_events", "event string, repo_name string, count bigint", _BY_DAY),
         Table("repo_users", "repo_name string, user_name string, count bigint", _BY_DAY),
         Table("repo_scores", "repo_name string, score double", _BY_DAY),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,9 +22,19 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, scope: Column | None = None) -> DataFrame:
-        """A table, or the partitions of it that ``scope`` selects."""
-        table = self.spark.read.schema(TABLES[name].schema).parquet(self.path(name))
+    def read(self, name: str, scope: Column | None = None, days: Iterable[date] | None = None) -> DataFrame:
+        """A table, or the partitions of it that ``scope`` selects.
+
+        With ``days``, to which ``scope`` must be confined, only the folders of these are listed, however
+        many days the table has.
+        """
+        reader, schema = self.spark.read, TABLES[name].schema
+        if days is None:
+            table = reader.schema(schema).parquet(self.path(name))
+        else:
+            folders = self._folders(name, days)
+            reader = reader.schema(schema).option("basePath", self.path(name))
+            table = reader.parquet(*folders) if folders else self._empty(schema)
         return table if scope is None else table.where(scope)
 
     def create(self, name: str) -> None:
@@ -30,13 +43,19 @@ class TableStore:
         empty = self._empty(table.schema)
         empty.write.mode("ignore").partitionBy(*table.keys).parquet(self.path(name))
 
-    def partitions(self, name: str, scope: Column) -> set[tuple]:
+    def partitions(self, name: str, scope: Column, days: Iterable[date] | None = None) -> set[tuple]:
         """Keys in ``scope`` that have rows now; reads no column, only file footers."""
-        keys = self.read(name, scope).select(*TABLES[name].keys).distinct()
+        keys = self.read(name, scope, days).select(*TABLES[name].keys).distinct()
         return {tuple(row) for row in keys.collect()}
 
     def replace(
-        self, name: str, df: DataFrame, scope: Column, gather: bool = True, order: list[str] | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        scope: Column,
+        gather: bool = True,
+        order: list[str] | None = None,
+        days: Iterable[date] | None = None,
     ) -> set[tuple]:
         """Replaces all partitions in ``scope`` by ``df`` and returns the keys written.
 
@@ -46,7 +65,7 @@ class TableStore:
 
         ``gather`` brings each partition's rows into few tasks of about the advisory size, so
         into few files; Spark splits a day that is too large for one task. ``order`` sorts what a
-        task then writes.
+        task then writes. ``days`` are those of ``scope``, as in ``read``.
         """
         table = TABLES[name]
         rows = df.select(*table.schema.fieldNames())
@@ -55,7 +74,7 @@ class TableStore:
         if order:
             rows = rows.sortWithinPartitions(*order)
         self.create(name)
-        before = self.partitions(name, scope)
+        before = self.partitions(name, scope, days)
         seen = Observation()
         (
             rows.observe(seen, F.collect_set(F.struct(*table.keys)).alias("keys"))
@@ -71,9 +90,19 @@ class TableStore:
         return written
 
     def _remove(self, folder: str) -> None:
+        files, path = self._located(folder)
+        files.delete(path, True)
+
+    def _folders(self, name: str, days: Iterable[date]) -> list[str]:
+        """The folders of those days that the table has."""
+        folders = [f"{self.path(name)}/create_date={day}" for day in sorted(set(days))]
+        return [folder for folder in folders if (at := self._located(folder))[0].exists(at[1])]
+
+    def _located(self, folder: str) -> tuple:
+        """The file system of a folder and its path there."""
         jvm, session = self.spark._jvm, self.spark._jsparkSession
         path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
+        return path.getFileSystem(session.sessionState().newHadoopConf()), path
 
     def _empty(self, schema: StructType) -> DataFrame:
         columns = [F.lit(None).cast(column.dataType).alias(column.name) for column in schema]

@@ -6,13 +6,14 @@ from datetime import date
 
 import pytest
 
+from repotide.functions.calendar import hours_scope
 from repotide.plans.backfill import backfill
-from repotide.plans.refresh import Settings
+from repotide.plans.refresh import Settings, refresh_files
 from repotide.schemas import TABLES
 from repotide.sources.tables import TableStore
 from repotide.streaming.event_time import run_event_time_counts
 from repotide.streaming.ingest import ingest_available
-from repotide.sources.landing import canonical_events, read_events, stream_events
+from repotide.sources.landing import canonical_events, hour_files, read_events, stream_events
 
 from . import archive
 
@@ -201,3 +202,26 @@ def test_event_time_counts_take_late_rows_up_to_the_bound(spark, tmp_path):
     deliver("4.json", 20)
     rows = spark.read.schema("hour int, event string, repo_name string, count bigint, create_date date").parquet(out)
     assert sorted((r.hour, r["count"]) for r in rows.collect()) == [(1, 3), (3, 1), (5, 2), (9, 1)]
+
+
+def test_one_hour_touches_its_own_partitions(spark, tmp_path, expected):
+    archive.put_all(tmp_path / "landing")
+    store = backfill(spark, str(tmp_path / "landing"), str(tmp_path / "t"), FIRST, LAST, SETTINGS)
+
+    def files(name):
+        return {str(p.relative_to(tmp_path)) for p in (tmp_path / "t" / name).rglob("part-*")}
+
+    hourly = ("events", "hourly_events", "hourly_users", "hourly_repo_details")
+    before = {name: files(name) for name in hourly}
+    present = hour_files(spark, str(tmp_path / "landing"), FIRST, LAST)
+    day, hour = max(present)
+    refresh_files(store, {(day, hour): present[day, hour]}, SETTINGS)
+    for name in hourly:
+        changed = before[name] ^ files(name)
+        assert all(f"create_date={day}/hour={hour}/" in path for path in changed), name
+    assert files("events") != before["events"]
+    assert contents(store) == expected
+    only = store.read("events", hours_scope({(day, hour)}), {day})
+    assert only.count() > 0
+    assert all(f"create_date={day}/" in path for path in only.inputFiles())
+    assert store.read("events", days={date(2031, 1, 1)}).count() == 0
