@@ -1,0 +1,306 @@
+"""Importance resampling, main text and hard negatives against plain Python."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from repotide.llm import hard_negatives, importance, main_text
+from tests.llm.conftest import LONG, ODD
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# importance resampling
+
+
+def features(text, shortest, longest):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lowered)
+    grams = [" ".join(words[i : i + n]) for n in range(shortest, longest + 1) for i in range(len(words) - n + 1)]
+    return len(words), [zlib.crc32(g.encode()) % 10_000 for g in grams]
+
+
+def ranked(docs, target, shortest=1, longest=1):
+    """(doc_id, n_features, weight, score, rank) of every document."""
+    found = [(i, *features(t, shortest, longest)) for i, t in docs]
+    s = Counter(b for _, _, bs in found for b in bs)
+    t = Counter(b for text in target for b in features(text, shortest, longest)[1])
+    total_s, total_t = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (total_s + 10_000) / ((s[b] + 1) * (total_t + 10_000))))
+
+    out = []
+    for i, n_words, bs in found:
+        weight = sum(map(gain, bs)) // len(bs) if bs else 0
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, n_words, len(bs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    may = sorted((r for r in out if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    ranks = defaultdict(list)
+    for k, r in enumerate(may[: 10 * len(may) // 100], 1):
+        ranks[r].append(k)
+    return sorted([(r[0], *r[2:], ranks[r].pop(0) if ranks[r] else None) for r in out], key=repr)
+
+
+def many_texts(n=300, seed=1):
+    rng = np.random.default_rng(seed)
+    words = np.array(["Alpha", "beta", "GAMMA", "déjà", "x1", "42", "日本", "omega", "zeta", "eta"])
+    glue = np.array([" ", "-", "\n", ", ", "\x00"])
+    out = []
+    for i in range(n):
+        k = int(rng.integers(0, 60))
+        out.append((i, "".join(a + b for a, b in zip(rng.choice(words, k), rng.choice(glue, k), strict=True))))
+    return out
+
+
+TARGET = ["alpha beta gamma and omega", "", None, "Zeta eta 42 x1 alpha"]
+
+
+@pytest.mark.parametrize("lengths", [(1, 1), (1, 3), (2, 2)])
+def test_scores_and_ranks(spark, documents, lengths):
+    docs = many_texts()
+    target = spark.createDataFrame([(t,) for t in TARGET], "text string")
+    got = importance.rank_documents(documents(docs), target, *lengths)
+    assert rows_of(got.select("doc_id", "n_features", "weight", "score", "rank")) == ranked(docs, TARGET, *lengths)
+
+
+def test_odd_documents_are_scored(spark, odd, clashing):
+    target = spark.createDataFrame([(t,) for t in TARGET], "text string")
+    expected = ranked([(r[0], r[1]) for r in ODD], TARGET)
+    for docs in (odd, clashing):
+        got = importance.rank_documents(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+        assert rows_of(got) == expected
+
+
+def test_nothing_to_draw(spark, documents, none):
+    target = spark.createDataFrame([], "text string")
+    assert importance.rank_documents(none, target).count() == 0
+    short = importance.rank_documents(documents([(1, "a b c")]), target).collect()
+    assert [(r["doc_id"], r["rank"]) for r in short] == [(1, None)]
+
+
+def test_drawn_rows_keep_their_columns(spark, documents, clashing):
+    target = spark.createDataFrame([(t,) for t in TARGET], "text string")
+    docs = many_texts()
+    drawn = {r[0] for r in ranked(docs, TARGET) if r[4]}
+    assert {r["doc_id"] for r in importance.draw(documents(docs), target).collect()} == drawn and drawn
+    assert importance.draw(clashing, target).columns == clashing.columns
+
+
+def test_scores_that_many_share_are_ranked_by_id(spark, documents, monkeypatch):
+    monkeypatch.setattr(importance, "gumbel", lambda *_: F.lit(0))
+    docs = documents([(i, "one two three four five " * 4) for i in range(500)])
+    got = importance.rank_documents(docs, spark.createDataFrame([("one",)], "text string"))
+    assert sorted((r["rank"], r["doc_id"]) for r in got.where("rank is not null").collect()) == [(k + 1, k) for k in range(50)]
+
+
+# hard negatives
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def mined(rows):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) by comparing everything."""
+    good = {}
+    for i, vector, label in rows:
+        if i is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        label = (label + 1) % 10 if i % 7 == 0 else label
+        good[i, label, tuple(math.floor(256 * float(np.float32(x))) for x in vector)] = None
+    out = set()
+    for i, label, a in good:
+        if i % 100:
+            continue
+        scored = sorted({(-sum(x * y for x, y in zip(a, b)), j, other == label) for j, other, b in good if j != i})
+        for p, j, _ in [s for s in scored if s[2]][:5]:
+            fits = [s for s in scored if not s[2] and 80 * -p <= 100 * -s[0] <= 100 * -p][:5]
+            out |= {(i, j, k, s[1], -p, -s[0]) for k, s in enumerate(fits, 1)}
+    return sorted(out)
+
+
+def vectors(n, width, seed, spread=1.0):
+    rng = np.random.default_rng(seed)
+    return [(i, (rng.normal(size=width) * spread).astype(np.float32).tolist(), int(rng.integers(0, 3))) for i in range(n)]
+
+
+def check_mined(spark, rows):
+    got = hard_negatives.mine(spark.createDataFrame(rows, VECTORS))
+    assert sorted(map(tuple, got.collect())) == mined(rows)
+    return mined(rows)
+
+
+@pytest.mark.parametrize("width, spread", [(2, 1.0), (6, 0.05), (32, 1.0)])
+def test_hard_negatives(spark, monkeypatch, width, spread):
+    monkeypatch.setattr(hard_negatives, "SHARD_ROWS", 150)
+    monkeypatch.setattr(hard_negatives, "BLOCK_ANCHORS", 3)
+    assert check_mined(spark, vectors(700, width, width, spread))
+
+
+def test_ties_copies_and_odd_vectors(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "SHARD_ROWS", 64)
+    rows = vectors(200, 4, 9)
+    rows += [(1000 + i, [0.5, 0.5, 0.0, 0.25], i % 3) for i in range(150)]
+    rows += [rows[0], rows[0], rows[100], rows[210], (100, [0.0, 0.0, 0.0, 0.0], 1), (300, [0.5, 0.5], 1), (400, [], 2)]
+    rows += [(None, [1.0], 1), (500, None, 1), (600, [1.0], None), (700, [float("nan")], 1), (800, [float("inf")], 1), (900, [None, 1.0], 0)]
+    assert check_mined(spark, rows)
+
+
+def test_large_components_are_exact(spark):
+    assert check_mined(spark, [(i, [3e6 + 1e3 * i, -2e6, 7.0 * i], i % 2) for i in range(120)])
+
+
+def test_scores_beyond_64_bits_are_equal(spark):
+    rows = [(i, [3e30 + 1e24 * i, -2e30], i % 2) for i in range(1, 13)] + [(100, [1e30, 0.0], 0)]
+    got = {r["negative_score"] for r in hard_negatives.mine(spark.createDataFrame(rows, VECTORS)).collect()}
+    assert got == {2**63 - 1}
+
+
+def test_no_vectors(spark):
+    assert check_mined(spark, []) == []
+    extra = spark.createDataFrame(vectors(300, 3, 4), VECTORS).withColumns({c: F.lit("own") for c in ("shard", "block", "anchor", "row", "scores", "vec")})
+    assert sorted(map(tuple, hard_negatives.mine(extra).collect())) == mined(vectors(300, 3, 4))
+
+
+def test_lists_are_left_before_their_end():
+    """The threshold stops an anchor whose best rows stand out."""
+    rng = np.random.default_rng(0)
+    rows = np.floor(rng.normal(size=(4000, 3)) * 256)
+    rows[17] = [20_000, 20_000, 20_000]
+    lists = hard_negatives.SortedLists(rows, np.arange(4000))
+    scored = []
+    lists._score = lambda at, anchor, windows: (scored.append(len(at)), hard_negatives.SortedLists._score(lists, at, anchor, windows))
+    window = hard_negatives.Window.empty(-np.inf, np.inf, 1)
+    lists.search(np.array([300.0, 200.0, 100.0]), np.ones(4000, bool), [window])
+    assert window.ids.tolist() == [17] and sum(scored) < 100
+
+
+# main text
+
+PAGE = """<!DOCTYPE html><html><head><title>Not &lt;this&gt;</title><style>p > b {}</style><script>var a = "</p><article>";</script></head>
+<body class="no-sidebar"><header>Top of site</header><nav><ul><li>Home<li>News</ul></nav><div class="cookie-notice"><div>We use cookies</div></div>
+<article><header><h1>The <b>main</b>
+ title</h1><span>by someone</span></header><p>First&nbsp;para &amp; more<br>on two lines
+<p title="a > b">Second <a href="x">li</a>nk, 1 &lt; 2 <!-- no <p>this</p> --> end</p>
+<div class="ad"><p>Buy</p><div>now</div></div><form><p>Your mail</p><input name=q></form><aside>See also</aside>
+<ul><li>one<li>two</li></ul><table><tr><td>a<td>b</table><script>x("<p>no</p>")</script><pre>code  here</pre>
+<section id="comments"><article><p>A reader says</p></article></section><footer>Tags</footer></article>
+<div id="sidebar"><p>Links</p></div><footer>&copy; site</footer></body></html>"""
+PAGE_TEXT = ["The main title", "First para & more on two lines", "Second link, 1 < 2 end", "one", "two", "a", "b", "code here"]
+
+
+@pytest.mark.parametrize(
+    "html, blocks",
+    [
+        (PAGE, PAGE_TEXT),
+        (PAGE.replace("article>", "main>"), PAGE_TEXT),
+        (None, []),
+        ("", []),
+        (" \n ", []),
+        ("plain &amp text", ["plain &amp text".replace("&amp", "&")]),
+        ("<p>cut off <b>here", ["cut off here"]),
+        ("<article><p>open<script>never closed</article>", ["open"]),
+        ("<p>a<!-- never closed <p>b", ["a"]),
+        ("<p>a < b and c > d <3</p><p class='x' hidden>no</p>", ["a < b and c > d <3"]),
+        ('<div class="navBar">menu</div><div class="badge">loaded</div>', ["loaded"]),
+        ('<p title="open quote>one</p><p>two</p>', ["one", "two"]),
+    ],
+)
+def test_text_of_a_page(html, blocks):
+    text, found, asides, _ = main_text.page_parts(html)
+    assert (main_text.unique_text(found, asides) if text is None else text) == "\n\n".join(blocks)
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def unmarked(rng, host, k, words=40):
+    """A page without marks: boilerplate of its host around text of its own."""
+    own = " ".join(f"{host}{k}w{x}" for x in rng.integers(0, 10_000, words))
+    text = f"{own} read more {own}"
+    return f"<p>welcome to {host} the place where we all meet each day</p><div>{text}</div><p>all rights of {host} are kept by us for ever and ever</p>", text
+
+
+@pytest.fixture
+def site():
+    rng = np.random.default_rng(2)
+    out = []
+    for k in range(60):
+        host = "big" if k % 3 else f"h{k % 2}"
+        out.append((k, f"https://{host}.example.org/{k}", *unmarked(rng, host, k)))
+    return out
+
+
+@pytest.mark.parametrize("shard, broadcast", [(1 << 20, 200_000), (100, 0)])
+def test_what_a_host_repeats_goes(spark, monkeypatch, site, shard, broadcast):
+    monkeypatch.setattr(main_text, "SHARD_TOKENS", shard)
+    monkeypatch.setattr(main_text, "BROADCAST_RUNS", broadcast)
+    got = main_text.main_text(spark.createDataFrame([r[:3] for r in site], PAGES))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {r[0]: r[3] for r in site}
+
+
+def covered(streams, width=main_text.RUN):
+    """Places of each stream whose string of ``width`` tokens another page of the host repeats."""
+    pages = defaultdict(set)
+    for (host, digest), tokens in streams:
+        for i in range(len(tokens) - width + 1):
+            if 0 not in tokens[i : i + width]:
+                pages[host, tuple(tokens[i : i + width])].add(digest)
+    out = {}
+    for (host, digest), tokens in streams:
+        hit = set()
+        for i in range(len(tokens) - width + 1):
+            if len(pages.get((host, tuple(tokens[i : i + width])), ())) > 1:
+                hit |= set(range(i, i + width))
+        out[host, tuple(tokens)] = hit
+    return out
+
+
+@pytest.mark.parametrize("shard", [1 << 20, 60])
+def test_runs_are_those_of_brute_force(spark, monkeypatch, shard):
+    monkeypatch.setattr(main_text, "SHARD_TOKENS", shard)
+    rng = np.random.default_rng(7)
+    phrases = [" ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(3, 14))) for _ in range(12)]
+    pages = []
+    for k in range(50):
+        body = "".join(f"<p>{phrases[x]}</p>" for x in rng.integers(0, 12, rng.integers(1, 5)))
+        marked = "<article><p>inside</p></article>" if k % 4 == 0 else ""
+        pages.append((k, f"http://h{k % 3}.org/{k}", body + marked + f"<p>{phrases[k % 12]}</p>"))
+    pages += [(100 + k, *pages[k][1:]) for k in range(5)]
+    streams = []
+    for _, url, html in pages:
+        text, _, _, tokens = main_text.page_parts(html)
+        streams.append(((url.split("/")[2], (text, tuple(tokens.tolist()))), tokens.tolist()))
+    expected = sorted(sorted(x) for x in covered(streams).values() if x)
+    got = []
+    for row in main_text.repeated_runs(spark.createDataFrame(pages, PAGES)).collect():
+        got.append(sorted(i for a, b in zip(row["runs"][::2], row["runs"][1::2]) for i in range(a, b)))
+    assert sorted(got) == expected and expected
+
+
+def test_copies_are_no_boilerplate(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(k, "http://a.org/", f"<div><p>{text}</p></div>") for k in range(3)]
+    rows += [(10 + k, "http://b.org/", f"<article><p>{text}</p><p>{k}</p></article>") for k in range(3)]
+    got = {r["page_id"]: r["text"] for r in main_text.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {k: text for k in range(3)} | {10 + k: f"{text}\n\n{k}" for k in range(3)}
+
+
+def test_odd_pages(spark):
+    rows = [(None, None, None), (1, None, "<p>a</p>"), (2, "no scheme", ""), (3, "http://x.org", None), (3, "http://x.org", None)]
+    rows += [(4, "http://x.org", f"<article>{'<p>' + LONG + '</p>'}</article>"), (5, "http://x.org", f"<div>{LONG}</div>"), (6, "http://x.org", "<p>" * 50_000 + "deep")]
+    frame = spark.createDataFrame(rows, PAGES).withColumns({c: F.lit("own") for c in ("host", "stream", "text", "runs", "out", "part")})
+    got = main_text.main_text(frame)
+    expected = [(None, ""), (1, "a"), (2, ""), (3, ""), (3, ""), (4, LONG), (5, LONG), (6, "deep")]
+    assert sorted(((r["page_id"], r["text"]) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    assert all(r["n_chars"] == len(r["text"]) for r in got.collect())
+    assert main_text.main_text(spark.createDataFrame([], PAGES)).count() == 0
