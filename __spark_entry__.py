@@ -22,6 +22,7 @@ from repotide.functions import calendar, joins, naming  # noqa: E402
 from repotide.operators import daily, details, hourly, scoring  # noqa: E402
 from repotide.plans import serving  # noqa: E402
 from repotide.plans.backfill import backfill  # noqa: E402
+from repotide.plans.export import mark_exported, pending_days  # noqa: E402
 from repotide.plans.refresh import Settings  # noqa: E402
 from repotide.schemas import COUNTED_EVENTS, DETAIL_FIELDS, FORK, PUSH, WATCH  # noqa: E402
 from repotide.session import work_dir  # noqa: E402
@@ -230,6 +231,19 @@ def _event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.schema(schema).parquet(out))
 
 
+def _export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All has gone out but hour 23 of the second half of the month, which arrives then."""
+    landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
+    events, store = read_clickstream(spark, sf_dir), TableStore(spark, out)
+    late = (F.col("create_date") >= "2024-01-16") & (F.col("hour") == 23)
+    write_landing(events.where(~late), landing, compressed=True)
+    ingest_available(spark, landing, out, state, SETTINGS)
+    mark_exported(store, pending_days(store))
+    write_landing(events.where(late), landing, compressed=True)
+    ingest_available(spark, landing, out, state, SETTINGS)
+    return _plain(pending_days(store), "name", "create_date", "rows")
+
+
 _DETAILS = ("create_date", "hour", "repo_name", "languages", *DETAIL_FIELDS, "id")
 
 QUERIES: dict[str, Query] = {
@@ -295,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "incremental_counts": lambda spark, sf_dir: _stored_counts(_ingested(spark, sf_dir, SETTINGS)),
     "incremental_details": lambda spark, sf_dir: _stored_details(_ingested(spark, sf_dir, WITH_DETAILS)),
     "event_time_counts": _event_time,
+    "export_pending_days": _export_pending,
 }
 
 # The operators of repotide/llm and their pipeline are optional: both may be absent.

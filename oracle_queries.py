@@ -185,6 +185,35 @@ WHERE {_COUNTED}
   AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM ev WHERE {_COUNTED})
 GROUP BY ev.create_date, hour, event, repo_name"""
 
+# Name, day and content of every row that is exported.
+_EXPORTED = """
+    SELECT event || '_table' AS name, create_date, concat_ws('|', repo_name, count) AS content FROM top
+    UNION ALL SELECT 'repo_users', create_date, concat_ws('|', repo_name, user_name, count) FROM top_users
+    UNION ALL SELECT 'AggregateEvent_table', create_date, concat_ws('|', repo_name, round(score, 9)) FROM scores
+    UNION ALL SELECT 'repo_details', create_date, concat_ws('|', repo_name, round(score, 9), languages,
+        coalesce(forks, -1), has_wiki, open_issues_count, stars_count, watchers) FROM scored
+"""
+
+
+def _tables_of(condition: str) -> str:
+    """All exported rows as they are when the events of ``condition`` have arrived."""
+    some = f"ev AS (SELECT * FROM all_ev WHERE {condition})"
+    events = EV.replace("ev AS (", "all_ev AS (", 1)
+    chain = (some, *SCORE_CHAIN, *USER_CHAIN, TOP_USERS, _details(True), SCORED)
+    return f"({_with(*chain, events=events)} {_EXPORTED})"
+
+
+# Days whose rows differ once hour 23 of the days from the 16th on has come late.
+EXPORT_PENDING = f"""
+WITH before AS (SELECT * FROM {_tables_of("NOT (create_date >= DATE '2024-01-16' AND hour = 23)")}),
+after AS (SELECT * FROM {_tables_of("true")}),
+differs AS (
+    SELECT DISTINCT name, create_date FROM (
+        (SELECT * FROM before EXCEPT ALL SELECT * FROM after)
+        UNION ALL (SELECT * FROM after EXCEPT ALL SELECT * FROM before)))
+SELECT name, {DAY}, count(content) AS rows
+FROM differs LEFT JOIN after USING (name, create_date) GROUP BY name, differs.create_date"""
+
 ORACLE = {
     "canonical_events": f"""{EV}
 SELECT {DAY}, hour, event, repo_name, user_name, id FROM ev""",
@@ -303,4 +332,5 @@ SELECT {DAY}, repo_name, round(score, 6) AS value FROM scores WHERE score > 0.50
     "incremental_counts": STORED_COUNTS,
     "incremental_details": STORED_DETAILS,
     "event_time_counts": EVENT_TIME,
+    "export_pending_days": EXPORT_PENDING,
 }

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from repotide.functions.calendar import as_date, month_bounds
 from repotide.plans.backfill import backfill_month
+from repotide.plans.export import export_changes
 from repotide.plans.refresh import Settings
 from repotide.session import build_session
-from repotide.sources.jdbc import export_closed_days, export_tables
+from repotide.sources.jdbc import JdbcTarget
 from repotide.sources.tables import TableStore
 from repotide.streaming.ingest import ingest_available
 
@@ -38,10 +39,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--keep-unknown-language", action="store_true")
         job.add_argument("--hourly-details", action="store_true")
 
-    export = jobs.add_parser("export", help="append the closed days to a database, each day once")
+    export = jobs.add_parser("export", help="bring the tables of a database up to date, day by day")
     export.add_argument("--url", required=True)
-    export.add_argument("--since", help="export from this day on instead, whatever has been exported")
-    export.add_argument("--mode", default="append", help="for --since")
+    export.add_argument("--since", help="send every day from this one on again, also if it has not changed")
 
     for job in (month, ingest, export):
         job.add_argument("--out", required=True, help="root folder of the tables")
@@ -62,10 +62,8 @@ def main(argv: list[str] | None = None) -> None:
         names = {"user": "JDBC_USER", "password": "JDBC_PASSWORD", "driver": "JDBC_DRIVER"}
         properties = {key: os.environ[name] for key, name in names.items() if name in os.environ}
         store = TableStore(spark, args.out)
-        if args.since:
-            export_tables(store, args.url, F.col("create_date") >= as_date(args.since), args.mode, properties)
-        else:
-            export_closed_days(store, args.url, properties)
+        scope = F.col("create_date") >= as_date(args.since) if args.since else None
+        export_changes(store, JdbcTarget(args.url, properties), scope, all_days=bool(args.since))
         return
     settings = Settings(require_language=not args.keep_unknown_language, hourly_details=args.hourly_details)
     if args.job == "backfill":

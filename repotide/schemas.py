@@ -85,3 +85,12 @@ TABLES = {
         Table("repo_details", f"repo_name string, score double, hour int, {_DETAIL_DDL}", _BY_DAY),
     )
 }
+
+# What the jobs note about their own work; no trend is computed from these.
+BOOKS = {
+    t.name: t
+    for t in (
+        # what the database has of a table's day; the row with the highest number is the state
+        Table("exports", "name string, create_date date, rows bigint, digest string", "number bigint"),
+    )
+}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,26 +45,55 @@ def export_jdbc(
     df.write.option("numPartitions", connections).jdbc(url, table, mode, dict(properties or {}))
 
 
-def export_closed_days(store: TableStore, url: str, properties: Mapping[str, str] | None = None) -> None:
-    """Appends the days that are closed and not yet exported, so that no day is there twice.
+class JdbcTarget:
+    """A database whose tables take whole days at a time.
 
-    A day is closed once a later one has rows. What has gone out is marked by table and day in the
-    table ``exported`` beside the others; a run that fails between a database table and its
-    mark appends that one again.
+    Rows are written by Spark's parallel JDBC writer into a staging table beside the real one. Then one
+    transaction deletes the days and inserts what was staged, so readers see a day before or after, never
+    half of it or twice, and doing it again changes nothing. One job at a time may write a table.
     """
-    spark = store.spark
-    daily = store.read("daily_events")
-    newest = daily.agg(F.max("create_date")).scalar()
-    schema = "name string, create_date date"
-    marks = f"{store.root}/exported"
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(marks)
-    for name, rows in exported_frames(store, F.col("create_date") < newest).items():
-        done = spark.read.schema(schema).parquet(marks).where(F.col("name") == name)
-        new_days = rows.select("create_date").distinct().join(done, "create_date", "left_anti")
-        days = sorted(row.create_date for row in new_days.collect())  # at most one per calendar day
-        if days:
-            export_jdbc(rows.where(F.col("create_date").isin(days)), url, name, "append", properties)
-            spark.createDataFrame([(name, day) for day in days], schema).coalesce(1).write.mode("append").parquet(marks)
+
+    def __init__(self, url: str, properties: Mapping[str, str] | None = None, connections: int = 8):
+        self.url, self.properties, self.connections = url, dict(properties or {}), connections
+
+    def replace_days(self, rows: DataFrame, table: str, days: Collection[date]) -> None:
+        """``rows``, all of ``days``, take the place of what ``table`` has of these days."""
+        staging = f"{table}_staging"
+        export_jdbc(rows.limit(0), self.url, table, "append", self.properties, 1)  # makes the table, if there is none
+        writer = rows.write.option("truncate", True).option("numPartitions", self.connections)
+        writer.jdbc(self.url, staging, "overwrite", self.properties)
+        quote = self._dialect(rows.sparkSession).quoteIdentifier
+        columns = ", ".join(quote(c) for c in rows.columns)
+        statements = [(f"DELETE FROM {table} WHERE {quote('create_date')} = ?", day) for day in sorted(days)]
+        self.in_transaction(rows.sparkSession, [*statements, (f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}", None)])
+
+    def in_transaction(self, spark: SparkSession, statements: list[tuple[str, date | None]]) -> None:
+        """Runs statements, each with its day if it has one, all or none."""
+        connection = self.connect(spark)
+        try:
+            connection.setAutoCommit(False)
+            for text, day in statements:
+                statement = connection.prepareStatement(text)
+                if day is not None:
+                    statement.setDate(1, spark._jvm.java.sql.Date.valueOf(day.isoformat()))
+                statement.executeUpdate()
+                statement.close()
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()
+
+    def connect(self, spark: SparkSession):
+        """A connection as Spark's own writer makes it: same driver, login and dialect."""
+        jvm = spark._jvm
+        properties = jvm.PythonUtils.toScalaMap(self.properties)
+        options = jvm.org.apache.spark.sql.execution.datasources.jdbc.JDBCOptions(self.url, "exports", properties)
+        return self._dialect(spark).createConnectionFactory(options).apply(-1)
+
+    def _dialect(self, spark: SparkSession):
+        return spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
 
 
 def exported_frames(store: TableStore, scope: Column | None = None) -> dict[str, DataFrame]:
@@ -81,7 +111,10 @@ def export_tables(
     properties: Mapping[str, str] | None = None,
     connections: int = 8,
 ) -> None:
-    """Exports the daily tables, or the days in ``scope``, to the database, whatever it has of them."""
+    """Writes the daily tables, or the days in ``scope``, to a new database, whatever it has of them.
+
+    ``plans.export`` keeps an existing one up to date.
+    """
     for name, df in exported_frames(store, scope).items():
         export_jdbc(df, url, name, mode, properties, connections)
 

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from repotide.schemas import TABLES
+from repotide.schemas import BOOKS, TABLES
+
+ALL = TABLES | BOOKS
 
 
 class TableStore:
@@ -28,7 +30,7 @@ class TableStore:
         With ``days``, to which ``scope`` must be confined, only the folders of these are listed, however
         many days the table has.
         """
-        reader, schema = self.spark.read, TABLES[name].schema
+        reader, schema = self.spark.read, ALL[name].schema
         if days is None:
             table = reader.schema(schema).parquet(self.path(name))
         else:
@@ -39,13 +41,13 @@ class TableStore:
 
     def create(self, name: str) -> None:
         """An empty table, if there is none yet."""
-        table = TABLES[name]
+        table = ALL[name]
         empty = self._empty(table.schema)
         empty.write.mode("ignore").partitionBy(*table.keys).parquet(self.path(name))
 
     def partitions(self, name: str, scope: Column, days: Iterable[date] | None = None) -> set[tuple]:
         """Keys in ``scope`` that have rows now; reads no column, only file footers."""
-        keys = self.read(name, scope, days).select(*TABLES[name].keys).distinct()
+        keys = self.read(name, scope, days).select(*ALL[name].keys).distinct()
         return {tuple(row) for row in keys.collect()}
 
     def replace(
@@ -67,7 +69,7 @@ class TableStore:
         into few files; Spark splits a day that is too large for one task. ``order`` sorts what a
         task then writes. ``days`` are those of ``scope``, as in ``read``.
         """
-        table = TABLES[name]
+        table = ALL[name]
         rows = df.select(*table.schema.fieldNames())
         if gather:
             rows = rows.hint("rebalance", *table.keys)
@@ -85,12 +87,13 @@ class TableStore:
         )
         written = {tuple(key) for key in seen.get["keys"]}
         for key in sorted(before - written):
-            folder = "/".join(f"{column}={value}" for column, value in zip(table.keys, key))
-            self._remove(f"{self.path(name)}/{folder}")
+            self.drop(name, key)
         return written
 
-    def _remove(self, folder: str) -> None:
-        files, path = self._located(folder)
+    def drop(self, name: str, key: tuple) -> None:
+        """Removes a partition, through the file system and without a job."""
+        folder = "/".join(f"{column}={value}" for column, value in zip(ALL[name].keys, key))
+        files, path = self._located(f"{self.path(name)}/{folder}")
         files.delete(path, True)
 
     def _folders(self, name: str, days: Iterable[date]) -> list[str]:

@@ -16,7 +16,7 @@ from repotide.plans import serving
 from repotide.plans.backfill import backfill_month
 from repotide.schemas import TABLES, USED_EVENTS
 from repotide.session import work_dir
-from repotide.sources.jdbc import export_closed_days, export_jdbc, export_tables, read_jdbc
+from repotide.sources.jdbc import export_jdbc, export_tables, read_jdbc
 from repotide.sources.landing import canonical_events, read_events
 
 from . import archive
@@ -166,7 +166,7 @@ def test_command_line(capsys):
     args = parse(["backfill", "--landing", "l", "--out", "o", "-y", "2019", "-m", "06", "--hourly-details"])
     assert (args.job, args.year, args.month, args.hourly_details) == ("backfill", "2019", "06", True)
     assert parse(["ingest", "--landing", "l", "--out", "o", "--checkpoint", "c"]).max_files is None
-    assert parse(["export", "--out", "o", "--url", "u", "--since", "2019-06-01"]).mode == "append"
+    assert parse(["export", "--out", "o", "--url", "u", "--since", "2019-06-01"]).since == "2019-06-01"
     for bad in (["-y", "19", "-m", "06"], ["-y", "2019", "-m", "13"]):
         with pytest.raises(SystemExit):
             parse(["backfill", "--landing", "l", "--out", "o", *bad])
@@ -205,27 +205,6 @@ def test_export_gives_spark_the_tables_readers_expect(spark, tmp_path, monkeypat
     assert written["one"][4] == 3
 
 
-def test_closed_days_go_out_once(spark, tmp_path, monkeypatch):
-    archive.put_all(tmp_path / "landing")
-    store = backfill_month(spark, str(tmp_path / "landing"), str(tmp_path / "t"), "2019", "06")
-    written = []
-
-    def jdbc(writer, url, table, mode=None, properties=None):
-        days = sorted({str(r.create_date) for r in writer._df.select("create_date").collect()})
-        written.append((table, mode, days))
-
-    monkeypatch.setattr(DataFrameWriter, "jdbc", jdbc)
-    for _ in range(2):
-        export_closed_days(store, "jdbc:some:db")
-    assert sorted(written)[:2] == [("AggregateEvent_table", "append", ["2019-06-27"]), ("ForkEvent_table", "append", ["2019-06-27"])]
-    assert len({table for table, _, _ in written}) == len(written) == 6  # the second run finds nothing new
-    newer = store.read("daily_events").where("create_date = '2019-06-28'").withColumn("create_date", F.lit("2019-06-29").cast("date"))
-    store.replace("daily_events", newer, F.col("create_date") == "2019-06-29")
-    written.clear()
-    export_closed_days(store, "jdbc:some:db")
-    assert {tuple(days) for _, _, days in written} == {("2019-06-28",)}
-
-
 def test_names_are_read_once_and_plain_text_is_an_error(spark):
     users = spark.createDataFrame([("a", "u", 1, date(2019, 6, 27))], "repo_name string, user_name string, count long, create_date date")
     details = spark.createDataFrame([], TABLES["repo_details"].schema)
