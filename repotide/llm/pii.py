@@ -15,11 +15,11 @@ stand beside a value once, tell nothing.
 Positions are found by the lengths of the parts between matches. The patterns run in linear time and without
 recursion on any text. Only documents with a value take part in joins with terms, and each meets the disclosing
 terms among its own words, so an entity in a third of all documents is no product of documents and terms; all
-documents' words are counted once, for candidate terms only.
+documents' words are counted once, by each task before they move.
 
 Defined results: null and empty texts have no spans; repeated rows get equal results and count as
 one document; an empty table gives no rows. Columns other than doc_id and text are not read by ``find_pii``;
-``sanitise`` keeps all columns.
+``sanitise`` keeps all columns; n_chars, where there is one, follows the text.
 """
 
 from __future__ import annotations
@@ -134,6 +134,19 @@ def _text_of(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _one_each(docs: DataFrame, based: DataFrame) -> DataFrame:
+    """``docs`` with one of the rows that are equal in doc_id and row_hash; texts move only where there are some."""
+    again = based.groupBy(F.col("doc_id").alias("again_id"), F.col("row_hash").alias("again_hash")).count().where("count > 1")
+    again = stored(again.drop("count"), "pii-repeated")
+    number = again.count()
+    if not number:
+        return docs
+    if number <= BROADCAST_ROWS:
+        again = F.broadcast(again)
+    same = F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("row_hash") == F.col("again_hash"))
+    return docs.join(again, same, "left_anti").union(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "row_hash"]))
+
+
 def disclosing_terms(docs: DataFrame, based: DataFrame, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
     """entity, term and ``certain``: whether the term is found with the entity only.
 
@@ -153,9 +166,11 @@ def disclosing_terms(docs: DataFrame, based: DataFrame, support: int = SUPPORT,
     sought = pairs.select(F.col("term").alias("sought")).distinct()
     if pairs.count() <= BROADCAST_ROWS:
         sought = F.broadcast(sought)
-    rows = docs.select(F.explode(_terms(F.col("text"))).alias("term"))
-    counts = rows.join(sought, F.col("term") == F.col("sought"), "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
-    total = docs.select("doc_id").count()
+    # each task's words are counted before anything else, so a word has a row per task, not per occurrence
+    rows = _one_each(docs.select("doc_id", row_hash("text").alias("row_hash"), "text"), based)
+    counts = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
+    counts = counts.join(sought, F.col("term") == F.col("sought"), "left_semi")
+    total = based.select("doc_id", "row_hash").distinct().count()
     information = F.log2(F.lit(float(max(total, 1))) / F.col("entity_docs"))
     mutual = F.log2(F.col("pair_docs") * F.lit(float(max(total, 1))) / (F.col("entity_docs") * F.col("term_docs")))
     told = pairs.join(counts, "term").where((information > 0) & (mutual >= share * information))
@@ -225,7 +240,11 @@ def sanitise(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> D
 
     rest = F.aggregate("edits", zero, step, lambda r: F.concat(F.array_join(r["parts"], ""), F.substring(text, r["at"] + 1, F.char_length(text))))
     edited = F.when(F.col("edits").isNull(), text).otherwise(rest)
-    return rows.join(edits, same, "left").select(F.col("row").withField("text", edited).alias("row")).select("row.*")
+    row = F.col("row").withField("text", edited)
+    if "n_chars" in docs.columns:
+        length = F.char_length(rest).cast(dict(docs.dtypes)["n_chars"])
+        row = row.withField("n_chars", F.when(F.col("edits").isNull(), F.col("row.n_chars")).otherwise(length))
+    return rows.join(edits, same, "left").select(row.alias("row")).select("row.*")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """Quality rules, line dedup, decontamination, PII and URL filters against plain Python."""
 
+import math
+import re
+
 import numpy as np
 import pytest
 
@@ -222,3 +225,70 @@ def test_url_filter_of_no_pages_and_equal_rows(spark):
     assert url_filters.filter_urls(none, rules).count() == 0
     twice = spark.createDataFrame([(1, "http://x.net/", None, "?")] * 2, "page_id long, url string, html string, verdict string")
     assert [r["verdict"] for r in url_filters.filter_urls(twice, rules).collect()] == ["block", "block"]
+
+
+def told(docs, support=pii.SUPPORT, share=pii.SHARE):
+    """(entity, term, certain) worked out document by document."""
+    docs = sorted(set(docs))
+    near, having, context, together = {}, {}, {}, {}
+    words = [set(w for w in re.split(r"[^\w]+|_+", t.lower()) if w) for _, t in docs]
+    for k, (_, text) in enumerate(docs):
+        for _, a, b in plain.base_spans(text):
+            before, after = text[max(0, a - pii.AROUND) : a], text[b : b + pii.AROUND]
+            before = re.sub(r"^[^\W_]+", "", before) if a > pii.AROUND else before
+            after = re.sub(r"[^\W_]+$", "", after) if len(text) > b + pii.AROUND else after
+            terms = tuple(dict.fromkeys(w for w in re.split(r"[^\w]+|_+", f"{before} {after}".lower()) if w))
+            near.setdefault(text[a:b].lower(), set()).add((k, terms))
+    out = set()
+    for entity, seen in near.items():
+        if len({t for _, t in seen}) < support:
+            continue
+        own = {k for k, _ in seen}
+        for term in {w for _, t in seen for w in t}:
+            beside = {(k, t) for k, t in seen if term in t}
+            if len({t for _, t in beside}) < support:
+                continue
+            both, every = len({k for k, _ in beside}), sum(term in w for w in words)
+            information = math.log2(len(docs) / len(own))
+            if information > 0 and math.log2(both * len(docs) / (len(own) * every)) >= share * information:
+                out.add((entity, term, both >= every))
+    return out
+
+
+def entities_and_terms(seed=4, n=400):
+    rng = np.random.default_rng(seed)
+    common = [f"word{i}" for i in range(60)]
+    out = []
+    for i in range(n):
+        words = list(rng.choice(common, 25))
+        if i % 9 == 0:
+            who = i // 9 % 3
+            near = [f"nick{who}", f"job{who}" if rng.random() < 0.8 else "clerk", f"mail p{who}@x.org now"]
+            words[10:10] = near
+        elif i % 40 == 1:
+            words[3:3] = [f"job{i % 3}", "nick1"]
+        out.append((i, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("bound", [pii.BROADCAST_ROWS, 0])
+@pytest.mark.parametrize("copies", ["none", "all thrice", "those with values"])
+def test_disclosing_terms_are_those_of_brute_force(documents, monkeypatch, copies, bound):
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", bound)
+    docs = entities_and_terms()
+    again = {"none": [], "all thrice": docs * 2, "those with values": [d for d in docs if "@" in d[1]]}[copies]
+    expected = told(docs)
+    assert {t for _, t, _ in expected} >= {"nick0", "nick2"} and len({c for *_, c in expected}) == 2
+    frame = documents(docs + again)
+    text = pii.full_text()
+    own = frame.select("doc_id", pii.row_hash("text").alias("row_hash"), text.alias("text")).withColumn("spans", pii._base(pii.F.col("text")))
+    based = own.select("doc_id", "row_hash", pii._surroundings(pii.F.col("text"), pii.F.col("spans")).alias("near"))
+    got = pii.disclosing_terms(frame, based)
+    assert {tuple(r) for r in got.collect()} == expected
+    spans = pii.find_pii(frame).where("size(terms) > 0").select("doc_id").distinct().count()
+    assert spans == len({i for i, t in docs if any(e in t and re.search(rf"\b{w}\b", t) for e, w, _ in expected)})
+
+
+def test_sanitised_texts_have_their_length(documents):
+    got = pii.sanitise(documents(entities_and_terms())).collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in got) and any("<EMAIL>" in r["text"] for r in got)
