@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from repotide.llm.common import full_text, let, let_workers_import, split_words, stored, table
 
 MAX_ROWS = 40_000
+#: Leading bits of the hashes by which labelled rows are counted to find those of the sample.
+PREFIX_BITS = 14
 BINS, ROUNDS, RATE, LEAST = 32, 120, 0.15, 20
 PAIRS, PAIR_BINS, PAIR_ROUNDS = 6, 8, 40
 DAMPING = 1.0
@@ -201,6 +203,14 @@ def learn(features: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> M
     names = [c for c in features.columns if c != "doc_id"]
     marked = labels.where("quality IS NOT NULL").select(F.col("doc_id").alias("of"), F.col("quality").cast("double").alias("label"))
     known = features.where(F.col("doc_id").isNotNull() & ~held_out()).join(marked, F.col("doc_id") == F.col("of"))
+    # the highest hashes go before the sort, so that the tasks together send little more than the sample
+    prefix = F.shiftright(F.xxhash64("doc_id"), 64 - PREFIX_BITS)
+    last, seen = None, 0
+    for row in sorted(known.groupBy(prefix.alias("prefix")).count().collect()):  # 2 ** PREFIX_BITS rows at most
+        last, seen = row["prefix"], seen + row["count"]
+        if seen >= max_rows:
+            break
+    known = known.where(prefix <= F.lit(last))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label", *names).limit(max_rows).select("label", *names).toPandas()
     return fit(names, sample[names].to_numpy(np.float64), sample["label"].to_numpy(np.float64))
 

@@ -334,3 +334,20 @@ def test_pipeline(spark, tmp_path, documents):
     assert now.select("doc_id").distinct().count() == before.count()
     whole = corpus_pipeline.run(spark, str(tmp_path)).drop("sequence_id", "offset")
     assert rows_of(whole) == rows_of(now.drop("sequence_id", "offset"))
+
+
+def test_the_sample_is_that_of_the_least_hashes(spark, documents, monkeypatch):
+    """Counting by prefix first leaves the rows that a sort of all would give."""
+    docs = [(i, f"some words of text {i} " * (1 + i % 7)) for i in range(600)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    features = quality_gam.statistics(documents(docs))
+    seen = {}
+    monkeypatch.setattr(quality_gam, "fit", lambda names, x, y: seen.update(x=x, y=y))
+    for most in (50, 10_000):
+        quality_gam.learn(features, labels, most)
+        names = [c for c in features.columns if c != "doc_id"]
+        known = features.where(~quality_gam.held_out()).join(labels, "doc_id")
+        plain = known.orderBy(F.xxhash64("doc_id")).limit(most).toPandas()
+        assert len(seen["y"]) == min(most, known.count()) and sorted(map(tuple, seen["x"])) == sorted(map(tuple, plain[names].to_numpy(float)))
+    quality_gam.learn(features, labels.limit(0))
+    assert len(seen["y"]) == 0
