@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -314,12 +315,13 @@ QUERIES: dict[str, Query] = {
 
 # The operators of repotide/llm and their pipeline are optional: both may be absent.
 SQL = dict(ORACLE)
+# They may also lack a library that only they need; all that they share with the rest is imported above.
 try:
     import corpus_pipeline
     from repotide.llm import registry
-except ModuleNotFoundError as missing:
+except ImportError as missing:
     if not (missing.name or "").startswith(("corpus_pipeline", "repotide.llm")):
-        raise
+        warnings.warn(f"without the training-data operators: {missing}", stacklevel=1)
 else:
     QUERIES |= registry.QUERIES | {"pipeline": corpus_pipeline.run}
     SQL |= registry.ORACLE

@@ -1,6 +1,8 @@
 """Every registered query against its SQL, on the given tables."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -48,3 +50,21 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert spark_entry.entry(spark).count() == 20
+
+
+IMPORT_WITHOUT = """
+import sys
+for name in sys.argv[1:]:
+    sys.modules[name] = None
+import __spark_entry__ as entry
+assert set(entry.queries()) >= set(entry.ORACLE) and len(entry.ORACLE) > 50
+print(sum(name.startswith("op") or name == "pipeline" for name in entry.queries()))
+"""
+
+
+@pytest.mark.parametrize("missing", ["tokenizers", "xxhash", "corpus_pipeline", "repotide.llm"])
+def test_the_rest_stays_if_the_optional_part_cannot_be_imported(missing):
+    root = os.path.dirname(os.path.abspath(spark_entry.__file__))
+    run = subprocess.run([sys.executable, "-c", IMPORT_WITHOUT, missing], cwd=root, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert run.stdout.strip() == "0"
