@@ -30,7 +30,12 @@ from repotide.session import work_dir  # noqa: E402
 from repotide.sources.clickstream import read_clickstream, write_landing  # noqa: E402
 from repotide.sources.landing import canonical_events, read_events, stream_events  # noqa: E402
 from repotide.sources.tables import TableStore  # noqa: E402
-from repotide.streaming.event_time import run_event_time_counts  # noqa: E402
+from repotide.streaming.event_time import (  # noqa: E402
+    corrections,
+    late_rows,
+    run_event_time_counts,
+    upsert_event_time_counts,
+)
 from repotide.streaming.ingest import ingest_available  # noqa: E402
 
 AS_OF = "2024-01-31"
@@ -232,6 +237,31 @@ def _event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(spark.read.schema(schema).parquet(out))
 
 
+def _in_three_deliveries(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Hours with remainder 1 by three arrive first, then 2, then 0; each delivery is counted before the next."""
+    landing, out, state = (work_dir(spark, name) for name in ("landing", "event-time", "state"))
+    events = read_clickstream(spark, sf_dir)
+    for remainder in (1, 2, 0):
+        write_landing(events.where(F.col("hour") % 3 == remainder), landing, compressed=True)
+        store = upsert_event_time_counts(stream_events(spark, landing), out, state)
+    return store
+
+
+def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that break off lie among those of the same hours; a backfill finds them."""
+    landing, events = _landing(spark, sf_dir), read_clickstream(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    start = F.concat(F.lit('{"id":"'), "id", F.lit('","type":"'), "event")
+    cut = events.where(number % 40 == 0).select("create_date", "hour", start.alias("value"))
+    cut = cut.union(events.where(number % 60 == 0).select("create_date", "hour", F.lit('{"')))
+    hour_file = naming.hour_file_name(F.col("create_date"), F.col("hour")).alias("hour_file")
+    cut.select("value", hour_file).write.mode("append").partitionBy("hour_file").text(landing)
+    lines = backfill(spark, landing, work_dir(spark, "tables"), FIRST, LAST, SETTINGS).read("broken_lines")
+    name = F.regexp_extract(F.url_decode("file"), "([0-9-]+\\.json)", 1).alias("file_name")
+    lines = lines.select("create_date", "hour", name, "line", "reason", "count")
+    return _plain(lines.groupBy("create_date", "hour", "file_name", "line", "reason").agg(F.sum("count").alias("count")))
+
+
 def _export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All has gone out but hour 23 of the second half of the month, which arrives then."""
     landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
@@ -310,6 +340,10 @@ QUERIES: dict[str, Query] = {
     "incremental_counts": lambda spark, sf_dir: _stored_counts(_ingested(spark, sf_dir, SETTINGS)),
     "incremental_details": lambda spark, sf_dir: _stored_details(_ingested(spark, sf_dir, WITH_DETAILS)),
     "event_time_counts": _event_time,
+    "event_time_upserts": lambda spark, sf_dir: _plain(_in_three_deliveries(spark, sf_dir).read("event_time_counts")),
+    "event_time_corrections": lambda spark, sf_dir: _plain(corrections(_in_three_deliveries(spark, sf_dir))),
+    "event_time_late_rows": lambda spark, sf_dir: _plain(late_rows(_in_three_deliveries(spark, sf_dir))),
+    "broken_lines": _broken_lines,
     "export_pending_days": _export_pending,
 }
 

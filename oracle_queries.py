@@ -100,15 +100,21 @@ SCORED = """
 scored AS (
     SELECT details.*, score FROM details JOIN scores USING (create_date, repo_name))
 """
-LATEST = """
+
+
+def _latest(details: str) -> str:
+    return f"""
 latest AS (
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (
             PARTITION BY repo_name ORDER BY create_date DESC, hour DESC, ts DESC, id DESC) AS rn
-        FROM details) WHERE rn = 1)
+        FROM {details}) WHERE rn = 1)
 """
 
 
+LATEST = _latest("details")
+
+
 def _with(*ctes: str, events: str = EV) -> str:
     return ",\n".join([events, *(cte.strip() for cte in ctes)])
 
@@ -134,9 +140,10 @@ def _top_repos(metric: str, start: str) -> str:
 SELECT repo_name, {total} AS total FROM totals ORDER BY round(totals.total, 9) DESC, repo_name LIMIT 20"""
 
 
-_USER_RANKS = """
+def _user_ranks(users: str) -> str:
+    return f"""
 user_totals AS (
-    SELECT repo_name, user_name, CAST(sum(count) AS BIGINT) AS total FROM daily_users
+    SELECT repo_name, user_name, CAST(sum(count) AS BIGINT) AS total FROM {users}
     WHERE create_date >= DATE '2024-01-01' GROUP BY repo_name, user_name),
 user_ranks AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY repo_name ORDER BY total DESC, user_name) AS INTEGER) AS rank
@@ -147,6 +154,9 @@ user_lists AS (
 """
 
 
+_USER_RANKS = _user_ranks("daily_users")
+
+
 def _profile(columns: str) -> str:
     return f"""{_with(*USER_CHAIN, _USER_RANKS, _details(True), LATEST)}
 SELECT repo_name, {columns}, 'https://github.com/' || repo_name || '/' AS url
@@ -185,6 +195,34 @@ WHERE {_COUNTED}
   AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM ev WHERE {_COUNTED})
 GROUP BY ev.create_date, hour, event, repo_name"""
 
+# Counts by event time, whatever the order of arrival.
+_BY_CREATED_AT = f"""
+SELECT {DAY}, hour, event, repo_name, count(*) AS count FROM ev WHERE {_COUNTED}
+GROUP BY ev.create_date, hour, event, repo_name"""
+
+
+def _late(batch: int, hours: str, earlier: str) -> str:
+    """Counts that batch number ``batch`` brings for hours which the newest event of the earlier ones has passed."""
+    return f"""
+SELECT create_date, hour, event, repo_name, count(*) AS count, {batch} AS batch FROM ev
+WHERE {_COUNTED} AND {hours} AND date_trunc('hour', ts) + INTERVAL 1 HOUR
+    <= (SELECT max(ts) - INTERVAL 2 HOUR FROM ev WHERE {_COUNTED} AND ({earlier}))
+GROUP BY create_date, hour, event, repo_name"""
+
+
+# The hours come in three deliveries: those with remainder 1, then 2, then 0.
+_LATE = f"""{EV},
+late AS ({_late(1, "hour % 3 = 2", "hour % 3 = 1")} UNION ALL {_late(2, "hour % 3 = 0", "hour % 3 <> 0")})"""
+
+# Every 40th event has left a line that breaks off and every 60th the same two characters.
+BROKEN = f"""{EV},
+cut AS (
+    SELECT create_date, hour, '{{"id":"' || id || '","type":"' || event AS line FROM ev WHERE event_id % 40 = 0
+    UNION ALL SELECT create_date, hour, '{{"' FROM ev WHERE event_id % 60 = 0)
+SELECT {DAY}, hour, strftime(create_date, '%Y-%m-%d') || '-' || CAST(hour AS VARCHAR) || '.json' AS file_name,
+       line, 'no JSON' AS reason, count(*) AS count
+FROM cut GROUP BY cut.create_date, hour, line"""
+
 # Name, day and content of every row that is exported.
 _EXPORTED = """
     SELECT event || '_table' AS name, create_date, concat_ws('|', repo_name, count) AS content FROM top
@@ -314,9 +352,7 @@ SELECT repo_name, {DAY}, hour, languages, {FIELDS}, id FROM latest""",
 SELECT {DAY}, hour, repo_name, round(score, 6) AS score, languages, {FIELDS}, id FROM scored""",
     "repo_profile_of": _profile_of(_with(*USER_CHAIN, _USER_RANKS, _details(True), LATEST)),
     "stored_repo_profile_of": _profile_of(
-        _with(*SCORE_CHAIN, *USER_CHAIN, TOP_USERS, _USER_RANKS, _details(True), SCORED, LATEST)
-        .replace("FROM daily_users\n    WHERE create_date >=", "FROM top_users\n    WHERE create_date >=")
-        .replace("AS rn\n        FROM details)", "AS rn\n        FROM scored)")
+        _with(*SCORE_CHAIN, *USER_CHAIN, TOP_USERS, _user_ranks("top_users"), _details(True), SCORED, _latest("scored"))
     ),
     "stored_top_repos_aggregate_week": _top_repos("aggregate", "2024-01-24"),
     "stored_top_repos_push_month": _top_repos("push", "2024-01-01"),
@@ -332,5 +368,11 @@ SELECT {DAY}, repo_name, round(score, 6) AS value FROM scores WHERE score > 0.50
     "incremental_counts": STORED_COUNTS,
     "incremental_details": STORED_DETAILS,
     "event_time_counts": EVENT_TIME,
+    "event_time_upserts": f"{EV} {_BY_CREATED_AT}",
+    "event_time_corrections": f"{_LATE} SELECT {DAY}, hour, event, repo_name, count, batch FROM late",
+    "event_time_late_rows": f"""{_LATE}
+SELECT {DAY}, hour, CAST(sum(count) AS BIGINT) AS rows, count(DISTINCT batch) AS batches
+FROM late GROUP BY late.create_date, hour""",
+    "broken_lines": BROKEN,
     "export_pending_days": EXPORT_PENDING,
 }

@@ -2,6 +2,7 @@
 
     python -m repotide backfill --landing s3a://bucket/ --out s3a://tables/ -y 2019 -m 06
     python -m repotide ingest --landing s3a://bucket/ --out s3a://tables/ --checkpoint s3a://state/ingest
+    python -m repotide event-time --landing s3a://bucket/ --out s3a://times/ --checkpoint s3a://state/times
     python -m repotide export --out s3a://tables/ --url jdbc:... --since 2019-06-01
 """
 
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ from repotide.plans.export import export_changes
 from repotide.plans.refresh import Settings
 from repotide.session import build_session
 from repotide.sources.jdbc import JdbcTarget
+from repotide.sources.landing import stream_events
 from repotide.sources.tables import TableStore
+from repotide.streaming.event_time import upsert_event_time_counts
 from repotide.streaming.ingest import ingest_available
 
 
@@ -34,8 +38,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--max-files", type=int)
 
-    for job in (month, ingest):
+    times = jobs.add_parser("event-time", help="count what has arrived by the events' own hours, late ones too")
+    times.add_argument("--checkpoint", required=True)
+    times.add_argument("--lateness-hours", type=int, default=2)
+
+    for job in (month, ingest, times):
         job.add_argument("--landing", required=True)
+    for job in (month, ingest):
         job.add_argument("--keep-unknown-language", action="store_true")
         job.add_argument("--hourly-details", action="store_true")
 
@@ -43,7 +52,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("--url", required=True)
     export.add_argument("--since", help="send every day from this one on again, also if it has not changed")
 
-    for job in (month, ingest, export):
+    for job in (month, ingest, times, export):
         job.add_argument("--out", required=True, help="root folder of the tables")
     args = parser.parse_args(argv)
     if args.job == "backfill":
@@ -65,6 +74,10 @@ def main(argv: list[str] | None = None) -> None:
         scope = F.col("create_date") >= as_date(args.since) if args.since else None
         export_changes(store, JdbcTarget(args.url, properties), scope, all_days=bool(args.since))
         return
+    if args.job == "event-time":
+        raw = stream_events(spark, args.landing)
+        upsert_event_time_counts(raw, args.out, args.checkpoint, timedelta(hours=args.lateness_hours))
+        return
     settings = Settings(require_language=not args.keep_unknown_language, hourly_details=args.hourly_details)
     if args.job == "backfill":
         backfill_month(spark, args.landing, args.out, args.year, args.month, settings)

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from repotide.functions.calendar import Hour, by_month, days_scope, hours_scope
 from repotide.operators.daily import daily_event_top, daily_user_top
@@ -24,7 +24,7 @@ from repotide.operators.details import repo_detail_rows, scored_repo_details_fro
 from repotide.operators.hourly import hourly_event_counts, hourly_user_pushes
 from repotide.operators.scoring import aggregate_score
 from repotide.schemas import DAILY_TOP, HOURLY_MINIMUMS, HOURLY_USER_MINIMUM
-from repotide.sources.landing import canonical_events, read_events
+from repotide.sources.landing import broken_lines, canonical_events, files_with_broken_lines, read_events
 from repotide.sources.tables import TableStore
 
 
@@ -39,6 +39,9 @@ class Settings:
     # The detail rows of all repositories are an intermediate nothing here reads: those of
     # scored repositories come from the events table. Write them only where wanted.
     hourly_details: bool = False
+    # Keep lines that could not be read in the table broken_lines. They are noticed in the one pass over the
+    # JSON; only files that have some are read again.
+    keep_broken: bool = True
 
 
 def refresh_files(store: TableStore, files: Mapping[Hour, str], settings: Settings) -> None:
@@ -46,10 +49,25 @@ def refresh_files(store: TableStore, files: Mapping[Hour, str], settings: Settin
     for hours in _months(files):
         paths = [files[hour] for hour in sorted(hours)]
         days = {day for day, _ in hours}
-        write_events(store, canonical_events(read_events(store.spark, paths)), hours_scope(hours), days=days)
+        raw, scope, seen = read_events(store.spark, paths), hours_scope(hours), Observation()
+        if settings.keep_broken:
+            raw = raw.observe(seen, files_with_broken_lines().alias("files"))
+        write_events(store, canonical_events(raw), scope, days=days)
+        if settings.keep_broken:
+            _keep_broken(store, seen.get["files"], scope, days)
         _refresh_month(store, hours, settings)
 
 
+def _keep_broken(store: TableStore, files: list[str], scope: Column, days: set[date]) -> None:
+    """The broken lines of ``files`` take the place of those known of the hours."""
+    if files:
+        store.replace("broken_lines", broken_lines(read_events(store.spark, files)), scope, days=days)
+    else:
+        store.create("broken_lines")
+        for key in store.partitions("broken_lines", scope, days):
+            store.drop("broken_lines", key)
+
+
 def write_events(
     store: TableStore, events: DataFrame, scope: Column, by_file: bool = True, days: set[date] | None = None
 ) -> set[tuple]:

@@ -92,5 +92,11 @@ BOOKS = {
     for t in (
         # what the database has of a table's day; the row with the highest number is the state
         Table("exports", "name string, create_date date, rows bigint, digest string", "number bigint"),
+        # lines that could not be read, or only in part, of the hours' files
+        Table("broken_lines", "file string, line string, reason string, count bigint", _BY_HOUR),
+        # counts by event time: what each batch brought, their sums, and how far each batch had come
+        Table("event_time_deltas", "event string, repo_name string, count bigint, late boolean", f"{_BY_HOUR}, batch bigint"),
+        Table("event_time_counts", "event string, repo_name string, count bigint", _BY_HOUR),
+        Table("event_time_batches", "query string, newest timestamp, undated bigint", "batch bigint"),
     )
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotide.functions import naming
@@ -18,6 +18,9 @@ FILE_LIST_SCHEMA = "path string, modificationTime timestamp, length bigint, cont
 # Spark's default skips files more than a week older than the newest one it has seen.
 NEVER_TOO_OLD = "36500d"
 
+#: Column with the text of a line that could not be read.
+BROKEN = "broken"
+
 _HEAD = "payload.pull_request.head.repo"
 # Our name and the archive's name of each head repository field.
 HEAD_FIELDS = {
@@ -33,10 +36,33 @@ HEAD_FIELDS = {
 def read_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw events of files or folders, ``.json`` or ``.json.gz``, with their ``file_path``.
 
-    A line that is no JSON reads as NULLs; the type filter of ``canonical_events`` drops it.
+    A line that is no JSON reads as NULLs; the type filter of ``canonical_events`` drops it. The line itself is
+    in ``broken``, as is one of which some field could not be read.
+    """
+    reader = spark.read.schema(f"{EVENT_SCHEMA}, {BROKEN} string").option("columnNameOfCorruptRecord", BROKEN)
+    return reader.option("recursiveFileLookup", True).json(paths).select("*", "_metadata.file_path")
+
+
+def files_with_broken_lines() -> Column:
+    """Aggregate for ``observe`` on raw events: a path for each file concerned, at most the files read."""
+    return F.collect_set(F.when(F.col(BROKEN).isNotNull(), F.col("file_path")))
+
+
+def broken_lines(raw: DataFrame) -> DataFrame:
+    """Lines that could not be read: hour, file, line, reason, and how often the file has the line.
+
+    ``no JSON`` lines have given no event; of a ``bad field`` one the other fields are in use.
     """
-    reader = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", True)
-    return reader.json(paths).select("*", "_metadata.file_path")
+    path = F.col("file_path")
+    # Spark parses only fields that are asked for, and finds a bad one only then
+    fields = F.xxhash64(*(c for c in raw.columns if c not in (BROKEN, "file_path"))).alias("fields")
+    reason = F.when(F.col("type").isNull() & F.col("id").isNull(), "no JSON").otherwise("bad field")
+    return (
+        raw.where(F.col(BROKEN).isNotNull())
+        .groupBy(naming.path_date(path).alias("create_date"), naming.path_hour(path).alias("hour"), path.alias("file"), F.col(BROKEN).alias("line"), reason.alias("reason"), fields)
+        .agg(F.count(F.lit(1)).alias("count"))
+        .drop("fields")
+    )
 
 
 def stream_events(spark: SparkSession, landing: str) -> DataFrame:

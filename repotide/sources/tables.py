@@ -69,26 +69,40 @@ class TableStore:
         into few files; Spark splits a day that is too large for one task. ``order`` sorts what a
         task then writes. ``days`` are those of ``scope``, as in ``read``.
         """
+        self.create(name)
+        before = self.partitions(name, scope, days)
+        written = self.write(name, df, gather, order)
+        for key in sorted(before - written):
+            self.drop(name, key)
+        return written
+
+    def write(
+        self, name: str, df: DataFrame, gather: bool = True, order: list[str] | None = None, seen: dict[str, Column] | None = None
+    ) -> set[tuple]:
+        """Overwrites the partitions of which ``df`` has rows and returns their keys.
+
+        ``seen`` has aggregates of the rows by name; their values take their place. It may name columns that the
+        table lacks. Rows whose keys are NULL are seen but not written.
+        """
         table = ALL[name]
-        rows = df.select(*table.schema.fieldNames())
+        rows = df if seen else df.select(*table.schema.fieldNames())
         if gather:
             rows = rows.hint("rebalance", *table.keys)
         if order:
             rows = rows.sortWithinPartitions(*order)
-        self.create(name)
-        before = self.partitions(name, scope, days)
-        seen = Observation()
+        # observed above all exchanges: what lies below an empty one is dropped from the plan, metrics and all
+        found, values = Observation(), seen or {}
+        rows = rows.observe(found, F.collect_set(F.struct(*table.keys)).alias("keys"), *(v.alias(k) for k, v in values.items()))
+        if seen:
+            rows = rows.dropna(subset=table.keys).select(*table.schema.fieldNames())
         (
-            rows.observe(seen, F.collect_set(F.struct(*table.keys)).alias("keys"))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*table.keys)
             .parquet(self.path(name))
         )
-        written = {tuple(key) for key in seen.get["keys"]}
-        for key in sorted(before - written):
-            self.drop(name, key)
-        return written
+        values.update({name: found.get[name] for name in values})
+        return {tuple(key) for key in found.get["keys"] if None not in tuple(key) or not seen}
 
     def drop(self, name: str, key: tuple) -> None:
         """Removes a partition, through the file system and without a job."""
