@@ -27,6 +27,7 @@ from repotide.plans.export import mark_exported, pending_days  # noqa: E402
 from repotide.plans.refresh import Settings  # noqa: E402
 from repotide.schemas import COUNTED_EVENTS, DETAIL_FIELDS, FORK, PUSH, WATCH  # noqa: E402
 from repotide.session import work_dir  # noqa: E402
+from repotide.sources.arrivals import passed_over  # noqa: E402
 from repotide.sources.clickstream import read_clickstream, write_landing  # noqa: E402
 from repotide.sources.landing import canonical_events, read_events, stream_events  # noqa: E402
 from repotide.sources.tables import TableStore  # noqa: E402
@@ -262,6 +263,18 @@ def _broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(lines.groupBy("create_date", "hour", "file_name", "line", "reason").agg(F.sum("count").alias("count")))
 
 
+def _passed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first six hours of the first five days are delivered again, after all others, in another folder."""
+    landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
+    events = read_clickstream(spark, sf_dir)
+    again = (F.col("create_date") <= "2024-01-05") & (F.col("hour") < 6)
+    for folder, some in (("first", events), ("second", events.where(again))):
+        write_landing(some, f"{landing}/{folder}", compressed=True)
+        ingest_available(spark, landing, out, state, SETTINGS)
+    name = F.regexp_extract(F.url_decode("delivery"), "([a-z]+/hour_file=[0-9-]+\\.json)$", 1)
+    return _plain(passed_over(TableStore(spark, out)).select("create_date", "hour", name.alias("delivery"), "reason"))
+
+
 def _export_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All has gone out but hour 23 of the second half of the month, which arrives then."""
     landing, out, state = (work_dir(spark, name) for name in ("landing", "tables", "state"))
@@ -344,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "event_time_corrections": lambda spark, sf_dir: _plain(corrections(_in_three_deliveries(spark, sf_dir))),
     "event_time_late_rows": lambda spark, sf_dir: _plain(late_rows(_in_three_deliveries(spark, sf_dir))),
     "broken_lines": _broken_lines,
+    "passed_over_deliveries": _passed_over,
     "export_pending_days": _export_pending,
 }
 

@@ -374,5 +374,10 @@ SELECT {DAY}, repo_name, round(score, 6) AS value FROM scores WHERE score > 0.50
 SELECT {DAY}, hour, CAST(sum(count) AS BIGINT) AS rows, count(DISTINCT batch) AS batches
 FROM late GROUP BY late.create_date, hour""",
     "broken_lines": BROKEN,
+    "passed_over_deliveries": f"""{EV}
+SELECT DISTINCT CAST(ev.create_date AS VARCHAR) AS create_date, hour,
+       'first/hour_file=' || strftime(ev.create_date, '%Y-%m-%d') || '-' || CAST(hour AS VARCHAR) || '.json' AS delivery,
+       'older delivery' AS reason
+FROM ev WHERE ev.create_date <= DATE '2024-01-05' AND hour < 6""",
     "export_pending_days": EXPORT_PENDING,
 }

@@ -19,6 +19,7 @@ from repotide.plans.backfill import backfill_month
 from repotide.plans.export import export_changes
 from repotide.plans.refresh import Settings
 from repotide.session import build_session
+from repotide.sources.arrivals import passed_over
 from repotide.sources.jdbc import JdbcTarget
 from repotide.sources.landing import stream_events
 from repotide.sources.tables import TableStore
@@ -33,6 +34,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     month = jobs.add_parser("backfill", help="build the tables of a month")
     month.add_argument("-y", "--year", required=True, help="four digits")
     month.add_argument("-m", "--month", required=True, help="two digits")
+    month.add_argument("--through", help="last month of a span, as 2021-05")
+    month.add_argument("--resume", action="store_true", help="leave out months done before with the same files")
 
     ingest = jobs.add_parser("ingest", help="process the files that have arrived")
     ingest.add_argument("--checkpoint", required=True)
@@ -52,13 +55,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     export.add_argument("--url", required=True)
     export.add_argument("--since", help="send every day from this one on again, also if it has not changed")
 
-    for job in (month, ingest, times, export):
+    arrivals = jobs.add_parser("arrivals", help="show deliveries that were passed over and lines that could not be read")
+
+    for job in (month, ingest, times, export, arrivals):
         job.add_argument("--out", required=True, help="root folder of the tables")
     args = parser.parse_args(argv)
     if args.job == "backfill":
         try:
             month_bounds(args.year, args.month)
-        except ValueError as error:
+            if args.through:
+                month_bounds(*args.through.split("-", 1))
+        except (ValueError, TypeError) as error:
             parser.error(str(error))
     return args
 
@@ -74,13 +81,19 @@ def main(argv: list[str] | None = None) -> None:
         scope = F.col("create_date") >= as_date(args.since) if args.since else None
         export_changes(store, JdbcTarget(args.url, properties), scope, all_days=bool(args.since))
         return
+    if args.job == "arrivals":
+        store = TableStore(spark, args.out)
+        for name, report in (("deliveries", passed_over), ("broken_lines", lambda s: s.read("broken_lines"))):
+            if store.exists(name):
+                report(store).orderBy("create_date", "hour").show(1000, truncate=False)
+        return
     if args.job == "event-time":
         raw = stream_events(spark, args.landing)
         upsert_event_time_counts(raw, args.out, args.checkpoint, timedelta(hours=args.lateness_hours))
         return
     settings = Settings(require_language=not args.keep_unknown_language, hourly_details=args.hourly_details)
     if args.job == "backfill":
-        backfill_month(spark, args.landing, args.out, args.year, args.month, settings)
+        backfill_month(spark, args.landing, args.out, args.year, args.month, settings, args.through, args.resume)
     else:
         ingest_available(spark, args.landing, args.out, args.checkpoint, settings, args.max_files)
 

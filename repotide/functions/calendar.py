@@ -55,10 +55,13 @@ def month_bounds(year: str, month: str) -> tuple[date, date]:
     return date(int(year), int(month), 1), date(int(year), int(month), last)
 
 
+def days_between(first: date, last: date) -> list[date]:
+    return [first + timedelta(days=n) for n in range((last - first).days + 1)]
+
+
 def months_between(first: date, last: date) -> list[str]:
     """``YYYY-MM`` of every month touched by the days ``first`` to ``last``."""
-    days = (first + timedelta(days=n) for n in range((last - first).days + 1))
-    return [f"{month[0]:%Y-%m}" for month in by_month(days)]
+    return [f"{month[0]:%Y-%m}" for month in by_month(days_between(first, last))]
 
 
 def by_month(days: Iterable[date]) -> list[list[date]]:

@@ -6,6 +6,9 @@ attached to a repository name are those of the repositories that sent it changes
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,3 +89,22 @@ def scored_repo_details_from_events(
     """
     rows = scored_repo_details(scores, pull_request_rows(events, require_language), score_rows)
     return attach_languages(rows, None if score_rows is None else 24 * score_rows)
+
+
+def hour_bits(hours: Iterable[int]) -> int:
+    """Hours of a day as bits of a number."""
+    return sum(1 << hour for hour in set(hours))
+
+
+def with_coverage(scores: DataFrame, lookups: DataFrame, hours: Mapping[date, int], require_language: bool) -> DataFrame:
+    """Adds ``covered``: whether stored details of the repository have all the hours of its day in ``hours`` (bits)."""
+    known = lookups.where(F.col("require_language") == require_language).select("create_date", "repo_name", F.col("hours").alias("looked_up"))
+    pairs = [part for day, bits in sorted(hours.items()) for part in (F.lit(day), F.lit(bits))]
+    needed = F.coalesce(F.create_map(*pairs)[F.col("create_date")], F.lit(0)) if pairs else F.lit(0)
+    covered = F.coalesce(F.col("looked_up"), F.lit(0)).bitwiseAND(needed) == needed
+    return scores.join(known, ["create_date", "repo_name"], "left").withColumn("covered", covered).drop("looked_up")
+
+
+def details_still_good(scores: DataFrame, details: DataFrame, score_rows: int | None = None) -> DataFrame:
+    """Stored details of repositories that are still scored, with the day's score as it is now."""
+    return scored_repo_details(scores, details.drop("score"), score_rows)

@@ -17,10 +17,17 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from repotide.functions.calendar import Hour, by_month, days_scope, hours_scope
 from repotide.operators.daily import daily_event_top, daily_user_top
-from repotide.operators.details import repo_detail_rows, scored_repo_details_from_events
+from repotide.operators.details import (
+    details_still_good,
+    hour_bits,
+    repo_detail_rows,
+    scored_repo_details_from_events,
+    with_coverage,
+)
 from repotide.operators.hourly import hourly_event_counts, hourly_user_pushes
 from repotide.operators.scoring import aggregate_score
 from repotide.schemas import DAILY_TOP, HOURLY_MINIMUMS, HOURLY_USER_MINIMUM
@@ -108,14 +115,7 @@ def _refresh_month(store: TableStore, hours: set[Hour], settings: Settings) -> N
         store.replace("hourly_events", hourly_event_counts(events, settings.minimums), new, days=days)
         store.replace("daily_events", daily_event_top(day_tables("hourly_events"), settings.top), whole, days=days)
         store.replace("repo_scores", aggregate_score(day_tables("daily_events")), whole, days=days)
-        # a new hour changes the day's scores, so all of the day's details are looked up again
-        details = scored_repo_details_from_events(
-            day_tables("repo_scores"),
-            day_tables("events"),
-            settings.require_language,
-            score_rows=len(days) * len(settings.minimums) * settings.top,
-        )
-        store.replace("repo_details", details, whole, days=days)
+        _refresh_details(store, hours, settings)
 
     def user_chain() -> None:
         store.replace("hourly_users", hourly_user_pushes(events, settings.user_minimum), new, days=days)
@@ -129,3 +129,52 @@ def _refresh_month(store: TableStore, hours: set[Hour], settings: Settings) -> N
     with ThreadPoolExecutor(len(chains)) as pool:
         for chain in [pool.submit(in_thread(chain)) for chain in chains]:
             chain.result()
+
+
+def details_of_days(store: TableStore, hours: set[Hour], settings: Settings) -> DataFrame:
+    """Details of the scored repositories of the days of ``hours``, which are new.
+
+    The new hours are looked up for all scored repositories. Of earlier hours, what is stored stays, with the new
+    score; only for repositories that have entered the list are the day's earlier events read, and only theirs.
+    """
+    days = {day for day, _ in hours}
+    whole = days_scope(days)
+    earlier = store.partitions("events", None, days) - hours
+    bits = {day: hour_bits(h for d, h in earlier if d == day) for day in days}
+    score_rows = len(days) * len(settings.minimums) * settings.top
+    scores = store.read("repo_scores", whole, days)
+
+    def looked_up(of: DataFrame, events: DataFrame) -> DataFrame:
+        return scored_repo_details_from_events(of, events, settings.require_language, score_rows)
+
+    fresh = looked_up(scores, store.read("events", hours_scope(hours), days))
+    if not earlier:
+        return fresh
+    store.create("detail_lookups")
+    scores = with_coverage(scores, store.read("detail_lookups", whole, days), bits, settings.require_language)
+    entered = {row.repo_name for row in scores.where(~F.col("covered")).select("repo_name").distinct().collect()}  # score_rows at most
+    store.create("repo_details")
+    stored = store.read("repo_details", whole & ~hours_scope(hours), days)
+    kept = details_still_good(scores.where("covered").drop("covered"), stored, score_rows)
+    result = fresh.unionByName(kept)
+    if entered:
+        before = store.read("events", hours_scope(earlier), days).where(F.col("repo_name").isin(sorted(entered)))
+        result = result.unionByName(looked_up(scores.where(~F.col("covered")).drop("covered"), before))
+    return result
+
+
+def _refresh_details(store: TableStore, hours: set[Hour], settings: Settings) -> None:
+    """Replaces the days' details, then notes what they were taken from.
+
+    A run cut short between the two leaves an older note, which sends the next run to the events once more.
+    """
+    days = {day for day, _ in hours}
+    whole = days_scope(days)
+    store.replace("repo_details", details_of_days(store, hours, settings), whole, days=days)
+    present = store.partitions("events", None, days)
+    bits = [(day, hour_bits(h for d, h in present if d == day)) for day in sorted(days)]
+    noted = store.read("repo_scores", whole, days).join(
+        F.broadcast(store.spark.createDataFrame(bits, "create_date date, hours int")), "create_date"  # one row a day
+    )
+    noted = noted.withColumn("require_language", F.lit(settings.require_language)).coalesce(1)  # a few names a day
+    store.replace("detail_lookups", noted, whole, gather=False, days=days)

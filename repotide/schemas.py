@@ -92,6 +92,12 @@ BOOKS = {
     for t in (
         # what the database has of a table's day; the row with the highest number is the state
         Table("exports", "name string, create_date date, rows bigint, digest string", "number bigint"),
+        # files as they arrived; a file is known by its path, and may be noted by more than one source
+        Table("deliveries", "hour int, path string, delivery string, modified timestamp, length bigint", "create_date date, source string"),
+        # which hours (a bit for each) the stored details of a scored repository were taken from
+        Table("detail_lookups", "repo_name string, hours int, require_language boolean", _BY_DAY),
+        # months that a backfill has finished, with a digest of the files they were made of
+        Table("finished_months", "settings string, files string", "month string"),
         # lines that could not be read, or only in part, of the hours' files
         Table("broken_lines", "file string, line string, reason string, count bigint", _BY_HOUR),
         # counts by event time: what each batch brought, their sums, and how far each batch had come

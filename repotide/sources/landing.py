@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,10 +106,10 @@ def canonical_events(raw: DataFrame, hour_from: str = "file") -> DataFrame:
 
 
 def list_files(spark: SparkSession, landing: str, first: date, last: date) -> DataFrame:
-    """Files of the hours from ``first`` to ``last``: day, hour, delivery and age.
+    """Files of the hours from ``first`` to ``last``: day, hour, path, delivery, age and length.
 
     Hours may lie at any depth, as what is read later is found at any depth too. Only names are
-    listed. Spark skips files of zero bytes, so these count as not delivered.
+    listed. Spark skips files of zero bytes, so these count as not delivered; ``empty_files`` finds them.
     """
     reader = spark.read.format("binaryFile").schema(FILE_LIST_SCHEMA).option("recursiveFileLookup", True)
     try:
@@ -126,19 +127,40 @@ def hours_of_files(files: DataFrame) -> DataFrame:
     hours = files.where(naming.is_hour_path(path)).select(
         naming.path_date(path).alias("create_date"),
         naming.path_hour(path).alias("hour"),
+        "path",
         naming.delivery(path).alias("delivery"),
-        "modificationTime",
+        F.col("modificationTime").alias("modified"),
+        "length",
     )
     return hours.where(F.col("create_date").isNotNull() & (F.col("hour") < 24))
 
 
 def newest_delivery(files: DataFrame) -> DataFrame:
     """What to read for each hour: where it was delivered more than once, the newest delivery."""
-    newest = F.max(F.struct("modificationTime", "delivery"))["delivery"]
-    return files.groupBy("create_date", "hour").agg(newest.alias("delivery"))
+    newest = F.max(F.struct("modified", "delivery"))["delivery"]
+    return files.where(F.col("length") > 0).groupBy("create_date", "hour").agg(newest.alias("delivery"))
+
+
+def empty_files(spark: SparkSession, landing: str, first: date, last: date) -> DataFrame:
+    """Files of zero bytes of the hours from ``first`` to ``last``, like ``list_files``.
+
+    Spark's sources leave these out, so the folder's names are listed once on the driver.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(landing)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().listLeafStatuses(files, root).mkString("\n") if files.exists(root) else ""
+    empty = re.findall(r"path=([^;]*);[^\n]*?length=0;[^\n]*?modification_time=(\d+)", found)
+    rows = [(path, datetime.fromtimestamp(int(ms) / 1000, timezone.utc), 0, None) for path, ms in empty]
+    listed = spark.createDataFrame(rows, FILE_LIST_SCHEMA)
+    return hours_of_files(listed).where(F.col("create_date").between(first, last))
 
 
 def hour_files(spark: SparkSession, landing: str, first: date, last: date) -> dict[Hour, str]:
     """The path to read for every hour present: one per hour, however many files it has."""
-    rows = newest_delivery(list_files(spark, landing, first, last)).collect()
+    return chosen(list_files(spark, landing, first, last))
+
+
+def chosen(files: DataFrame) -> dict[Hour, str]:
+    rows = newest_delivery(files).collect()
     return {(row.create_date, row.hour): row.delivery for row in rows}

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DateType, IntegralType, StructType
 
 from repotide.schemas import BOOKS, TABLES
 
 ALL = TABLES | BOOKS
 
 
+def _groups(pattern: str, text: str) -> list[tuple[str, ...]]:
+    return [match.groups() for match in re.finditer(pattern, text)]
+
+
+def _key(text: str, kind: DataType) -> object:
+    if isinstance(kind, DateType):
+        return date.fromisoformat(text)
+    return int(text) if isinstance(kind, IntegralType) else unquote(text)
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, date):
+        return f"DATE'{value}'"
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class TableStore:
     """Reads and replaces the tables below one root folder."""
 
@@ -45,10 +63,15 @@ class TableStore:
         empty = self._empty(table.schema)
         empty.write.mode("ignore").partitionBy(*table.keys).parquet(self.path(name))
 
-    def partitions(self, name: str, scope: Column, days: Iterable[date] | None = None) -> set[tuple]:
-        """Keys in ``scope`` that have rows now; reads no column, only file footers."""
-        keys = self.read(name, scope, days).select(*ALL[name].keys).distinct()
-        return {tuple(row) for row in keys.collect()}
+    def partitions(self, name: str, scope: Column | None = None, days: Iterable[date] | None = None) -> set[tuple]:
+        """Keys in ``scope`` that have rows now, told by the names of the folders, without a job."""
+        found = self._listed(name, days)
+        if scope is None or not found:
+            return found
+        # a list of values is filtered by the optimizer, on the driver
+        rows = ", ".join(f"({', '.join(map(_literal, key))})" for key in sorted(found))
+        values = self.spark.sql(f"SELECT * FROM VALUES {rows} AS keys({', '.join(ALL[name].keys)})")
+        return {tuple(row) for row in values.where(scope).collect()}
 
     def replace(
         self,
@@ -115,6 +138,26 @@ class TableStore:
         folders = [f"{self.path(name)}/create_date={day}" for day in sorted(set(days))]
         return [folder for folder in folders if (at := self._located(folder))[0].exists(at[1])]
 
+    def _listed(self, name: str, days: Iterable[date] | None) -> set[tuple]:
+        """Keys of the partitions that have a folder, those of ``days`` only if given."""
+        columns = [ALL[name].schema[key] for key in ALL[name].keys]
+        parts = [f"{column.name}=*" for column in columns]
+        if days is not None:
+            parts[0] = f"create_date={{{','.join(sorted(map(str, set(days))))}}}"
+            if parts[0].endswith("{}"):
+                return set()
+        files, root = self._located(self.path(name))
+        plain = re.sub(r"([\\\[\]{}*?])", r"\\\1", root.toString())
+        jvm = self.spark._jvm
+        found = jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(files, jvm.org.apache.hadoop.fs.Path("/".join([plain, *parts])))
+        names = found.mkString("\n")  # one call for all of them
+        pattern = "(?m)/" + "/".join(f"{column.name}=([^/\n]*)" for column in columns) + "$"
+        return {tuple(_key(text, column.dataType) for text, column in zip(key, columns)) for key in _groups(pattern, names)}
+
+    def exists(self, name: str) -> bool:
+        files, path = self._located(self.path(name))
+        return files.exists(path)
+
     def _located(self, folder: str) -> tuple:
         """The file system of a folder and its path there."""
         jvm, session = self.spark._jvm, self.spark._jsparkSession
