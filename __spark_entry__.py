@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_queries import NAMES, ORACLE  # noqa: E402
-from repotide.functions import calendar, joins, naming  # noqa: E402
+from repotide.functions import calendar, naming  # noqa: E402
 from repotide.operators import daily, details, hourly, scoring  # noqa: E402
 from repotide.plans import serving  # noqa: E402
 from repotide.plans.backfill import backfill  # noqa: E402
@@ -166,9 +166,9 @@ def _scored_details(events: DataFrame) -> DataFrame:
 
 
 def _scored_details_by_shuffle(events: DataFrame) -> DataFrame:
-    """No day's repository holds a twentieth of the rows, so all take the shuffled part of the join."""
+    """Without a bound of the scores, which are then not broadcast."""
     scores = scoring.aggregate_score(_daily_top(events))
-    return joins.lookup_join(details.repo_detail_rows(events), scores, ["create_date", "repo_name"], shares=20)
+    return details.scored_repo_details(scores, details.repo_detail_rows(events))
 
 
 def _scored_details_from_events(events: DataFrame) -> DataFrame:
@@ -337,6 +337,9 @@ QUERIES: dict[str, Query] = {
     "repo_profile": _on_tables(lambda t: serving.repo_profile(t, "month", AS_OF)),
     "repo_profile_of": _on_tables(lambda t: serving.repo_profile(t, "month", AS_OF, (name for name in NAMES))),
     "stored_repo_profile_of": _on_stored(lambda t: serving.repo_profile(t, "month", AS_OF, NAMES)),
+    "stored_latest_repo_details": lambda spark, sf_dir: _plain(
+        serving.latest_repo_details(serving.TrendTables.stored(_ingested(spark, sf_dir, SETTINGS))), *_DETAILS
+    ),
     "stored_top_repos_aggregate_week": _on_stored(lambda t: serving.top_repos(t, serving.AGGREGATE, "week", AS_OF)),
     "stored_top_repos_push_month": _on_stored(lambda t: serving.top_repos(t, "push", "month", AS_OF)),
     "stored_repos_over": _on_stored(lambda t: serving.repos_over(t, "push", 2)),

@@ -354,6 +354,8 @@ SELECT {DAY}, hour, repo_name, round(score, 6) AS score, languages, {FIELDS}, id
     "stored_repo_profile_of": _profile_of(
         _with(*SCORE_CHAIN, *USER_CHAIN, TOP_USERS, _user_ranks("top_users"), _details(True), SCORED, _latest("scored"))
     ),
+    "stored_latest_repo_details": f"""{_with(*SCORE_CHAIN, _details(True), SCORED, _latest("scored"))}
+SELECT repo_name, {DAY}, hour, languages, {FIELDS}, id FROM latest""",
     "stored_top_repos_aggregate_week": _top_repos("aggregate", "2024-01-24"),
     "stored_top_repos_push_month": _top_repos("push", "2024-01-01"),
     "stored_repos_over": f"""{_with(_hourly(0), DAILY, TOP)}

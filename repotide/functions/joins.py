@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Broadcast limit. Rows here are a few names and numbers, some 100 bytes.
 BROADCAST_ROWS = 1_000_000
-_SHARES = 10_000
+SALTS = 4
 
 
 def may_broadcast(row_bound: int | None) -> bool:
@@ -15,28 +15,14 @@ def may_broadcast(row_bound: int | None) -> bool:
     return row_bound is not None and row_bound <= BROADCAST_ROWS
 
 
-def lookup_join(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str | None = None, shares: int = _SHARES
-) -> DataFrame:
+def salted_join(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str, salts: int = SALTS) -> DataFrame:
     """Inner join of ``rows`` with ``lookup``, which has one row per key.
 
-    A key is hot if it owns more than 1/``shares`` of all rows, so fewer than ``shares`` keys
-    are: their lookup rows are broadcast and their rows stay where they are. The other
-    keys meet in a shuffle join whose largest key holds 1/``shares`` of the rows.
-    The frames are read several times, so they should be stored ones or cheap to compute.
-    ``weight`` names a column of ``lookup``, if it has every key of ``rows``, with the number of
-    rows per key; otherwise they are counted.
+    Both meet by the keys and a salt, a hash of the column ``spread`` that tells a key's rows apart; each lookup
+    row goes once to each salt. Both sides are plain exchanges, so that the skew join can split a key further
+    where ``salts`` parts of it are still large. Each frame is read once.
     """
-    size = "n" if weight is None else weight
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size)) if weight is None else lookup
-    total = sizes.select(F.sum(size)).scalar()
-    is_hot = F.col(size) * shares > total
-    hot_keys = F.broadcast(sizes.where(is_hot).select(*keys))
-    if weight is None:
-        hot_lookup, cold_lookup = (lookup.join(hot_keys, keys, how) for how in ("left_semi", "left_anti"))
-    else:
-        hot_lookup, cold_lookup = lookup.where(is_hot), lookup.where(~is_hot)
-        hot_lookup, cold_lookup = hot_lookup.drop(weight), cold_lookup.drop(weight)
-    hot = rows.join(F.broadcast(hot_lookup), keys)
-    cold = rows.join(hot_keys, keys, "left_anti").join(cold_lookup, keys)
-    return hot.unionByName(cold)
+    salt = "join_salt_"
+    copies = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    return salted.join(copies, [*keys, salt]).drop(salt)

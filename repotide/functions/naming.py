@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from repotide.schemas import NAME_BUCKETS
+
 # An hour is one file, or a folder with part files at any depth. Group 1 is the
 # delivery (file or folder), 2 the day, 3 the hour.
 HOUR_PATH = r"^(.*?(\d{4}-\d{2}-\d{2})-(\d{1,2})\.json(?:\.gz)?)(?:/.*)?$"
@@ -28,3 +30,8 @@ def path_date(path: Column) -> Column:
 
 def path_hour(path: Column) -> Column:
     return F.regexp_extract(path, HOUR_PATH, 3).try_cast("int")
+
+
+def name_bucket(name: Column) -> Column:
+    """Partition of a name in tables that are looked up by it."""
+    return F.pmod(F.xxhash64(name), F.lit(NAME_BUCKETS)).cast("int")

@@ -12,11 +12,12 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repotide.functions.joins import lookup_join, may_broadcast
+from repotide.functions.joins import may_broadcast, salted_join
+from repotide.functions.ranking import top_per_group
 from repotide.schemas import DETAIL_FIELDS, PULL_REQUEST
 
-_SALTS = 4
 HOUR_REPO = ["create_date", "hour", "repo_name"]
+NEWEST = ("create_date", "hour", "created_at", "id")
 
 
 def pull_request_rows(events: DataFrame, require_language: bool = True) -> DataFrame:
@@ -58,8 +59,7 @@ def attach_languages(rows: DataFrame, list_rows: int | None = None) -> DataFrame
     rows = rows.drop("language")
     if may_broadcast(list_rows):
         return rows.join(F.broadcast(lists), HOUR_REPO)
-    salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(_SALTS)).cast("int")).join(salted, [*HOUR_REPO, "salt"]).drop("salt")
+    return salted_join(rows, lists, HOUR_REPO, "id")
 
 
 def repo_detail_rows(events: DataFrame, require_language: bool = True) -> DataFrame:
@@ -71,12 +71,13 @@ def scored_repo_details(scores: DataFrame, details: DataFrame, score_rows: int |
     """Detail rows of the scored repositories, with the day's score.
 
     ``score_rows`` is a proven upper bound of the rows of ``scores``, which decides on
-    broadcasting them; without one the join is by shuffle.
+    broadcasting them; without one the join is by shuffle, salted so that a repository may have any
+    number of rows.
     """
     keys = ["create_date", "repo_name"]
     if may_broadcast(score_rows):
         return details.join(F.broadcast(scores), keys)
-    return lookup_join(details, scores, keys)
+    return salted_join(details, scores, keys, "id")
 
 
 def scored_repo_details_from_events(
@@ -108,3 +109,9 @@ def with_coverage(scores: DataFrame, lookups: DataFrame, hours: Mapping[date, in
 def details_still_good(scores: DataFrame, details: DataFrame, score_rows: int | None = None) -> DataFrame:
     """Stored details of repositories that are still scored, with the day's score as it is now."""
     return scored_repo_details(scores, details.drop("score"), score_rows)
+
+
+def newest_details(details: DataFrame) -> DataFrame:
+    """The newest row of each repository: by hour, then event time, then id."""
+    newest = [F.desc(column) for column in NEWEST]
+    return top_per_group(details, ["repo_name"], newest, 1)

@@ -30,6 +30,7 @@ from repotide.operators.details import (
 )
 from repotide.operators.hourly import hourly_event_counts, hourly_user_pushes
 from repotide.operators.scoring import aggregate_score
+from repotide.plans.latest import refresh_latest
 from repotide.schemas import DAILY_TOP, HOURLY_MINIMUMS, HOURLY_USER_MINIMUM
 from repotide.sources.landing import broken_lines, canonical_events, files_with_broken_lines, read_events
 from repotide.sources.tables import TableStore
@@ -178,3 +179,4 @@ def _refresh_details(store: TableStore, hours: set[Hour], settings: Settings) ->
     )
     noted = noted.withColumn("require_language", F.lit(settings.require_language)).coalesce(1)  # a few names a day
     store.replace("detail_lookups", noted, whole, gather=False, days=days)
+    refresh_latest(store, days, len(days) * len(settings.minimums) * settings.top)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from repotide.functions.calendar import window_start
 from repotide.functions.display import flag_text, languages_text, number_text, repo_url
-from repotide.functions.ranking import top_per_group, with_rank
+from repotide.functions.naming import name_bucket
+from repotide.functions.ranking import with_rank
+from repotide.operators.details import newest_details
 from repotide.schemas import DETAIL_FIELDS, FORK, PUSH, WATCH
 from repotide.sources.tables import TableStore
 
@@ -29,18 +31,18 @@ Names = DataFrame | Iterable[str] | None
 
 @dataclass(frozen=True)
 class TrendTables:
-    """The daily tables, stored or computed."""
+    """The daily tables, stored or computed. ``repo_latest``, where it is kept, answers for the newest details."""
 
     daily_events: DataFrame
     repo_users: DataFrame
     repo_scores: DataFrame
     repo_details: DataFrame
+    repo_latest: DataFrame | None = None
 
     @staticmethod
     def stored(store: TableStore) -> TrendTables:
-        return TrendTables(
-            *(store.read(name) for name in ("daily_events", "repo_users", "repo_scores", "repo_details"))
-        )
+        names = ["daily_events", "repo_users", "repo_scores", "repo_details"]
+        return TrendTables(*(store.read(name) for name in names + ["repo_latest"] * store.exists("repo_latest")))
 
 
 def metric_values(tables: TrendTables, metric: str) -> tuple[DataFrame, str]:
@@ -117,9 +119,17 @@ def top_users(tables: TrendTables, window: str | int, as_of: Day, k: int = TOP_R
 
 
 def latest_repo_details(tables: TrendTables, repos: Names = None) -> DataFrame:
-    """The newest detail row of each repository."""
-    newest = [F.desc(column) for column in ("create_date", "hour", "created_at", "id")]
-    return top_per_group(of_repos(tables.repo_details, repos), ["repo_name"], newest, 1)
+    """The newest detail row of each repository.
+
+    Read from the kept table, of the buckets of the given names only; else searched in all details.
+    """
+    repos = as_names(repos)
+    if tables.repo_latest is None:
+        return newest_details(of_repos(tables.repo_details, repos))
+    latest = tables.repo_latest
+    if isinstance(repos, tuple):
+        latest = latest.where(F.col("bucket").isin([name_bucket(F.lit(name)) for name in repos]) if repos else F.lit(False))
+    return of_repos(latest, repos).select(*tables.repo_details.columns)
 
 
 def repo_profile(

@@ -68,6 +68,9 @@ class Table:
 _BY_HOUR = "create_date date, hour int"
 _BY_DAY = "create_date date"
 
+#: Buckets of the tables that are looked up by name.
+NAME_BUCKETS = 64
+
 TABLES = {
     t.name: t
     for t in (
@@ -83,6 +86,8 @@ TABLES = {
         Table("repo_users", "repo_name string, user_name string, count bigint", _BY_DAY),
         Table("repo_scores", "repo_name string, score double", _BY_DAY),
         Table("repo_details", f"repo_name string, score double, hour int, {_DETAIL_DDL}", _BY_DAY),
+        # the newest row of repo_details for each repository, by a hash of its name
+        Table("repo_latest", f"repo_name string, score double, create_date date, hour int, {_DETAIL_DDL}", "bucket int"),
     )
 }
 

@@ -1,0 +1,112 @@
+"""The kept table of newest details against the whole history."""
+
+import json
+import os
+import random
+from datetime import date
+
+import pytest
+
+from repotide.plans import serving
+from repotide.plans.backfill import backfill
+from repotide.plans.refresh import Settings
+from repotide.sources.tables import TableStore
+from repotide.streaming.ingest import ingest_available
+
+from . import archive
+
+FIRST, LAST = date(2019, 6, 1), date(2019, 7, 31)
+FEW = Settings(minimums={archive.PUSH: 0}, user_minimum=0, top=3)
+
+
+def hour_rows(rng, day, hour, repos):
+    rows = []
+    for n, repo in enumerate(repos):
+        rows += [json.dumps(archive.event(100 * hour + n, day, hour, archive.PUSH, repo, f"u{n}")) for _ in range(rng.randrange(1, 4))]
+        rows += [json.dumps(archive.pull(1000 * hour + 10 * n + k, day, hour, repo, "Go")) for k in range(rng.randrange(0, 3))]
+    return rows
+
+
+def searched(store):
+    """What the history gives, without the kept table."""
+    tables = serving.TrendTables(*(store.read(n) for n in ("daily_events", "repo_users", "repo_scores", "repo_details")))
+    return rows_of(serving.latest_repo_details(tables), tables.repo_details.columns)
+
+
+def rows_of(frame, columns):
+    return sorted(map(repr, map(tuple, frame.select(*columns).collect())))
+
+
+def kept(store):
+    tables = serving.TrendTables.stored(store)
+    assert tables.repo_latest is not None
+    return rows_of(serving.latest_repo_details(tables), tables.repo_details.columns)
+
+
+def test_it_follows_every_change(spark, tmp_path):
+    landing, out, state = (str(tmp_path / n) for n in ("landing", "tables", "state"))
+    rng, store = random.Random(11), TableStore(spark, out)
+    arrivals = [
+        ("2019-06-27", 3, ["a", "b", "c"]),
+        ("2019-07-02", 5, ["a", "d"]),
+        ("2019-06-28", 1, ["b", "d"]),  # an older day comes later
+        ("2019-07-02", 5, ["d"]),  # again, without a, which falls back to an older day
+        ("2019-06-27", 4, ["c", "e"]),
+        ("2019-07-02", 5, []),  # again, with nothing
+    ]
+    seen = []
+    for n, (day, hour, repos) in enumerate(arrivals):
+        rows = hour_rows(rng, day, hour, repos) or [json.dumps(archive.event(1, day, hour, "IssuesEvent", "x", "u"))]
+        path = archive.put(f"{landing}/{n}", day, hour, rows)
+        os.utime(path, (1.9e9 + n, 1.9e9 + n))
+        ingest_available(spark, landing, out, state, FEW)
+        assert kept(store) == searched(store), n
+        seen.append(kept(store))
+    assert len({tuple(x) for x in seen}) >= 4
+    assert kept(backfill(spark, landing, str(tmp_path / "whole"), FIRST, LAST, FEW)) == seen[-1]
+
+
+@pytest.fixture(scope="module")
+def many(spark, tmp_path_factory):
+    landing, rng = str(tmp_path_factory.mktemp("landing")), random.Random(2)
+    for day in ("2019-06-27", "2019-06-28"):
+        archive.put(landing, day, 1, hour_rows(rng, day, 1, [f"r/{k}" for k in range(90)]))
+    settings = Settings(minimums={archive.PUSH: 0}, user_minimum=0, top=90)
+    return backfill(spark, landing, str(tmp_path_factory.mktemp("tables")), FIRST, LAST, settings)
+
+
+def scanned(frame):
+    """Rows that the scans of a frame have given."""
+    frame.collect()
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(node.plan())
+        elif name == "FileSourceScanExec":
+            found += int(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_a_profile_of_two_names_reads_their_buckets(spark, many):
+    tables = serving.TrendTables.stored(many)
+    everyone = serving.latest_repo_details(tables).count()
+    read = scanned(serving.latest_repo_details(tables, ["r/1", "r/2"]))
+    assert 2 <= read <= everyone / 4 and everyone > 40
+    assert serving.latest_repo_details(tables, []).count() == 0
+    profile = serving.repo_profile(tables, "month", "2019-07-01", ["r/1", "r/2", "none"]).collect()
+    assert [(r.repo_name, bool(r.users)) for r in sorted(profile)] == [("none", False), ("r/1", True), ("r/2", True)]
+
+
+def test_the_newest_details_are_not_sorted_for(spark, many):
+    tables = serving.TrendTables.stored(many)
+    for repos in (None, ["r/1"], spark.createDataFrame([("r/1",)], "repo_name string")):
+        plan = serving.latest_repo_details(tables, repos)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Aggregate" not in plan
+        assert "Sort" not in plan or "SortMergeJoin" in plan
+    assert kept(many) == searched(many)

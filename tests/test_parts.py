@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from repotide.__main__ import parse
 from repotide.functions import calendar, naming
-from repotide.functions.joins import lookup_join
+from repotide.functions.joins import salted_join
 from repotide.functions.ranking import with_rank
 from repotide.operators import daily, details, hourly, scoring
 from repotide.plans import serving
@@ -33,21 +33,26 @@ def skewed_rows(n=3000):
     return rows + [(f"k{random.randrange(400)}", i) for i in range(n - len(rows))]
 
 
-@pytest.mark.parametrize("shares", [2, 20, 10_000])
-@pytest.mark.parametrize("weighted", [False, True])
-def test_lookup_join_with_a_hot_key(spark, shares, weighted):
-    """Whatever is called hot, none, one or all keys, the result is the plain join's."""
+@pytest.mark.parametrize("salts", [1, 4, 16])
+def test_salted_join_with_a_hot_key(spark, salts):
     rows = spark.createDataFrame(skewed_rows(), "key string, value int")
-    lookup = rows.where("key <> 'k7'").groupBy("key").agg(F.max("value").alias("top"), F.count("*").alias("n"))
-    weight = "n" if weighted else None
-    if not weighted:
-        lookup = lookup.drop("n")
-    joined = lookup_join(rows, lookup, ["key"], weight, shares)
-    plain = rows.join(lookup.select("key", "top"), "key")
+    lookup = rows.where("key <> 'k7'").groupBy("key").agg(F.max("value").alias("top"))
+    joined = salted_join(rows, lookup, ["key"], "value", salts)
+    plain = rows.join(lookup, "key")
     assert sorted(joined.columns) == sorted(plain.columns)
     assert sorted(map(tuple, joined.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_scored_details_without_a_bound_read_each_frame_once(spark, tmp_path):
+    frame = spark.range(100).selectExpr("date'2019-06-27' as create_date", "concat('r', id % 3) as repo_name", "cast(id as string) as id")
+    frame.write.parquet(str(tmp_path / "d"))
+    frame.selectExpr("create_date", "repo_name", "1.0D as score").distinct().write.parquet(str(tmp_path / "s"))
+    joined = details.scored_repo_details(spark.read.parquet(str(tmp_path / "s")), spark.read.parquet(str(tmp_path / "d")))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Exchange") <= 2
+    assert joined.count() == 100
+
+
 def test_languages_of_a_hot_repository(spark):
     rows = [(date(2019, 6, 27), 0, r, f"l{i % 3}", i) for i, (r, _) in enumerate(skewed_rows(900))]
     frame = spark.createDataFrame(rows, "create_date date, hour int, repo_name string, language string, id int")
