@@ -8,14 +8,14 @@ the name. When the details of some days are replaced, a repository's newest row
 - else, where a repository has lost the day of its stored row, the newest of the other days, for which the history
   is read, for these repositories alone.
 
-Nothing is sorted to answer a question, and one for some names reads the buckets of these names only.
+The table is small, so it is written as a whole. Nothing is sorted to answer a question, and one for some names reads
+the buckets of these names only.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repotide.functions.calendar import days_scope
@@ -27,10 +27,6 @@ from repotide.schemas import TABLES
 from repotide.sources.tables import TableStore
 
 
-def _semi(df: DataFrame, names: DataFrame, how: str, name_rows: int | None) -> DataFrame:
-    return df.join(F.broadcast(names) if may_broadcast(name_rows) else names, "repo_name", how)
-
-
 def refresh_latest(store: TableStore, days: set[date], name_rows: int | None = None) -> None:
     """Follows the details of ``days``, which have just been replaced.
 
@@ -40,22 +36,15 @@ def refresh_latest(store: TableStore, days: set[date], name_rows: int | None = N
     store.create("repo_latest")
     whole = days_scope(days)
     kept = [c for c in TABLES["repo_latest"].schema.fieldNames() if c != "bucket"]
-    stored = store.read("repo_latest")
-    fresh = newest_details(store.read("repo_details", whole, days)).select(*kept)
-    replaced = stored.where(whole).select("repo_name", F.col("create_date").alias("old_day"))
-    # a repository that has lost its newest day falls back to an older one
-    fell = F.col("old_day").isNotNull() & (F.col("new_day").isNull() | (F.col("new_day") < F.col("old_day")))
-    touched = fresh.select("repo_name", F.col("create_date").alias("new_day")).join(replaced, "repo_name", "full_outer")
-    touched = touched.select("repo_name", fell.alias("fell"), name_bucket(F.col("repo_name")).alias("bucket"))
-    state = touched.groupBy("bucket").agg(F.max("fell").alias("fell")).collect()  # NAME_BUCKETS rows at most
-    if not state:
-        return
-    frames = [fresh, stored.where(~whole).select(*kept)]
-    if any(row.fell for row in state):
+    stored, details = store.read("repo_latest"), store.read("repo_details", whole, days)
+    # a repository whose stored row's day has no details of it any more falls back to an older one
+    now = details.select("repo_name", "create_date")
+    now = F.broadcast(now.distinct()) if may_broadcast(name_rows) else now
+    fallen = stored.where(whole).join(now, ["repo_name", "create_date"], "left_anti").select("repo_name")
+    frames = [details.select(*kept), stored.where(~whole).select(*kept)]
+    if not fallen.isEmpty():
         history = store.read("repo_details", ~whole).select(*kept)
-        frames.append(newest_details(_semi(history, touched.where("fell").select("repo_name"), "left_semi", name_rows)))
-    buckets = sorted(row.bucket for row in state)
-    scope = F.col("bucket").isin(buckets)
-    bucket = name_bucket(F.col("repo_name")).alias("bucket")
-    rows = stack(*(frame.where(name_bucket(F.col("repo_name")).isin(buckets)) for frame in frames))
-    store.replace("repo_latest", newest_details(rows).select("*", bucket), scope)
+        fallen = F.broadcast(fallen) if may_broadcast(name_rows) else fallen
+        frames.append(history.join(fallen, "repo_name", "left_semi"))
+    rows = newest_details(stack(*frames)).withColumn("bucket", name_bucket(F.col("repo_name")))
+    store.replace("repo_latest", rows, F.lit(True))

@@ -10,7 +10,7 @@ the steps before.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
@@ -125,11 +125,7 @@ def _refresh_month(store: TableStore, hours: set[Hour], settings: Settings) -> N
     def all_details() -> None:
         store.replace("hourly_repo_details", repo_detail_rows(events, settings.require_language), new, days=days)
 
-    in_thread = inheritable_thread_target(store.spark)
-    chains = [event_chain, user_chain] + [all_details] * settings.hourly_details
-    with ThreadPoolExecutor(len(chains)) as pool:
-        for chain in [pool.submit(in_thread(chain)) for chain in chains]:
-            chain.result()
+    _together(store, [event_chain, user_chain] + [all_details] * settings.hourly_details)
 
 
 def details_of_days(store: TableStore, hours: set[Hour], settings: Settings) -> DataFrame:
@@ -165,18 +161,30 @@ def details_of_days(store: TableStore, hours: set[Hour], settings: Settings) ->
 
 
 def _refresh_details(store: TableStore, hours: set[Hour], settings: Settings) -> None:
-    """Replaces the days' details, then notes what they were taken from.
+    """Replaces the days' details, then notes what they were taken from and follows with the newest ones.
 
-    A run cut short between the two leaves an older note, which sends the next run to the events once more.
+    A run cut short before the note leaves an older one, which sends the next run to the events once more.
     """
     days = {day for day, _ in hours}
     whole = days_scope(days)
     store.replace("repo_details", details_of_days(store, hours, settings), whole, days=days)
-    present = store.partitions("events", None, days)
-    bits = [(day, hour_bits(h for d, h in present if d == day)) for day in sorted(days)]
-    noted = store.read("repo_scores", whole, days).join(
-        F.broadcast(store.spark.createDataFrame(bits, "create_date date, hours int")), "create_date"  # one row a day
-    )
-    noted = noted.withColumn("require_language", F.lit(settings.require_language)).coalesce(1)  # a few names a day
-    store.replace("detail_lookups", noted, whole, gather=False, days=days)
-    refresh_latest(store, days, len(days) * len(settings.minimums) * settings.top)
+    score_rows = len(days) * len(settings.minimums) * settings.top
+
+    def note() -> None:
+        present = store.partitions("events", None, days)
+        bits = [(day, hour_bits(h for d, h in present if d == day)) for day in sorted(days)]
+        noted = store.read("repo_scores", whole, days).join(
+            F.broadcast(store.spark.createDataFrame(bits, "create_date date, hours int")), "create_date"  # one row a day
+        )
+        noted = noted.withColumn("require_language", F.lit(settings.require_language)).coalesce(1)  # a few names a day
+        store.replace("detail_lookups", noted, whole, gather=False, days=days)
+
+    _together(store, [note, lambda: refresh_latest(store, days, score_rows)])
+
+
+def _together(store: TableStore, jobs: list[Callable[[], None]]) -> None:
+    """Independent jobs, which share the cluster; the first error is raised once all have ended."""
+    in_thread = inheritable_thread_target(store.spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for job in [pool.submit(in_thread(job)) for job in jobs]:
+            job.result()

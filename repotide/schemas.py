@@ -69,7 +69,7 @@ _BY_HOUR = "create_date date, hour int"
 _BY_DAY = "create_date date"
 
 #: Buckets of the tables that are looked up by name.
-NAME_BUCKETS = 64
+NAME_BUCKETS = 16
 
 TABLES = {
     t.name: t
