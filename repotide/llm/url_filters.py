@@ -7,7 +7,8 @@ distributed job, carry decisions to the addresses for which no rule fits: in a c
 explicitly allowed address they are allowed, else with a blocked one they are blocked, else allowed. An
 address with a rule of its own keeps that rule's verdict.
 
-Addresses are one node if they differ only in scheme, fragment, tracking parameters or a closing slash.
+Addresses are one node if they differ only in scheme, its default port, fragment, tracking parameters, a closing
+slash, dot segments, or escapes of characters that need none.
 Targets that are no pages are nodes too, and rules judge them. Rules are joined by host suffix, so a list
 may be long; html is read once and not shuffled.
 
@@ -51,12 +52,56 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(_after_scheme(url), "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def _unescaped(path: Column) -> Column:
+    """Escapes of letters, digits and ``-._~`` written out, the others in upper case."""
+
+    def one(part: Column) -> Column:
+        code, rest = F.upper(F.substring(part, 1, 2)), F.substring(part, 3, F.length(part))
+        byte = F.char(F.conv(code, 16, 10).cast("int"))
+        written = F.when(byte.rlike("^[A-Za-z0-9._~-]$"), byte).otherwise(F.concat(F.lit("%"), code))
+        return F.when(code.rlike("^[0-9A-F]{2}$"), F.concat(written, rest)).otherwise(F.concat(F.lit("%"), part))
+
+    def joined(parts: Column) -> Column:
+        after = F.transform(F.slice(parts, F.lit(2), F.size(parts)), one)
+        return F.concat(F.element_at(parts, 1), F.array_join(after, ""))
+
+    return F.when(F.contains(path, F.lit("%")), let(F.split(path, "%"), joined)).otherwise(path)
+
+
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` resolved; what would leave the top stays there."""
+
+    def step(kept: Column, part: Column) -> Column:
+        shorter = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", shorter).otherwise(F.concat(kept, F.array(part)))
+
+    def resolved(parts: Column) -> Column:
+        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+        ends = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+        return F.concat(F.array_join(kept, "/"), ends)
+
+    return F.when(path.rlike("/\\.\\.?(/|$)"), let(F.split(path, "/"), resolved)).otherwise(path)
+
+
+def normal(url: Column) -> Column:
+    """An address with its default port left out and escapes and dot segments of its path resolved."""
+    scheme = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    host = host_of(url)
+    host = F.when(scheme == "http", F.regexp_replace(host, ":(80)?$", "")).when(scheme == "https", F.regexp_replace(host, ":(443)?$", "")).otherwise(host)
+    rest = F.regexp_extract(_after_scheme(url), "^[^?#]*(.*)$", 1)
+    return F.when(F.instr(url, "://") > 0, F.concat(scheme, F.lit("://"), host, _without_dots(_unescaped(path_of(url))), rest))
+
+
 def node_of(url: Column) -> Column:
-    """An address without scheme, fragment, tracking parameters and closing slash; null without ``://``."""
+    """A normal address without scheme, fragment, tracking parameters and closing slash; null without ``://``."""
+    return let(normal(url), _node)
+
+
+def _node(url: Column) -> Column:
     query = F.regexp_extract(_after_scheme(url), "^[^?#]*\\?([^#]*)", 1)
     query = F.regexp_replace(F.regexp_replace(query, TRACKING, ""), "^&+", "")
     path = F.regexp_replace(path_of(url), "/+$", "")
-    return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
+    return F.when(url.isNotNull(), F.concat(host_of(url), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -115,7 +160,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
     read = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"), node_of(url).alias("node"), _targets(F.col("html")).alias("targets"))
     read = stored(read, "page-links")
     linked = read.where("node is not null and size(targets) > 0").select("node", "url", F.explode("targets").alias("target"))
-    linked = linked.select("node", _absolute(F.col("target"), F.col("url")).alias("target")).where("target is not null")
+    linked = linked.select("node", normal(_absolute(F.col("target"), F.col("url"))).alias("target")).where("target is not null")
     linked = linked.select("node", host_of(F.col("target")).alias("host"), path_of(F.col("target")).alias("path"), node_of(F.col("target")).alias("to"))
     linked = stored(linked.distinct(), "alias-edges")
     aliases = components(linked.select("node", "to"))

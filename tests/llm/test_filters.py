@@ -292,3 +292,75 @@ def test_disclosing_terms_are_those_of_brute_force(documents, monkeypatch, copie
 def test_sanitised_texts_have_their_length(documents):
     got = pii.sanitise(documents(entities_and_terms())).collect()
     assert all(r["n_chars"] == len(r["text"]) for r in got) and any("<EMAIL>" in r["text"] for r in got)
+
+
+FORMS = [
+    ("HTTPS://A.org:443/x/./y/../%7Ez%2f%zz?q=1#f", "a.org/x/~z%2F%zz?q=1"),
+    ("http://a.org:80/../../b/.", "a.org/b"),
+    ("http://a.org:443/%41%2D%5f%C3%a9", "a.org:443/A-_%C3%A9"),
+    ("https://a.org:80", "a.org:80"),
+    ("http://a.org/a//b/..c/...", "a.org/a//b/..c/..."),
+    ("http://a.org/%2e%2E/x/%2", "a.org/x/%2"),
+    ("ftp://a.org:21/%", "a.org:21/%"),
+    ("http://a.org/x/..?utm_a=1&b=2&gclid=3", "a.org?b=2"),
+    ("no scheme/../x", None),
+    (None, None),
+]
+
+
+def test_addresses_have_one_form(spark):
+    frame = spark.createDataFrame([(u,) for u, _ in FORMS], "url string")
+    assert [r[0] for r in frame.select(url_filters.node_of(frame["url"])).collect()] == [n for _, n in FORMS]
+
+
+def test_links_to_other_spellings_of_a_blocked_address(spark):
+    pages = [
+        (1, "https://i.org/a/b", link("../../../bad/x")),
+        (2, "https://j.org/", link("https://BAD.net:443/%41")),
+        (3, "https://k.org/", link("http://bad.net:80/q/../A")),
+        (4, "https://l.org/", link("https://i.org/bad/./x")),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rules = url_filters.rule_table(spark, [("block", "net", "/A"), ("block", "i.org", "/bad/")])
+    got = {r["page_id"]: r["verdict"] for r in url_filters.filter_urls(df, rules).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block"}
+
+
+def test_verdicts_are_those_of_union_find(spark):
+    """A chain, a hub, a ring and random links, with blocked and allowed addresses among them."""
+    rng = np.random.default_rng(6)
+    n, hosts = 400, []
+    for i in range(n):
+        hosts.append(f"n{i}.{['org', 'net', 'com'][int(rng.integers(0, 12)) // 5] if i > 120 else 'org'}")
+    links = {i: i + 1 for i in range(60)}  # a chain, blocked at its end
+    links |= {i: 100 for i in range(62, 100)}  # a hub, allowed
+    links |= {i: 102 + (i - 101) % 15 for i in range(102, 117)}  # a ring of no verdict
+    links |= {int(i): int(rng.integers(121, n)) for i in rng.choice(np.arange(121, n), 150, replace=False)}
+    rules = [("block", "net", "/"), ("block", hosts[60], "/"), ("block", hosts[62], "/"), ("allow", hosts[100], "/"), ("allow", "com", "/p/3")]
+    url = [f"https://{h}/p/{i}" for i, h in enumerate(hosts)]
+    pages = [(i, url[i], link(url[links[i]]) if i in links else "<p>x</p>") for i in range(n)]
+
+    def rule_of(i):
+        fits = [(len(h + p), a == "allow", a) for a, h, p in rules if f".{hosts[i]}".endswith(f".{h}") and f"/p/{i}".startswith(p)]
+        return max(fits)[2] if fits else None
+
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in links.items():
+        root[find(a)] = find(b)
+    said = {}
+    for i in range(n):
+        said.setdefault(find(i), set()).add(rule_of(i))
+    expected = {}
+    for i in range(n):
+        of = said[find(i)]
+        expected[i] = rule_of(i) or ("allow" if "allow" in of or "block" not in of else "block")
+    assert list(expected.values()).count("block") > 80 and expected[0] == expected[59] == "block"
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filters.filter_urls(frame, url_filters.rule_table(spark, rules)).collect()}
+    assert got == expected
