@@ -143,6 +143,20 @@ def _hour_files(events: DataFrame) -> DataFrame:
     )
 
 
+def _in_one_day(events: DataFrame) -> DataFrame:
+    """All days as one, so that hours have counts like those of the real archive."""
+    return events.withColumn("create_date", F.lit("2024-01-01").cast("date"))
+
+
+def _default_scores(events: DataFrame) -> DataFrame:
+    return scoring.aggregate_score(daily.daily_event_top(hourly.hourly_event_counts(_in_one_day(events))))
+
+
+def _default_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pushes = hourly.hourly_user_pushes(_in_one_day(read_clickstream(spark, sf_dir, 2, 2)))
+    return _plain(daily.daily_user_top(pushes))
+
+
 def _window_starts(events: DataFrame) -> DataFrame:
     day = F.col("create_date")
     windows = [calendar.window_start(day, name).alias(name) for name in calendar.WINDOW_DAYS]
@@ -309,6 +323,10 @@ QUERIES: dict[str, Query] = {
     "daily_user_top": _on_events(lambda e: daily.daily_user_top(hourly.hourly_user_pushes(e, 0), TOP)),
     "daily_peaks": _on_events(lambda e: scoring.daily_peaks(_daily_top(e))),
     "daily_max_norm": _on_events(lambda e: scoring.normalised_counts(_daily_top(e))),
+    # with the minimums and cuts that the trend tables have by default
+    "default_minimums_hourly": _on_events(lambda e: hourly.hourly_event_counts(_in_one_day(e)), repos=FEW),
+    "default_minimums_scores": _on_events(_default_scores, repos=FEW),
+    "default_minimum_users": _default_users,
     "stack_event_tables": _on_events(_stack_event_tables),
     "stack_hours": _on_events(_stack_hours),
     "aggregate_score": _on_events(lambda e: scoring.aggregate_score(_daily_top(e))),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 _EVENTS = """
 ev AS (
-    SELECT CAST(ts AS DATE) AS create_date,
+    SELECT {day} AS create_date,
            CAST(hour(ts) AS INTEGER) AS hour,
            CASE event_type WHEN 'click' THEN 'PushEvent' WHEN 'view' THEN 'WatchEvent'
                 WHEN 'signup' THEN 'ForkEvent' WHEN 'purchase' THEN 'PullRequestEvent'
@@ -29,9 +29,19 @@ ev AS (
 """
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _FEW = f"'repo_' || CAST({_K} % 10 AS VARCHAR)"
-EV = "WITH " + _EVENTS.format(repo=f"'repo_' || CAST({_K} AS VARCHAR)", user="user_id").strip()
-EV10 = "WITH " + _EVENTS.format(repo=_FEW, user="user_id").strip()
-EV10_10 = "WITH " + _EVENTS.format(repo=_FEW, user="user_id % 10").strip()
+
+
+def _events(repo: str, user: str = "user_id", day: str = "CAST(ts AS DATE)") -> str:
+    return "WITH " + _EVENTS.format(repo=repo, user=user, day=day).strip()
+
+
+EV = _events(f"'repo_' || CAST({_K} AS VARCHAR)")
+EV10 = _events(_FEW)
+EV10_10 = _events(_FEW, "user_id % 10")
+# All days as one, so that hours have counts like those of the real archive.
+_ONE_DAY = "DATE '2024-01-01'"
+DAY_EV10 = _events(_FEW, day=_ONE_DAY)
+DAY_EV2_2 = _events(f"'repo_' || CAST({_K} % 2 AS VARCHAR)", "user_id % 2", _ONE_DAY)
 
 _COUNTED = "event IN ('PushEvent', 'WatchEvent', 'ForkEvent')"
 
@@ -44,6 +54,15 @@ hourly AS (
 """
 
 
+# The minimums and cuts of the trend tables.
+_DEFAULT_HOURLY = f"""
+hourly AS (
+    SELECT create_date, hour, event, repo_name, count(*) AS count FROM ev
+    WHERE {_COUNTED} GROUP BY create_date, hour, event, repo_name
+    HAVING count(*) > CASE event WHEN 'PushEvent' THEN 10 WHEN 'WatchEvent' THEN 5 ELSE 4 END)
+"""
+
+
 HOURLY_USERS = """
 hourly_users AS (
     SELECT create_date, hour, repo_name, user_name, count(*) AS count FROM ev
@@ -301,6 +320,13 @@ SELECT {DAY}, repo_name, user_name, count FROM top_users""",
 SELECT {DAY}, event, max(count) AS peak FROM top GROUP BY top.create_date, event""",
     "daily_max_norm": f"""{_with(_hourly(0), DAILY, TOP, NORM)}
 SELECT {DAY}, event, repo_name, count, round(norm, 6) AS norm FROM norm""",
+    "default_minimums_hourly": f"""{_with(_DEFAULT_HOURLY, events=DAY_EV10)}
+SELECT {DAY}, hour, event, repo_name, count FROM hourly""",
+    "default_minimums_scores": f"""{_with(_DEFAULT_HOURLY, DAILY, TOP.replace("<= 20", "<= 50"), NORM, SCORES, events=DAY_EV10)}
+SELECT {DAY}, repo_name, round(score, 6) AS score FROM scores""",
+    "default_minimum_users": f"""{_with(HOURLY_USERS, events=DAY_EV2_2)}
+SELECT {DAY}, repo_name, user_name, CAST(sum(count) AS BIGINT) AS count FROM hourly_users WHERE count > 10
+GROUP BY hourly_users.create_date, repo_name, user_name""",
     "stack_event_tables": f"""{_with(_hourly(0), DAILY)}
 SELECT {DAY}, event, repo_name, count FROM daily WHERE event = 'PushEvent'
 UNION ALL SELECT CAST(create_date AS VARCHAR), event, repo_name, count FROM daily WHERE event = 'WatchEvent'
