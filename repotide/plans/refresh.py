@@ -167,7 +167,8 @@ def _refresh_details(store: TableStore, hours: set[Hour], settings: Settings) ->
     """
     days = {day for day, _ in hours}
     whole = days_scope(days)
-    store.replace("repo_details", details_of_days(store, hours, settings), whole, days=days)
+    # by name within a day, so that a scan for some names skips row groups
+    store.replace("repo_details", details_of_days(store, hours, settings), whole, order=["create_date", "repo_name"], days=days)
     score_rows = len(days) * len(settings.minimums) * settings.top
 
     def note() -> None:
