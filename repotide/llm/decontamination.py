@@ -6,18 +6,24 @@ by hash with those of the documents. A re-parameterised question has the same te
 so per document, item and alignment the placeholders' values are compared: equal values of the item must be
 equal in the document and different ones different, or the match is dropped.
 
-A number is a run of digits with inner points and commas. A unit is a word of ``UNITS`` after a number. A name
-is a capitalised word after a small letter, comma or semicolon and a blank, or after such a word. Windows
-with more placeholders than words are not looked up, as any list of numbers would match. Items shorter
-than a window are one window; items under ``SHORTEST`` words are not searched for, as they say too little.
+A number is a run of digits; commas before groups of three digits are left out of it and points between digits
+belong to it, so that 3.5 is not 35 and 10,20,30 are three. A unit is a word of ``UNITS`` after a number. A name is
+a capitalised word. Whether one that opens a sentence is a name cannot be seen, so texts have two forms, of which each
+window may match: all capitalised words are names, or only those inside sentences are. Items have a third
+one without names, for copies that are all in small or all in capital letters. An opener that some item has in small letters is a word of the language: it
+takes the place of a name in the form, but a document must have the same there. Windows with more placeholders than
+words would match any list of numbers or names, so these are looked up with their values. Items shorter than
+a window are one window; ``not_searched`` returns the items under ``SHORTEST`` words, which say too little.
 
 The benchmark's window hashes are broadcast if they are at most ``BROADCAST_ROWS``, else joined by
 shuffle. Matching windows alone are stored, with their placeholders' values, and no text is moved; the
 documents to drop are broadcast under the same bound.
 
-Defined results: null and empty texts match nothing, whether of documents or items; repeated rows get equal
+Defined results: null and empty texts match nothing, whether of documents or items; very long texts are searched
+as a whole, in one row; characters that mark placeholders here count as blanks in a text; repeated rows get equal
 results; an item found several times in a document is one row; empty tables give no rows. Columns other
-than doc_id, text and item_id are not read; ``drop_contaminated`` keeps all columns of the documents.
+than doc_id, text and item_id are not read, whatever they are called; ``drop_contaminated`` keeps all columns of
+the documents.
 """
 
 from __future__ import annotations
@@ -31,8 +37,10 @@ from repotide.llm.common import let, row_hash, stored, table
 
 WINDOW, SHORTEST = 10, 5
 BROADCAST_ROWS = 500_000
-#: Marks of numbers, names and units.
-NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
+#: Marks of numbers, names and units, and the point inside a number.
+NUMBER, NAME, UNIT, POINT = "\x01", "\x02", "\x03", "\x04"
+#: Which capitalised words are names: all, those inside sentences, none.
+ALL, INNER, NONE = "all", "inner", "none"
 #: Units of measure.
 UNITS = (
     "mm|cm|m|km|inch|inches|foot|feet|ft|yard|yards|mile|miles|mg|g|kg|t|ton|tons|tonne|tonnes|oz|ounce|ounces|lb|lbs|pound|pounds"
@@ -41,15 +49,23 @@ UNITS = (
 )
 
 
-def template(text: Column) -> Column:
-    """Words of the canonical form; a placeholder is its mark followed by its value."""
-    joined = F.regexp_replace(text, "([0-9])[.,]([0-9])", "$1$2")
-    numbers = F.regexp_replace(joined, "([0-9]+)", f" {NUMBER}$1 ")
-    units = F.regexp_replace(numbers, f"({NUMBER}[0-9]+) +({UNITS})([^\\p{{L}}]|$)", f"$1 {UNIT}$2$3")
-    marked = F.when(text.rlike("[0-9]"), units).otherwise(text)
-    named = F.regexp_replace(marked, "([\\p{Ll},;] )(\\p{Lu}\\p{Ll}+)", f"$1{NAME}$2")
-    named = F.when(F.contains(named, F.lit(NAME)), F.regexp_replace(named, f"({NAME}\\p{{L}}+ )(\\p{{Lu}}\\p{{Ll}}+)", f"$1{NAME}$2")).otherwise(named)
-    plain = F.regexp_replace(F.lower(named), f"[^\\p{{L}}\\p{{N}}{NUMBER}{NAME}{UNIT}]+", " ")
+def template(text: Column, names: str = ALL) -> Column:
+    """Words of the canonical form; a placeholder is its mark followed by its value.
+
+    A text has the same number of words whatever ``names`` is.
+    """
+    text = F.regexp_replace(text, f"[{NUMBER}-{POINT}]", " ")
+    joined = F.regexp_replace(text, "(?<![0-9]{4})(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
+    pointed = F.regexp_replace(joined, "(?<=[0-9])[.](?=[0-9])", POINT)
+    numbers = F.regexp_replace(pointed, f"([0-9][0-9{POINT}]*)", f" {NUMBER}$1 ")
+    units = F.regexp_replace(numbers, f"({NUMBER}[0-9{POINT}]+) +({UNITS})(?!\\p{{L}})", f"$1 {UNIT}$2")
+    named = F.when(text.rlike("[0-9]"), units).otherwise(text)
+    if names == ALL:
+        named = F.regexp_replace(named, f"(?<![\\p{{L}}\\p{{N}}{NUMBER}-{POINT}])(\\p{{Lu}}\\p{{Ll}})", f"{NAME}$1")
+    elif names == INNER:
+        named = F.regexp_replace(named, "(?<=[\\p{Ll},;] )(\\p{Lu}\\p{Ll})", f"{NAME}$1")
+        named = F.regexp_replace(named, f"({NAME}\\p{{L}}+ )(\\p{{Lu}}\\p{{Ll}})", f"$1{NAME}$2")
+    plain = F.regexp_replace(F.lower(named), f"[^\\p{{L}}\\p{{N}}{NUMBER}-{POINT}]+", " ")
     return F.array_remove(F.split(plain, " "), "")
 
 
@@ -66,36 +82,61 @@ def _slots(words: Column) -> Column:
     return F.filter(words, _is_slot)
 
 
-def _windows(words: Column, length: int) -> Column:
+def _windows(words: Column, length: Column) -> Column:
     """Hash, start and placeholders (null where the text has none) of each window of ``length`` words."""
 
-    def of(both: Column) -> Column:
-        hashes = both["hashes"]
-        starts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (length - 1), F.lit(0)))
-        return F.transform(
-            starts,
-            lambda _, i: F.struct(
-                F.xxhash64(F.slice(hashes, i + 1, F.lit(length))).alias("found"),
-                i.alias("at"),
-                F.when(both["any"], _slots(F.slice(both["words"], i + 1, F.lit(length)))).alias("slots"),
-            ),
-        )
+    def window(both: Column, i: Column) -> Column:
+        def of(slots: Column) -> Column:
+            by_form = F.xxhash64(F.slice(both["hashes"], i + 1, length))
+            by_value = F.xxhash64(F.slice(both["values"], i + 1, length))
+            found = F.when(2 * F.size(slots) > length, by_value).otherwise(by_form)
+            return F.struct(found.alias("found"), i.alias("at"), slots.alias("slots"))
+
+        return let(F.when(both["any"], _slots(F.slice(both["words"], i + 1, length))), of)
+
+    def windows(both: Column) -> Column:
+        starts = F.slice(both["hashes"], F.lit(1), F.greatest(F.size(both["hashes"]) - (length - 1), F.lit(0)))
+        return F.transform(starts, lambda _, i: window(both, i))
 
     def with_hashes(w: Column) -> Column:
-        return F.struct(w.alias("words"), _hashes(w).alias("hashes"), F.exists(w, _is_slot).alias("any"))
+        values = F.when(F.exists(w, _is_slot), F.transform(w, lambda word: F.xxhash64(word)))
+        return F.struct(w.alias("words"), _hashes(w).alias("hashes"), values.alias("values"), F.exists(w, _is_slot).alias("any"))
+
+    return let(let(words, with_hashes), windows)
+
+
+def _document_windows(length: Column) -> Column:
+    """Windows of a document's two forms; those of the second only where they differ."""
+    every, inner = _windows(F.col(ALL), length), _windows(F.col(INNER), length)
+    changed = let(F.struct(every.alias("a"), inner.alias("b")), _changed)
+    return F.when(F.col(ALL) == F.col(INNER), every).otherwise(changed)
 
-    return let(let(words, with_hashes), of)
+
+def _changed(both: Column) -> Column:
+    other = F.filter(both["b"], lambda w, i: w["found"] != F.get(both["a"], i)["found"])
+    return F.concat(both["a"], other)
+
+
+def not_searched(benchmark: DataFrame) -> DataFrame:
+    """item_id and number of words of the items that are too short to be searched for."""
+    size = F.coalesce(F.size(template(F.col("text"), NONE)), F.lit(0))
+    return benchmark.select("item_id", size.alias("n_words")).where(F.col("n_words") < SHORTEST)
 
 
 def _items(benchmark: DataFrame, window: int) -> DataFrame:
-    """item_id, words, window length, start and hash of the items' windows."""
-    items = benchmark.select("item_id", template(F.col("text")).alias("words")).where(F.size("words") >= SHORTEST)
-    items = items.withColumn("length", F.least(F.size("words"), F.lit(window))).select(
-        "item_id", "words", "length", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("start")
-    )
-    part = F.slice("words", F.col("start") + 1, F.col("length"))
-    slots = F.size(F.filter(part, _is_slot))
-    return items.where(2 * slots <= F.col("length")).select("item_id", "length", "start", F.xxhash64(_hashes(part)).alias("hash"), _slots(part).alias("item_slots"))
+    """item_id, window length, start, hash and placeholders of the items' windows, and the openers that must stay."""
+    forms = [template(F.col("text"), names).alias(names) for names in (ALL, INNER, NONE)]
+    items = benchmark.select("item_id", F.xxhash64("text").alias("text_hash"), *forms).where(F.size(NONE) >= SHORTEST)
+    small = items.select(F.explode(F.filter(ALL, lambda w: ~_is_slot(w))).alias("word")).distinct()
+    pairs = F.arrays_zip(F.col(ALL).alias("a"), F.col(INNER).alias("b"), F.col(NONE).alias("word"))
+    openers = F.filter(pairs, lambda p: _is_slot(p["a"]) & ~_is_slot(p["b"]))
+    openers = items.select("text_hash", F.explode(openers["word"]).alias("word")).distinct()
+    stay = openers.join(small, "word", "left_semi").groupBy("text_hash").agg(F.collect_set(F.concat(F.lit(NAME), "word")).alias("stay"))
+    items = items.join(stay, "text_hash", "left").withColumn("length", F.least(F.size(NONE), F.lit(window)))
+    items = items.select("item_id", "length", "stay", F.explode(F.array_distinct(F.array(ALL, INNER, NONE))).alias("words"))
+    items = items.select("item_id", "length", "stay", F.explode(_windows(F.col("words"), F.col("length"))).alias("w"))
+    names = [F.col("w.at").alias("start"), F.col("w.found").alias("hash"), F.col("w.slots").alias("item_slots")]
+    return items.select("item_id", "length", "stay", *names).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -105,9 +146,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     keys = items.select(F.col("hash").alias("sought")).distinct()
     if items.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    words = docs.select("doc_id", row_hash("text").alias("row_hash"), template(F.col("text")).alias("words"))
+    forms = [template(F.col("text"), names).alias(names) for names in (ALL, INNER)]
+    words = docs.select("doc_id", row_hash("text").alias("row_hash"), *forms)
     windows = [
-        words.select("doc_id", "row_hash", F.lit(n).alias("length"), F.explode(_windows(F.col("words"), n)).alias("w"))
+        words.select("doc_id", "row_hash", F.lit(n).alias("length"), F.explode(_document_windows(F.lit(n))).alias("w"))
         for n in lengths or [window]
     ]
     hits = reduce(DataFrame.union, windows).select("doc_id", "row_hash", "length", "w.*")
@@ -115,10 +157,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     parts = items.withColumnRenamed("length", "item_length")
     both = (F.col("found") == F.col("hash")) & (F.col("length") == F.col("item_length"))
     # equal templates have their placeholders in the same places, so these pair up in order
-    values = F.arrays_zip(F.col("item_slots").alias("item"), F.coalesce("slots", F.array().cast("array<string>")).alias("doc"))
+    none = F.array().cast("array<string>")
+    values = F.arrays_zip(F.coalesce("item_slots", none).alias("item"), F.coalesce("slots", none).alias("doc"))
     pairs = hits.join(parts, both).select(
-        "doc_id", "row_hash", "item_id", (F.col("at") - F.col("start")).alias("shift"), "start", values.alias("slots")
+        "doc_id", "row_hash", "item_id", (F.col("at") - F.col("start")).alias("shift"), "start", "stay", values.alias("slots")
     )
+    stay = F.coalesce("stay", none)
+    pairs = pairs.where(~F.exists("slots", lambda p: F.array_contains(stay, p["item"]) & (p["item"] != p["doc"])))
     aligned = pairs.groupBy("doc_id", "row_hash", "item_id", "shift").agg(
         F.count_distinct("start").alias("n_windows"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),

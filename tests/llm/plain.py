@@ -1,9 +1,11 @@
 """The operators' results worked out row by row in plain Python."""
 
 import hashlib
+import itertools
 import re
 from collections import Counter, defaultdict
 
+import regex
 import xxhash
 
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,3 +120,48 @@ def lost_lines(docs, window=2, min_words=8, long=12):
             if first.setdefault(key, (i, run[0][0])) < (i, run[0][0]):
                 gone[i] |= {x[0] for x in run}
     return gone
+
+
+def template(text, units, names="all"):
+    """(kind, value) pairs of the canonical form, by one walk over the tokens instead of rewriting the text."""
+    tokens = list(regex.finditer(r"[0-9]+(?:,[0-9]{3}(?![0-9]))*(?:\.[0-9]+(?:,[0-9]{3}(?![0-9]))*)*|[^\W_0-9]+", text))
+    out, last, inner_before = [], None, False
+    for t in tokens:
+        word, before = t.group(), text[: t.start()]
+        gap = text[last.end() : t.start()] if last else None
+        if word[0].isdigit():
+            out.append(("number", word.replace(",", "")))
+            inner_before = False
+        elif word in units and last and out[-1][0] == "number" and gap.strip(" ") == "":
+            out.append(("unit", word.lower()))
+            inner_before = False
+        else:
+            capital = bool(regex.match(r"\p{Lu}\p{Ll}", word))
+            inner = capital and (bool(regex.search(r"[\p{Ll},;] $", before)) or (inner_before and gap == " "))
+            inner_before = inner
+            out.append(("name" if capital and (names == "all" or names == "inner" and inner) else "", word.lower()))
+        last = t
+    return out
+
+
+def contaminated(docs, items, units, window=10, shortest=5):
+    """(doc, item) pairs by comparing all windows of both."""
+    forms = {i: [template(t, units, n) for n in ("all", "inner", "none")] for i, t in items}
+    forms = {i: f for i, f in forms.items() if len(f[0]) >= shortest}
+    small = {v for f in forms.values() for kind, v in f[0] if not kind}
+    found = set()
+    for d, text in docs:
+        texts = [template(text, units, n) for n in ("all", "inner")]
+        for i, f in forms.items():
+            stay = {("name", a[1]) for a, b in zip(f[0], f[1], strict=True) if a[0] and not b[0] and a[1] in small}
+            n, pairs = min(window, len(f[0])), {}
+            for form, doc in itertools.product(f, texts):
+                for start, at in itertools.product(range(len(form) - n + 1), range(len(doc) - n + 1)):
+                    both = list(zip(form[start : start + n], doc[at : at + n], strict=True))
+                    dense = 2 * sum(bool(a[0]) for a, _ in both) > n
+                    if any(a[0] != b[0] or ((dense or not a[0] or a in stay) and a != b) for a, b in both):
+                        continue
+                    pairs.setdefault(at - start, set()).update(p for p in both if p[0][0])
+            if any(len({a for a, _ in p}) == len(p) == len({b for _, b in p}) for p in pairs.values()):
+                found.add((d, i))
+    return found

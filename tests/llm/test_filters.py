@@ -145,6 +145,64 @@ def test_decontamination_bears_odd_rows(clashing, none, benchmark):
     assert decontamination.drop_contaminated(clashing, benchmark.limit(0)).count() == len(ODD)
 
 
+SUMS = [
+    (1, "Sarah has 12 apples and gives 5 to Tom"),
+    (2, "What is the capital of France and who wrote there?"),
+    (3, "10,20,30 apples cost 3.5 euros in all of the town"),
+    (4, "Tom walks 1,200 km. How far is it, and what does Anna say to Tom about it?"),
+    (5, "Ada Bob Cleo Dan Eve Fay Gus Hal"),
+    (6, "see the table"),
+]
+
+
+def test_short_questions_with_other_names_and_numbers(spark, documents):
+    items = spark.createDataFrame(SUMS, "item_id long, text string")
+    docs = [
+        (1, "John has 30 apples and gives 7 to Bill"),
+        (2, "It says: Mary has 3,000 apples and gives 7.5 to Bill. Then they left"),
+        (3, "SARAH HAS 12 APPLES AND GIVES 5 TO TOM"),
+        (4, "John has 30 apples and gives 7 to John"),
+        (5, "What is the capital of Spain and who wrote there?"),
+        (6, "Paris is the capital of Spain and who wrote there?"),
+        (7, "so 10, 20, 30 apples cost 3.5 euros in all of the town"),
+        (8, "so 10,20,30 apples cost 35 euros in all of the town"),
+        (9, "so 102030 apples cost 3.5 euros in all"),
+        (10, "Bill walks 80 km. How far is it, and what does Kate say to Bill about it?"),
+        (11, "Bill walks 80 km. How far is it, and what does Bill say to Bill about it?"),
+        (12, "here are Ada Bob Cleo Dan Eve Fay Gus Hal"),
+        (13, "here are Hal Gus Fay Eve Dan Cleo Bob Ada"),
+        (14, "see the table"),
+        (15, "\x02john has \x0130 apples and gives 7 to Bill"),
+    ]
+    got = decontamination.contaminated(documents(docs), items).select("doc_id", "item_id").collect()
+    expected = {(1, 1), (2, 1), (3, 1), (5, 2), (7, 3), (8, 3), (10, 4), (12, 5)}
+    assert set(map(tuple, got)) == expected and len(got) == len(expected)
+    assert plain.contaminated(docs[:14], SUMS, UNITS) == expected
+    assert [tuple(r) for r in decontamination.not_searched(items).collect()] == [(6, 3)]
+
+
+UNITS = set(decontamination.UNITS.split("|"))
+
+
+@pytest.mark.parametrize("bound", [decontamination.BROADCAST_ROWS, 0])
+def test_contamination_is_that_of_brute_force(spark, documents, monkeypatch, bound):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    rng = np.random.default_rng(11)
+    words = ["Tom", "Ada", "Bob", "has", "a", "red", "The", "the", "Who", "who", "12", "3.5", "1,000", "7", "km", "days", "of", "to"]
+
+    def text(n):
+        return "".join(w + rng.choice([" ", " ", " ", ". ", ", ", "; "]) for w in rng.choice(words, n))
+
+    items = [(i, text(rng.integers(3, 16))) for i in range(40)]
+    docs = [(i, text(30)) for i in range(60)]
+    for i, item in items:
+        other = item.replace("Tom", "Kim").replace("7", "88").replace("12", "9") if i % 3 else item.lower()
+        docs.append((100 + i, f"{text(6)}. {other} {text(6)}"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in decontamination.contaminated(documents(docs), table).select("doc_id", "item_id").collect()}
+    assert got == plain.contaminated(docs, items, UNITS) and len(got) > 15
+
+
 PERSONAL = [
     "mail a.b+c@d-e.co.uk, x@y.z@w.v and a@b.c_d@e.f. no@dot",
     "ip 1.2.3.4 9.1.2.3.4.5.6.7 256.1.1.1 0001.2.3.255 1.2.3",
