@@ -49,7 +49,8 @@ SLICE_BYTES = 16 << 20
 
 def word_indices(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Dictionary index of every word, place of every text's first word (and the end), dictionary."""
-    parts = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string())), pattern=BETWEEN)
+    # lower case first: the cast of a slice keeps its offset, and ascii_lower then takes bytes of the rows before it
+    parts = pc.split_pattern_regex(pc.ascii_lower(texts).cast(pa.large_string()), pattern=BETWEEN)
     words, text_of = pc.list_flatten(parts), pc.list_parent_indices(parts)
     real = pc.not_equal(words, "")
     words, text_of = words.filter(real), text_of.filter(real)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,6 +83,23 @@ def test_odd_documents_are_scored(spark, odd, clashing):
         assert rows_of(got) == expected
 
 
+def test_slices_of_a_batch_have_their_own_words():
+    texts = [t for _, t in many_texts(60)]
+    for skipped in (0, 1, 7):
+        word, starts, dictionary = importance.word_indices(pa.array(texts, pa.string()).slice(skipped))
+        lowered = ["".join(c.lower() if "A" <= c <= "Z" else c for c in t) for t in texts[skipped:]]
+        found = [[dictionary[w].decode() for w in word[a:b]] for a, b in zip(starts, starts[1:])]
+        assert found == [WORD.findall(t) for t in lowered]
+
+
+def test_batches_that_are_cut_into_slices(spark, documents):
+    """One batch of 20 MB, which the kernels take in two slices."""
+    docs = [(i, f"Über {i} {LONG}") for i in range(90)]
+    target = spark.createDataFrame([(t,) for t in TARGET], "text string")
+    got = importance.rank_documents(documents(docs).coalesce(1), target)
+    assert rows_of(got.select("doc_id", "n_features", "weight", "score", "rank")) == ranked(docs, TARGET)
+
+
 def test_nothing_to_draw(spark, documents, none):
     target = spark.createDataFrame([], "text string")
     assert importance.rank_documents(none, target).count() == 0
