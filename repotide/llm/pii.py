@@ -169,7 +169,8 @@ def disclosing_terms(docs: DataFrame, based: DataFrame, support: int = SUPPORT,
     # each task's words are counted before anything else, so a word has a row per task, not per occurrence
     rows = _one_each(docs.select("doc_id", row_hash("text").alias("row_hash"), "text"), based)
     counts = rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
-    counts = counts.join(sought, F.col("term") == F.col("sought"), "left_semi")
+    # an inner join: Spark would push a semi join below the count, where a word has a row per occurrence
+    counts = counts.join(sought, F.col("term") == F.col("sought")).drop("sought")
     total = based.select("doc_id", "row_hash").distinct().count()
     information = F.log2(F.lit(float(max(total, 1))) / F.col("entity_docs"))
     mutual = F.log2(F.col("pair_docs") * F.lit(float(max(total, 1))) / (F.col("entity_docs") * F.col("term_docs")))

@@ -347,6 +347,19 @@ def test_disclosing_terms_are_those_of_brute_force(documents, monkeypatch, copie
     assert spans == len({i for i, t in docs if any(e in t and re.search(rf"\b{w}\b", t) for e, w, _ in expected)})
 
 
+def test_words_are_counted_before_the_join_with_candidates(documents):
+    """The plan that Spark makes has no join between the words' occurrences and their count."""
+    frame = documents(entities_and_terms())
+    text = pii.full_text()
+    own = frame.select("doc_id", pii.row_hash("text").alias("row_hash"), text.alias("text")).withColumn("spans", pii._base(pii.F.col("text")))
+    based = own.select("doc_id", "row_hash", pii._surroundings(pii.F.col("text"), pii.F.col("spans")).alias("near"))
+    plan = pii.disclosing_terms(frame, based)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    above = [line for line in plan[:at] if line.index(line.lstrip(" :+-")) < plan[at].index("Generate")]
+    counted = max(i for i, line in enumerate(above) if "Aggregate" in line)
+    assert not any("Join" in line for line in above[counted:])
+
+
 def test_sanitised_texts_have_their_length(documents):
     got = pii.sanitise(documents(entities_and_terms())).collect()
     assert all(r["n_chars"] == len(r["text"]) for r in got) and any("<EMAIL>" in r["text"] for r in got)
