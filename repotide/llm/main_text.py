@@ -1,20 +1,20 @@
 """Main text of web pages by a suffix array over each host's pages.
 
 A page is cut into blocks at block elements. Where it marks its article (``article``, else ``main``), the
-blocks inside are its main text, less those in elements that say what they are (navigation, asides, forms,
-adverts, notices, comments and so on). What is outside, or the whole body of a page without such a mark, is the
-page's token stream, in which the host's boilerplate is searched:
+blocks inside are the article's, less those in elements that say what they are (navigation, asides, forms,
+adverts, notices, comments and so on). The words of all blocks of a page, inside and outside, are its token stream, in which
+the host's boilerplate is searched:
 
-1. Streams that a host repeats word for word are one, with the smallest and largest digest of the pages that
-   have it, so equal pages count once and the commonest boilerplate shrinks before it moves.
+1. Streams that a host repeats word for word are one, so pages with equal words count once and copies shrink before they
+   move.
 2. A host's streams are concatenated, a host of more than ``SHARD_TOKENS`` in several shards by a hash of the
    stream. A suffix array by prefix doubling sorts all suffixes by their first ``RUN`` tokens; equal neighbours
-   are the host's repeated strings, with the digests of their pages.
+   of different streams are the host's repeated strings.
 3. Shards of one host are merged by string, and strings on two or more different pages are boilerplate. They go
    back to the shards in which they occur, and are found there by binary search; overlapping ones join to runs.
-4. Covered runs are removed and unique runs kept, in pages without a marked article. In the others they are
-   counted (``n_repeated``); text inside a marked article stays even if other pages repeat it, since copies of
-   an article are no boilerplate.
+4. Covered runs are removed and unique runs kept. In a page that marks its article, the marks then check the outcome: what
+   other pages repeat of the article is put back (``n_restored``), since copies of an article are no boilerplate, and
+   what is unique outside it goes.
 
 No task holds more than a shard and a page; a host with a third of all pages is dealt over many tasks. Page texts
 move only if the runs are too many to broadcast (``BROADCAST_RUNS``, counted first). Strings are compared by
@@ -46,6 +46,8 @@ from repotide.llm.url_filters import host_of
 RUN = 8
 #: Tokens of a shard. A host's streams are dealt over as many as they need.
 SHARD_TOKENS = 1 << 20
+#: Bytes of html that are taken as one token when a host's shards are counted.
+TOKEN_BYTES = 6
 BROADCAST_RUNS = 200_000
 #: Stands where a stream has a gap.
 GAP = 0
@@ -156,26 +158,22 @@ def blocks_of(html: str) -> list[tuple[str, bool, bool, bool]]:
 
 
 def hashed(words: list[str]) -> np.ndarray:
-    """A 64-bit hash of each word, never GAP."""
-    table = {w: xxhash.xxh3_64_intdigest(w) or 1 for w in set(words)}
-    return np.fromiter((table[w] for w in words), np.uint64, len(words)).view(np.int64)
+    """A 32-bit hash of each word, never GAP; strings of ``RUN`` words are compared by 64 bits."""
+    table = {w: xxhash.xxh32_intdigest(w) or 1 for w in set(words)}
+    return np.fromiter(map(table.__getitem__, words), np.int64, len(words))
 
 
-def page_parts(html: str | None) -> tuple[str | None, list[str], list[bool], np.ndarray]:
-    """The text of a marked article, else None and all blocks with whether they are aside; the token stream."""
+def page_blocks(html: str | None) -> tuple[bool, list[str], list[bool]]:
+    """Whether the page marks its article; all blocks, and whether each is aside or outside that article."""
     blocks = blocks_of(html or "")
     scope = next((k for k in (1, 2) if any(b[k] and not b[3] for b in blocks)), None)
-    if scope is None:
-        words = [w for b in blocks for w in b[0].split(" ")]
-        return None, [b[0] for b in blocks], [b[3] for b in blocks], hashed(words)
-    text = "\n\n".join(b[0] for b in blocks if b[scope] and not b[3])
-    words, gaps = [], []
-    for b in blocks:
-        if not b[scope] or b[3]:
-            words += b[0].split(" ")
-        elif not gaps or gaps[-1] != len(words):
-            gaps.append(len(words))
-    return text, [], [], np.insert(hashed(words), gaps, GAP)
+    return scope is not None, [b[0] for b in blocks], [b[3] or (scope is not None and not b[scope]) for b in blocks]
+
+
+def page_parts(html: str | None) -> tuple[str | None, list[str], list[bool], np.ndarray]:
+    """The text of a marked article, else None; all blocks with whether they are aside; the page's token stream."""
+    marked, blocks, asides = page_blocks(html)
+    return unique_text(blocks, asides) if marked else None, blocks, asides, hashed(" ".join(blocks).split(" ") if blocks else [])
 
 
 def string_hashes(tokens: np.ndarray, width: int = RUN) -> np.ndarray:
@@ -212,35 +210,43 @@ def _concatenated(streams: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All streams with a gap after each, and each token's stream."""
     lists = streams.combine_chunks()
     lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    tokens = np.insert(lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths), GAP)
+    tokens = np.insert(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(lengths), GAP)
     return tokens, np.repeat(np.arange(len(lengths)), lengths + 1)
 
 
+def _once(shard: pa.Table) -> pa.Table:
+    """A shard with every stream once, whichever tasks sent it."""
+    first = np.unique(shard.column("stream").to_numpy(), return_index=True)[1]
+    return shard.take(pa.array(np.sort(first)))
+
+
 def _strings(key: tuple, shard: pa.Table) -> pa.Table:
-    """The different strings of a shard, with the smallest and largest digest of their pages."""
+    """The different strings of a shard, and whether several of its pages have them."""
     host, part = (k.as_py() for k in key)
+    shard = _once(shard)
     tokens, stream = _concatenated(shard.column("tokens"))
-    low, high = (shard.column(c).to_numpy()[stream] for c in ("low", "high"))
     ranks = suffix_ranks(tokens)
     gaps_until = np.concatenate([[0], np.cumsum(tokens == GAP)])
     starts = np.arange(max(0, len(tokens) - RUN + 1))
     starts = starts[gaps_until[starts + RUN] == gaps_until[starts]]  # whole strings, without gaps
     suffixes = starts[np.argsort(ranks[starts], kind="stable")]
     first = np.flatnonzero(np.diff(ranks[suffixes], prepend=-1))
-    low = np.minimum.reduceat(low[suffixes], first) if len(first) else low[:0]
-    high = np.maximum.reduceat(high[suffixes], first) if len(first) else high[:0]
     string = string_hashes(tokens)[suffixes[first]]
+    # equal suffixes stand together, in the order of their streams
+    of = stream[suffixes]
+    last = np.append(first[1:], len(of))[: len(first)] - 1
+    many = of[first] != of[last]
     if shard.column("parts")[0].as_py() == 1:  # no other shard can repeat them
-        here = low != high
-        low, high, string = low[here], high[here], string[here]
+        many, string = many[many], string[many]
     n = len(string)
-    return pa.table({"host": np.full(n, host, np.int64), "part": np.full(n, part, np.int64), "string": string, "low": low, "high": high})
+    return pa.table({"host": np.full(n, host, np.int64), "part": np.full(n, part, np.int64), "string": string, "many": many})
 
 
 def _covered(key: tuple, shard: pa.Table, strings: pa.Table) -> pa.Table:
     """Runs of each stream that repeated strings cover: token after token, start and end in turn."""
     if not shard.num_rows or not strings.num_rows:
         return pa.table({"host": pa.array([], pa.int64()), "stream": pa.array([], pa.int64()), "runs": pa.array([], pa.list_(pa.int32()))})
+    shard = _once(shard)
     repeated = np.sort(strings.column("string").to_numpy())
     tokens, stream = _concatenated(shard.column("tokens"))
     own = string_hashes(tokens)
@@ -262,54 +268,63 @@ def _covered(key: tuple, shard: pa.Table, strings: pa.Table) -> pa.Table:
     return pa.table({"host": picked.column("host"), "stream": picked.column("stream"), "runs": pa.array([runs[k] for k in found], pa.list_(pa.int32()))})
 
 
-_PAGE = "page_id {id}, url string, host long, stream long, text string, blocks array<string>, asides array<boolean>"
+_PAGE = "page_id {id}, url string, host long, stream long, marked boolean, blocks array<string>, asides array<boolean>"
+
+
+def _stream_of(blocks: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(blocks).encode("utf-8", "replace"))
 
 
 def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
-    """Each page's text or blocks; or instead each page's digest and token stream."""
+    """Each page's blocks; or instead the token streams that a search needs, each once a task."""
+
+    def longs(numbers: list[int]) -> pa.Array:
+        return pa.array(numbers, pa.uint64()).cast(pa.int64(), safe=False)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                found = [page_parts(h) for h in part.column("html").to_pylist()]
-                streams = pa.array([xxhash.xxh3_64_intdigest(f[3].tobytes()) for f in found], pa.uint64()).cast(pa.int64(), safe=False)
+                pages = part.column("html").to_pylist()
                 if with_text:
-                    columns = [part.column("page_id"), part.column("url"), part.column("host"), streams]
-                    columns += [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.list_(pa.string()))]
+                    found = [page_blocks(h) for h in pages]
+                    columns = [part.column("page_id"), part.column("url"), part.column("host"), longs([_stream_of(f[1]) for f in found])]
+                    columns += [pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.list_(pa.string()))]
                     columns += [pa.array([f[2] for f in found], pa.list_(pa.bool_()))]
-                    names = ["page_id", "url", "host", "stream", "text", "blocks", "asides"]
+                    names = ["page_id", "url", "host", "stream", "marked", "blocks", "asides"]
                 else:
-                    digests = [xxhash.xxh3_64_intdigest((f[0] or "").encode("utf-8", "replace") + f[3].tobytes()) for f in found]
-                    columns = [part.column("host"), streams, pa.array(digests, pa.uint64()).cast(pa.int64(), safe=False)]
-                    columns += [pa.array([f[3] for f in found], pa.list_(pa.int64()))]
-                    names = ["host", "stream", "digest", "tokens"]
+                    found = [page_parts(h) for h in pages]
+                    streams = [_stream_of(f[1]) for f in found]
+                    hosts = part.column("host").to_pylist()
+                    new = {(h, x): k for k, (h, x) in enumerate(zip(hosts, streams)) if (h, x) not in sent and len(found[k][3]) >= RUN}
+                    sent.update(new)
+                    part, found, streams = part.take(pa.array(new.values(), pa.int64())), [found[k] for k in new.values()], [streams[k] for k in new.values()]
+                    tokens = pa.array([f[3].astype(np.uint32).view(np.int32) for f in found], pa.list_(pa.int32()))
+                    columns, names = [part.column("host"), longs(streams), tokens], ["host", "stream", "tokens"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     let_workers_import(pages.sparkSession)
     rows = pages.select("page_id", "url", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
     id_type = rows.schema["page_id"].dataType.simpleString()
-    schema = _PAGE.format(id=id_type) if with_text else "host long, stream long, digest long, tokens array<long>"
+    schema = _PAGE.format(id=id_type) if with_text else "host long, stream long, tokens array<int>"
     return rows.mapInArrow(parse, schema)
 
 
 def repeated_runs(pages: DataFrame) -> DataFrame:
     """host (hash), stream (hash) and runs: start and end of each covered run of a host's different streams."""
-    streams = _parsed(pages, with_text=False).where(F.size("tokens") >= RUN)
-    streams = streams.groupBy("host", "stream").agg(
-        F.min("digest").alias("low"), F.max("digest").alias("high"), F.any_value("tokens").alias("tokens")
-    )
-    streams = stored(streams, "page-streams")
-    large = streams.groupBy("host").agg(F.sum(F.size("tokens").cast("long")).alias("n")).where(F.col("n") > SHARD_TOKENS)
+    # by the size of the html, so that the streams move once, to the shard that they belong to
+    size = pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), F.octet_length("html").cast("long").alias("n"))
+    large = size.groupBy("host").agg(F.sum("n").alias("n")).where(F.col("n") > SHARD_TOKENS * TOKEN_BYTES)
     # one row per SHARD_TOKENS of the streams at most
-    large = large.select("host", F.ceil(F.col("n") / SHARD_TOKENS).cast("int").alias("parts"))
-    streams = streams.join(large, "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    large = large.select("host", F.ceil(F.col("n") / (SHARD_TOKENS * TOKEN_BYTES)).cast("int").alias("parts"))
+    streams = _parsed(pages, with_text=False).join(F.broadcast(large), "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     streams = streams.withColumn("part", F.pmod(F.col("stream"), F.col("parts")).cast("long"))
-    strings = streams.groupBy("host", "part").applyInArrow(_strings, "host long, part long, string long, low long, high long")
-    strings = stored(strings, "page-strings")
-    # a string has a row per shard of its host
-    repeated = strings.groupBy("host", "string").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("part").alias("parts"))
-    repeated = repeated.where("low <> high").select("host", F.explode("parts").alias("part"), "string")
+    # not stored: both passes read one exchange of the streams
+    strings = streams.groupBy("host", "part").applyInArrow(_strings, "host long, part long, string long, many boolean")
+    # a string has a row per shard of its host, and shards have no page in common
+    repeated = strings.groupBy("host", "string").agg(F.max("many").alias("many"), F.collect_set("part").alias("parts"))
+    repeated = repeated.where(F.col("many") | (F.size("parts") > 1)).select("host", F.explode("parts").alias("part"), "string")
     found = streams.groupBy("host", "part").cogroup(repeated.groupBy("host", "part")).applyInArrow(_covered, "host long, stream long, runs array<int>")
     return stored(found, "page-runs")
 
@@ -318,40 +333,63 @@ def unique_text(blocks: list[str], asides: list[bool], runs: list[int] | None =
     """Blocks that are not aside, without the runs."""
     out, at = [], 0
     bounds = np.array([] if runs is None else runs, np.int64)
-    for block, aside in zip(blocks, asides):
-        words = block.split(" ")
-        if not aside:
+    for block, aside, gone in zip(blocks, asides, repeated_in(blocks, runs).tolist()):
+        n = block.count(" ") + 1
+        if not aside and not gone:
+            out.append(block)
+        elif not aside and gone < n:
             # an odd number of bounds lies at or before a covered token
-            inside = np.searchsorted(bounds, np.arange(at, at + len(words)), side="right") % 2 == 1
-            kept = [w for w, gone in zip(words, inside.tolist()) if not gone]
-            if kept:
-                out.append(" ".join(kept))
-        at += len(words)
+            inside = np.searchsorted(bounds, np.arange(at, at + n), side="right") % 2 == 1
+            out.append(" ".join(w for w, covered in zip(block.split(" "), inside.tolist()) if not covered))
+        at += n
     return "\n\n".join(out)
 
 
-def _unique(blocks: pd.Series, asides: pd.Series, runs: pd.Series) -> pd.Series:
-    return pd.Series([unique_text(*row) for row in zip(blocks, asides, runs)], dtype=object)
+def repeated_in(blocks: list[str], runs: list[int] | None) -> np.ndarray:
+    """Number of each block's tokens that the runs cover."""
+    edges = np.cumsum([0, *(b.count(" ") + 1 for b in blocks)])
+    if runs is None or not len(runs):
+        return np.zeros(len(blocks), np.int64)
+    # covered tokens before a place grow by one a token inside a run, and stay between runs
+    before = np.repeat(np.cumsum(np.diff(runs)[::2]), 2)
+    return np.diff(np.interp(edges, runs, np.concatenate([[0], before[:-1]]))).astype(np.int64)
+
+
+def decided(marked: bool, blocks: list[str], asides: list[bool], runs: list[int] | None) -> tuple[str, int]:
+    """A page's text, and how many of its tokens are there though other pages of the host repeat them.
+
+    What the host repeats goes and what is unique stays. In a page that marks its article the marks then check this:
+    copies of an article are put back, and unique blocks outside it go.
+    """
+    if not marked:
+        return unique_text(blocks, asides, runs), 0
+    return unique_text(blocks, asides), int(repeated_in(blocks, runs)[~np.array(asides, bool)].sum())
+
+
+def _decided(marked: pd.Series, blocks: pd.Series, asides: pd.Series, runs: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([decided(*row) for row in zip(marked, blocks, asides, runs)], columns=["text", "n_restored"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars, has_article and n_repeated of every page.
+    """page_id, url, text, n_chars, has_article, n_repeated and n_restored of every page.
 
-    ``n_repeated`` counts the tokens of its stream that the host repeats on other pages.
+    ``n_repeated`` counts the page's tokens that the host repeats on other pages, ``n_restored`` those of them that stand in
+    the marked article and stay.
     """
     runs = repeated_runs(pages).withColumnsRenamed({"host": "run_host", "stream": "run_stream"})
     if (runs.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_RUNS:
         runs = F.broadcast(runs)
     read = _parsed(pages, with_text=True)
     joined = read.join(runs, (F.col("host") == F.col("run_host")) & (F.col("stream") == F.col("run_stream")), "left")
-    unmarked = F.pandas_udf(_unique, "string")("blocks", "asides", "runs")
+    both = F.pandas_udf(_decided, "text string, n_restored long")("marked", "blocks", "asides", "runs")
     odd = F.aggregate(
         F.transform(F.coalesce("runs", F.array().cast("array<int>")), lambda x, k: F.when(k % 2 == 0, -x).otherwise(x)),
         F.lit(0).cast("long"),
         lambda total, x: total + x,
     )
-    out = joined.withColumn("out", F.coalesce("text", unmarked))
-    return out.select("page_id", "url", F.col("out").alias("text"), F.length("out").cast("long").alias("n_chars"), F.col("text").isNotNull().alias("has_article"), odd.alias("n_repeated"))
+    out = joined.select("page_id", "url", both.alias("out"), F.col("marked").alias("has_article"), odd.alias("n_repeated"))
+    text = F.col("out.text")
+    return out.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "has_article", "n_repeated", F.col("out.n_restored").alias("n_restored"))
 
 
 def op12_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

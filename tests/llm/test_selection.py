@@ -313,6 +313,23 @@ def test_copies_are_no_boilerplate(spark):
     assert got == {k: text for k in range(3)} | {10 + k: f"{text}\n\n{k}" for k in range(3)}
 
 
+def test_marked_articles_go_through_the_suffix_arrays(spark):
+    """Every word of a page is in its stream; what pages repeat of an article is found, and put back by the marks."""
+    shared = [f"s{i}" for i in range(12)]
+    pages = [(k, "http://a.org/", f"<nav>menu {k}</nav><article><p>own{k} {' '.join(shared)}</p></article>") for k in range(3)]
+    assert len(main_text.page_parts(pages[0][2])[3]) == 15 and not (main_text.page_parts(pages[0][2])[3] == main_text.GAP).any()
+    got = {r["page_id"]: r for r in main_text.main_text(spark.createDataFrame(pages, PAGES)).collect()}
+    assert all(r["text"] == f"own{k} {' '.join(shared)}" and r["has_article"] for k, r in got.items())
+    assert [(r["n_repeated"], r["n_restored"]) for r in got.values()] == [(12, 12)] * 3
+
+
+def test_tokens_of_blocks_that_runs_cover():
+    blocks = ["a b c", "d", "e f", "g h i j"]
+    assert main_text.repeated_in(blocks, [1, 5, 7, 10]).tolist() == [2, 1, 1, 3]
+    assert main_text.unique_text(blocks, [False] * 4, [1, 5, 7, 10]) == "a\n\nf\n\ng"
+    assert main_text.repeated_in(blocks, None).tolist() == main_text.repeated_in(blocks, []).tolist() == [0] * 4
+
+
 def test_odd_pages(spark):
     rows = [(None, None, None), (1, None, "<p>a</p>"), (2, "no scheme", ""), (3, "http://x.org", None), (3, "http://x.org", None)]
     rows += [(4, "http://x.org", f"<article>{'<p>' + LONG + '</p>'}</article>"), (5, "http://x.org", f"<div>{LONG}</div>"), (6, "http://x.org", "<p>" * 50_000 + "deep")]
