@@ -393,4 +393,4 @@ def main_text(pages: DataFrame) -> DataFrame:
 
 
 def op12_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return main_text(table(spark, sf_dir, "pages"))
+    return main_text(table(spark, sf_dir, "pages")).drop("n_restored")
