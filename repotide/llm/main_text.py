@@ -5,20 +5,20 @@ blocks inside are the article's, less those in elements that say what they are (
 adverts, notices, comments and so on). The words of all blocks of a page, inside and outside, are its token stream, in which
 the host's boilerplate is searched:
 
-1. Streams that a host repeats word for word are one, so pages with equal words count once and copies shrink before they
-   move.
-2. A host's streams are concatenated, a host of more than ``SHARD_TOKENS`` in several shards by a hash of the
-   stream. A suffix array by prefix doubling sorts all suffixes by their first ``RUN`` tokens; equal neighbours
-   of different streams are the host's repeated strings.
-3. Shards of one host are merged by string, and strings on two or more different pages are boilerplate. They go
-   back to the shards in which they occur, and are found there by binary search; overlapping ones join to runs.
+1. Pages are dealt by a hash of host and stream to shards of ``SHARD_TOKENS`` to ``MOST_TOKENS``, once, as packed blocks.
+   Streams that a host repeats word for word lie in one shard and count once there.
+2. A shard's streams are concatenated, with tokens of their hosts. A suffix array by prefix doubling sorts all
+   suffixes by their first ``RUN`` tokens; equal neighbours of different streams are strings that the host repeats.
+3. Shards are merged by string. The leading bits of all different strings' hashes go to buckets, sorted and as differences,
+   and a bucket tells every shard which of its own another shard may have; of those alone the whole 64-bit hashes are
+   compared in the same way. Replies are bits in the order of the shard's strings. What they mark is found by binary search,
+   and overlapping strings join to runs.
 4. Covered runs are removed and unique runs kept. In a page that marks its article, the marks then check the outcome: what
    other pages repeat of the article is put back (``n_restored``), since copies of an article are no boilerplate, and
    what is unique outside it goes.
 
-No task holds more than a shard and a page; a host with a third of all pages is dealt over many tasks. Page texts
-move only if the runs are too many to broadcast (``BROADCAST_RUNS``, counted first). Strings are compared by
-64-bit hashes.
+No task holds more than a shard and a page, or a bucket of ``BUCKET`` numbers; a host with a third of all pages is dealt over
+all shards. Strings are compared by 64-bit hashes.
 
 Defined results: null or empty html, or html without text, gives an empty text; null and odd addresses share the
 host of the empty name; repeated rows get equal results and count as one page; markup that is cut off or not
@@ -30,24 +30,28 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm.common import let_workers_import, stored, table
+from repotide.llm.common import let_workers_import, table
 from repotide.llm.url_filters import host_of
 
 #: Tokens in the shortest string that counts as repeated: a power of two.
 RUN = 8
-#: Tokens of a shard. A host's streams are dealt over as many as they need.
-SHARD_TOKENS = 1 << 20
-#: Bytes of html that are taken as one token when a host's shards are counted.
+#: Tokens of a shard, and of the largest ones; larger tables have larger shards.
+SHARD_TOKENS, MOST_TOKENS = 1 << 20, 1 << 22
+#: Bytes of html that are taken as one token when shards are counted.
 TOKEN_BYTES = 6
+#: Numbers in a bucket, and bits of a number beyond those that tell all strings apart on average.
+BUCKET, SPARE_BITS = 1 << 23, 7
+#: Runs that were broadcast at most. Runs stay in their shards now, so that nothing is broadcast.
 BROADCAST_RUNS = 200_000
 #: Stands where a stream has a gap.
 GAP = 0
@@ -206,133 +210,235 @@ def suffix_ranks(tokens: np.ndarray, width: int = RUN) -> np.ndarray:
     return rank
 
 
-def _concatenated(streams: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All streams with a gap after each, and each token's stream."""
-    lists = streams.combine_chunks()
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    tokens = np.insert(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(lengths), GAP)
-    return tokens, np.repeat(np.arange(len(lengths)), lengths + 1)
+def _sorted_once(numbers: np.ndarray) -> np.ndarray:
+    numbers = np.sort(numbers)  # np.unique without inverse goes by a hash table, which takes many times longer
+    return numbers[np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)]]
 
 
-def _once(shard: pa.Table) -> pa.Table:
-    """A shard with every stream once, whichever tasks sent it."""
-    first = np.unique(shard.column("stream").to_numpy(), return_index=True)[1]
-    return shard.take(pa.array(np.sort(first)))
+def _packed(numbers: np.ndarray) -> bytes:
+    """Sorted numbers as compressed differences, byte by byte of their places."""
+    steps = np.diff(numbers, prepend=np.uint64(0))
+    return len(numbers).to_bytes(8, "little") + pa.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
 
 
-def _strings(key: tuple, shard: pa.Table) -> pa.Table:
-    """The different strings of a shard, and whether several of its pages have them."""
-    host, part = (k.as_py() for k in key)
-    shard = _once(shard)
-    tokens, stream = _concatenated(shard.column("tokens"))
-    ranks = suffix_ranks(tokens)
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    places = np.frombuffer(pa.decompress(blob[8:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(places.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _bits(mask: np.ndarray) -> bytes:
+    return pa.compress(np.packbits(mask).tobytes(), "zstd", asbytes=True)
+
+
+def _mask(blob: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(pa.decompress(blob, -(-n // 8), "zstd", asbytes=True), np.uint8), count=n).astype(bool)
+
+
+def _text_of(blob: bytes, size: int) -> bytes:
+    return pa.decompress(blob, size, "zstd", asbytes=True)
+
+
+class Streams(NamedTuple):
+    """A shard's different streams one after the other, each with a gap after it."""
+
+    #: places of the streams' rows in the shard
+    rows: np.ndarray
+    tokens: np.ndarray
+    #: each token's stream
+    of: np.ndarray
+    #: places of whole strings, without gaps, and the strings' hashes
+    starts: np.ndarray
+    hashes: np.ndarray
+
+
+def _streams(shard: pa.Table) -> Streams:
+    """The shard's streams of ``RUN`` tokens or more, once each, with tokens that differ from host to host."""
+    rows = np.sort(np.unique(shard.column("stream").to_numpy(), return_index=True)[1])
+    texts = [_text_of(b, n).replace(b"\n", b" ") for b, n in zip(shard.column("blocks").take(rows).to_pylist(), shard.column("size").take(rows).to_pylist())]
+    long = np.array([t.count(b" ") + 1 >= RUN for t in texts], bool)
+    rows, texts = rows[long], [t for t, keep in zip(texts, long.tolist()) if keep]
+    words = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ")
+    lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = words.flatten().dictionary_encode()
+    known = np.fromiter((xxhash.xxh32_intdigest(w) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    hosts = np.repeat(shard.column("host").to_numpy()[rows].view(np.uint64), lengths)
+    own = (known[coded.indices.to_numpy(zero_copy_only=False)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ hosts
+    own = (own ^ (own >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    own[own == GAP] = 1
+    tokens = np.insert(own.view(np.int64), np.cumsum(lengths), GAP)
     gaps_until = np.concatenate([[0], np.cumsum(tokens == GAP)])
     starts = np.arange(max(0, len(tokens) - RUN + 1))
-    starts = starts[gaps_until[starts + RUN] == gaps_until[starts]]  # whole strings, without gaps
-    suffixes = starts[np.argsort(ranks[starts], kind="stable")]
-    first = np.flatnonzero(np.diff(ranks[suffixes], prepend=-1))
-    string = string_hashes(tokens)[suffixes[first]]
+    starts = starts[gaps_until[starts + RUN] == gaps_until[starts]]
+    return Streams(rows, tokens, np.repeat(np.arange(len(lengths)), lengths + 1), starts, string_hashes(tokens)[starts].view(np.uint64))
+
+
+def _strings(streams: Streams) -> tuple[np.ndarray, np.ndarray]:
+    """The shard's different strings, as sorted hashes, and whether several of its streams have them."""
+    ranks = suffix_ranks(streams.tokens)[streams.starts]
+    turn = np.argsort(ranks, kind="stable")
+    first = np.flatnonzero(np.diff(ranks[turn], prepend=-1))
     # equal suffixes stand together, in the order of their streams
-    of = stream[suffixes]
+    of = streams.of[streams.starts][turn]
     last = np.append(first[1:], len(of))[: len(first)] - 1
-    many = of[first] != of[last]
-    if shard.column("parts")[0].as_py() == 1:  # no other shard can repeat them
-        many, string = many[many], string[many]
-    n = len(string)
-    return pa.table({"host": np.full(n, host, np.int64), "part": np.full(n, part, np.int64), "string": string, "many": many})
-
-
-def _covered(key: tuple, shard: pa.Table, strings: pa.Table) -> pa.Table:
-    """Runs of each stream that repeated strings cover: token after token, start and end in turn."""
-    if not shard.num_rows or not strings.num_rows:
-        return pa.table({"host": pa.array([], pa.int64()), "stream": pa.array([], pa.int64()), "runs": pa.array([], pa.list_(pa.int32()))})
-    shard = _once(shard)
-    repeated = np.sort(strings.column("string").to_numpy())
-    tokens, stream = _concatenated(shard.column("tokens"))
-    own = string_hashes(tokens)
-    at = np.minimum(np.searchsorted(repeated, own), len(repeated) - 1)
-    depth = np.zeros(len(tokens) + 1, np.int64)
-    hits = np.flatnonzero(repeated[at] == own)
-    np.add.at(depth, hits, 1)
-    np.add.at(depth, hits + RUN, -1)
-    covered = (np.cumsum(depth)[:-1] > 0) & (tokens != GAP)
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]])))
-    ends = np.flatnonzero(np.diff(stream, append=-1)) + 1
-    begins = np.concatenate([[0], ends[:-1]])
-    of = np.searchsorted(ends, edges[::2], side="right")
-    runs = [[] for _ in range(len(ends))]
-    for k, a, b in zip(of.tolist(), edges[::2].tolist(), edges[1::2].tolist()):
-        runs[k] += [a - int(begins[k]), b - int(begins[k])]
-    found = [k for k, r in enumerate(runs) if r]
-    picked = shard.take(pa.array(found, pa.int64()))
-    return pa.table({"host": picked.column("host"), "stream": picked.column("stream"), "runs": pa.array([runs[k] for k in found], pa.list_(pa.int32()))})
+    several, strings = of[first] != of[last], streams.hashes[turn[first]]
+    turn = np.argsort(strings, kind="stable")
+    strings, several = strings[turn], several[turn]
+    first = np.flatnonzero(np.append(True, strings[1:] != strings[:-1])[: len(strings)])
+    return strings[first], np.logical_or.reduceat(several, first) if len(first) else several
 
 
-_PAGE = "page_id {id}, url string, host long, stream long, marked boolean, blocks array<string>, asides array<boolean>"
+def _ends(strings: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket's part of the sorted strings ends."""
+    bucket = ((strings >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return np.searchsorted(bucket, np.arange(buckets, dtype=np.uint64), side="right")
 
 
-def _stream_of(blocks: list[str]) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(blocks).encode("utf-8", "replace"))
+#: What travels between shards and buckets: where to, where from, whether whole hashes, and packed arrays.
+MESSAGE = pa.schema([("to", pa.int64()), ("part", pa.int64()), ("whole", pa.bool_()), ("numbers", pa.binary()), ("several", pa.binary())])
+_MESSAGE = "to long, part long, whole boolean, numbers binary, several binary"
 
 
-def _parsed(pages: DataFrame, with_text: bool) -> DataFrame:
-    """Each page's blocks; or instead the token streams that a search needs, each once a task."""
+def _messages(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_pylist([dict(zip(MESSAGE.names, r)) for r in rows], MESSAGE)
+
+
+def _met(key: tuple, sent: pa.Table) -> pa.Table:
+    """Tells every shard which of its numbers other shards have too."""
+    own = [_unpacked(b) for b in sent.column("numbers").to_pylist()]
+    every = np.sort(np.concatenate([_sorted_once(x) for x in own]))
+    common = _sorted_once(every[1:][every[1:] == every[:-1]])
+    rows = []
+    for part, whole, several, x in zip(sent.column("part").to_pylist(), sent.column("whole").to_pylist(), sent.column("several").to_pylist(), own):
+        if len(common):
+            found = common[np.minimum(np.searchsorted(common, x), len(common) - 1)] == x
+        else:
+            found = np.zeros(len(x), bool)
+        rows.append((part, key[0].as_py(), whole, _bits(found), several))
+    return _messages(rows)
+
+
+def _told(strings: np.ndarray, buckets: int, told: pa.Table, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Which strings the buckets marked, and which several streams of the shard have."""
+    ends = _ends(strings, buckets)
+    marked, several = np.zeros(len(strings), bool), np.zeros(len(strings), bool)
+    told = told.filter(pc.equal(told.column("whole"), whole))
+    for bucket, bits, own in zip(told.column("part").to_pylist(), told.column("numbers").to_pylist(), told.column("several").to_pylist()):
+        a, b = (int(ends[bucket - 1]) if bucket else 0), int(ends[bucket])
+        marked[a:b] = _mask(bits, b - a)
+        if own is not None:
+            several[a:b] = _mask(own, b - a)
+    return marked, several
+
+
+def _covered(streams: Streams, repeated: np.ndarray) -> list[list[int]]:
+    """Runs of each stream that repeated strings (sorted) cover: start and end in turn."""
+    runs: list[list[int]] = [[] for _ in range(len(streams.rows))]
+    if not len(repeated):
+        return runs
+    at = np.minimum(np.searchsorted(repeated, streams.hashes), len(repeated) - 1)
+    hits = streams.starts[repeated[at] == streams.hashes]
+    depth = np.zeros(len(streams.tokens) + 1, np.int64)
+    depth[hits] += 1
+    depth[hits + RUN] -= 1
+    covered = (np.cumsum(depth)[:-1] > 0) & (streams.tokens != GAP)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]])))
+    begins = np.flatnonzero(np.diff(streams.of, prepend=-1))
+    for k, a, b in zip(streams.of[edges[::2]].tolist(), edges[::2].tolist(), edges[1::2].tolist()):
+        runs[k] += [a - int(begins[k]), b - int(begins[k])]
+    return runs
+
+
+_PAGE = "page_id {id}, url string, host long, stream long, to long, marked boolean, size int, blocks binary, asides array<boolean>"
+
+
+def _parsed(pages: DataFrame, shards: int) -> DataFrame:
+    """Each page's blocks, compressed, with the shard that they go to."""
 
     def longs(numbers: list[int]) -> pa.Array:
         return pa.array(numbers, pa.uint64()).cast(pa.int64(), safe=False)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()
+        codec = pa.Codec("zstd", compression_level=6)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                pages = part.column("html").to_pylist()
-                if with_text:
-                    found = [page_blocks(h) for h in pages]
-                    columns = [part.column("page_id"), part.column("url"), part.column("host"), longs([_stream_of(f[1]) for f in found])]
-                    columns += [pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.list_(pa.string()))]
-                    columns += [pa.array([f[2] for f in found], pa.list_(pa.bool_()))]
-                    names = ["page_id", "url", "host", "stream", "marked", "blocks", "asides"]
-                else:
-                    found = [page_parts(h) for h in pages]
-                    streams = [_stream_of(f[1]) for f in found]
-                    hosts = part.column("host").to_pylist()
-                    new = {(h, x): k for k, (h, x) in enumerate(zip(hosts, streams)) if (h, x) not in sent and len(found[k][3]) >= RUN}
-                    sent.update(new)
-                    part, found, streams = part.take(pa.array(new.values(), pa.int64())), [found[k] for k in new.values()], [streams[k] for k in new.values()]
-                    tokens = pa.array([f[3].astype(np.uint32).view(np.int32) for f in found], pa.list_(pa.int32()))
-                    columns, names = [part.column("host"), longs(streams), tokens], ["host", "stream", "tokens"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                found = [page_blocks(h) for h in part.column("html").to_pylist()]
+                texts = ["\n".join(f[1]).encode("utf-8", "replace") for f in found]
+                streams = [xxhash.xxh3_64_intdigest(t.replace(b"\n", b" "), h % (1 << 64)) for t, h in zip(texts, part.column("host").to_pylist())]
+                columns = [part.column("page_id"), part.column("url"), part.column("host"), longs(streams)]
+                columns += [pa.array([x % shards for x in streams], pa.int64()), pa.array([f[0] for f in found], pa.bool_())]
+                columns += [pa.array([len(t) for t in texts], pa.int32()), pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())]
+                columns += [pa.array([f[2] for f in found], pa.list_(pa.bool_()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "stream", "to", "marked", "size", "blocks", "asides"])
 
-    let_workers_import(pages.sparkSession)
     rows = pages.select("page_id", "url", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
-    id_type = rows.schema["page_id"].dataType.simpleString()
-    schema = _PAGE.format(id=id_type) if with_text else "host long, stream long, tokens array<int>"
-    return rows.mapInArrow(parse, schema)
+    return rows.mapInArrow(parse, _PAGE.format(id=rows.schema["page_id"].dataType.simpleString()))
+
+
+def _searched(pages: DataFrame, finish: Callable[[pa.Table, dict[int, list[int]]], pa.Table], schema: str) -> DataFrame:
+    """``finish`` of every shard of pages and the runs of its streams."""
+    let_workers_import(pages.sparkSession)
+    total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
+    tokens = max(1, total // TOKEN_BYTES)
+    shards = max(1, -(-tokens // min(max(tokens // 256, SHARD_TOKENS), max(SHARD_TOKENS, MOST_TOKENS))))
+    buckets = max(8, -(-tokens // BUCKET))
+    # a number of a string that is in one shard only meets another by chance once in 2 ** SPARE_BITS
+    dropped = np.uint64(64 - min(64, max(1, tokens.bit_length() + SPARE_BITS)))
+
+    def sent(strings: np.ndarray, shift: np.uint64, own: np.ndarray | None, shard: int) -> pa.Table:
+        ends = _ends(strings, buckets)
+        rows = []
+        for bucket, (a, b) in enumerate(zip(np.append(0, ends[:-1]).tolist(), ends.tolist())):
+            if b > a:
+                rows.append((bucket, shard, own is None, _packed(strings[a:b] >> shift), None if own is None else _bits(own[a:b])))
+        return _messages(rows)
+
+    def numbers(key: tuple, shard: pa.Table) -> pa.Table:
+        strings, several = _strings(_streams(shard))
+        return sent(strings, dropped, several, key[0].as_py())
+
+    def suspects(key: tuple, shard: pa.Table, told: pa.Table) -> pa.Table:
+        if not told.num_rows:
+            return _messages([])
+        strings = _sorted_once(_streams(shard).hashes)
+        return sent(strings[_told(strings, buckets, told, False)[0]], np.uint64(0), None, key[0].as_py())
+
+    def finished(key: tuple, shard: pa.Table, told: pa.Table) -> pa.Table:
+        streams = _streams(shard)
+        strings = _sorted_once(streams.hashes)
+        asked, several = _told(strings, buckets, told, False)
+        repeated = strings[several]
+        if asked.any():
+            asked = strings[asked]
+            repeated = _sorted_once(np.concatenate([repeated, asked[_told(asked, buckets, told, True)[0]]]))
+        ids = shard.column("stream").to_numpy()[streams.rows].tolist()
+        return finish(shard, {k: r for k, r in zip(ids, _covered(streams, repeated)) if r})
+
+    # each step reads the one exchange of the pages
+    parsed = _parsed(pages, shards)
+    known = parsed.groupBy("to").applyInArrow(numbers, _MESSAGE).groupBy("to").applyInArrow(_met, _MESSAGE)
+    confirmed = parsed.groupBy("to").cogroup(known.groupBy("to")).applyInArrow(suspects, _MESSAGE).groupBy("to").applyInArrow(_met, _MESSAGE)
+    return parsed.groupBy("to").cogroup(known.union(confirmed).groupBy("to")).applyInArrow(finished, schema)
+
+
+def _run_rows(shard: pa.Table, runs: dict[int, list[int]]) -> pa.Table:
+    hosts = dict(zip(shard.column("stream").to_pylist(), shard.column("host").to_pylist()))
+    columns = [pa.array([hosts[k] for k in runs], pa.int64()), pa.array(list(runs), pa.int64()), pa.array(list(runs.values()), pa.list_(pa.int32()))]
+    return pa.table(columns, names=["host", "stream", "runs"])
 
 
 def repeated_runs(pages: DataFrame) -> DataFrame:
     """host (hash), stream (hash) and runs: start and end of each covered run of a host's different streams."""
-    # by the size of the html, so that the streams move once, to the shard that they belong to
-    size = pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), F.octet_length("html").cast("long").alias("n"))
-    large = size.groupBy("host").agg(F.sum("n").alias("n")).where(F.col("n") > SHARD_TOKENS * TOKEN_BYTES)
-    # one row per SHARD_TOKENS of the streams at most
-    large = large.select("host", F.ceil(F.col("n") / (SHARD_TOKENS * TOKEN_BYTES)).cast("int").alias("parts"))
-    streams = _parsed(pages, with_text=False).join(F.broadcast(large), "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    streams = streams.withColumn("part", F.pmod(F.col("stream"), F.col("parts")).cast("long"))
-    # not stored: both passes read one exchange of the streams
-    strings = streams.groupBy("host", "part").applyInArrow(_strings, "host long, part long, string long, many boolean")
-    # a string has a row per shard of its host, and shards have no page in common
-    repeated = strings.groupBy("host", "string").agg(F.max("many").alias("many"), F.collect_set("part").alias("parts"))
-    repeated = repeated.where(F.col("many") | (F.size("parts") > 1)).select("host", F.explode("parts").alias("part"), "string")
-    found = streams.groupBy("host", "part").cogroup(repeated.groupBy("host", "part")).applyInArrow(_covered, "host long, stream long, runs array<int>")
-    return stored(found, "page-runs")
+    return _searched(pages, _run_rows, "host long, stream long, runs array<int>")
 
 
 def unique_text(blocks: list[str], asides: list[bool], runs: list[int] | None = None) -> str:
     """Blocks that are not aside, without the runs."""
+    if runs is None or not len(runs):
+        return "\n\n".join(block for block, aside in zip(blocks, asides) if not aside)
     out, at = [], 0
-    bounds = np.array([] if runs is None else runs, np.int64)
+    bounds = np.array(runs, np.int64)
     for block, aside, gone in zip(blocks, asides, repeated_in(blocks, runs).tolist()):
         n = block.count(" ") + 1
         if not aside and not gone:
@@ -366,8 +472,15 @@ def decided(marked: bool, blocks: list[str], asides: list[bool], runs: list[int]
     return unique_text(blocks, asides), int(repeated_in(blocks, runs)[~np.array(asides, bool)].sum())
 
 
-def _decided(marked: pd.Series, blocks: pd.Series, asides: pd.Series, runs: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([decided(*row) for row in zip(marked, blocks, asides, runs)], columns=["text", "n_restored"])
+def _text_rows(shard: pa.Table, runs: dict[int, list[int]]) -> pa.Table:
+    rows = zip(*(shard.column(c).to_pylist() for c in ("stream", "marked", "size", "blocks", "asides")))
+    out = [
+        (*decided(marked, _text_of(blob, size).decode("utf-8").split("\n") if size else [], asides, runs.get(stream)), runs.get(stream, []))
+        for stream, marked, size, blob, asides in rows
+    ]
+    columns = [shard.column("page_id"), shard.column("url"), pa.array([t for t, _, _ in out], pa.string()), shard.column("marked")]
+    columns += [pa.array([sum(r[1::2]) - sum(r[::2]) for *_, r in out], pa.int64()), pa.array([n for _, n, _ in out], pa.int64())]
+    return pa.table(columns, names=["page_id", "url", "text", "has_article", "n_repeated", "n_restored"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -376,20 +489,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     ``n_repeated`` counts the page's tokens that the host repeats on other pages, ``n_restored`` those of them that stand in
     the marked article and stay.
     """
-    runs = repeated_runs(pages).withColumnsRenamed({"host": "run_host", "stream": "run_stream"})
-    if (runs.agg(F.sum(F.size("runs"))).first()[0] or 0) <= BROADCAST_RUNS:
-        runs = F.broadcast(runs)
-    read = _parsed(pages, with_text=True)
-    joined = read.join(runs, (F.col("host") == F.col("run_host")) & (F.col("stream") == F.col("run_stream")), "left")
-    both = F.pandas_udf(_decided, "text string, n_restored long")("marked", "blocks", "asides", "runs")
-    odd = F.aggregate(
-        F.transform(F.coalesce("runs", F.array().cast("array<int>")), lambda x, k: F.when(k % 2 == 0, -x).otherwise(x)),
-        F.lit(0).cast("long"),
-        lambda total, x: total + x,
-    )
-    out = joined.select("page_id", "url", both.alias("out"), F.col("marked").alias("has_article"), odd.alias("n_repeated"))
-    text = F.col("out.text")
-    return out.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"), "has_article", "n_repeated", F.col("out.n_restored").alias("n_restored"))
+    id_type = pages.schema["page_id"].dataType.simpleString()
+    out = _searched(pages, _text_rows, f"page_id {id_type}, url string, text string, has_article boolean, n_repeated long, n_restored long")
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "has_article", "n_repeated", "n_restored")
 
 
 def op12_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -305,6 +305,31 @@ def test_runs_are_those_of_brute_force(spark, monkeypatch, shard):
     assert sorted(got) == expected and expected
 
 
+def test_whole_hashes_decide_what_leading_bits_suspect(spark, monkeypatch):
+    monkeypatch.setattr(main_text, "SPARE_BITS", -8)
+    test_runs_are_those_of_brute_force(spark, monkeypatch, 60)
+
+
+def test_numbers_and_bits_travel_unchanged():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        numbers = np.sort(rng.integers(0, 1 << 64, n, np.uint64))
+        assert (main_text._unpacked(main_text._packed(numbers)) == numbers).all()
+        mask = rng.integers(0, 2, n).astype(bool)
+        assert (main_text._mask(main_text._bits(mask), n) == mask).all()
+    assert len(main_text._packed(np.sort(rng.integers(0, 1 << 40, 100_000, np.uint64)))) < 450_000
+
+
+def test_pages_move_once_and_a_host_goes_to_all_shards(spark, monkeypatch, site):
+    monkeypatch.setattr(main_text, "SHARD_TOKENS", 100)
+    monkeypatch.setattr(main_text, "MOST_TOKENS", 100)
+    pages = spark.createDataFrame([(r[0], "https://one.org/", r[2]) for r in site], PAGES)
+    plan = main_text.main_text(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "HashAggregate" not in plan and "Join" not in plan  # no row for each string, no second move of texts
+    sizes = [r["count"] for r in main_text._parsed(pages, 8).groupBy("to").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 20
+
+
 def test_copies_are_no_boilerplate(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(k, "http://a.org/", f"<div><p>{text}</p></div>") for k in range(3)]
