@@ -9,7 +9,7 @@ with the same minimizer form one stretch of text, and equal strings lie in stret
    stretches. Where a minimizer has different stretches, their strings are compared by a suffix array,
    refined after Larsson and Sadakane (each round doubles the sorted length and sorts only groups that are
    still open), with common prefixes after Kasai. A shard's stretches are taken in blocks of bounded size
-   with a suffix array each, and the blocks are merged by binary search of the one's strings in the other's;
+   with a suffix array each, and blocks that share a minimizer are merged by binary search of the one's strings in the other's;
 3. the shard answers each group with the smallest doc_id of every string, and the group removes what is
    found in a smaller one than its own.
 
@@ -107,17 +107,21 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int = WIDTH) ->
             inside = np.maximum(now, other) < n
             at, now, other = at[inside], now[inside], other[inside]
             differ = eights[now] ^ eights[other]
-            same = np.full(len(at), 8)
+            same = np.zeros(len(at), np.int64)
             for byte in range(8):
-                same[(differ >> np.uint64(8 * byte)) != 0] = 7 - byte
+                same += differ < np.uint64(1 << (8 * byte))
             shared[at] = np.minimum(shared[at] + np.minimum(same, n - np.maximum(now, other)), depth)
             at = at[(same == 8) & (shared[at] < depth)]
     shared[before < 0] = 0
     return shared[order]
 
 
-def earliest(texts: list[bytes], owners: np.ndarray, block: int = BLOCK) -> list[np.ndarray]:
-    """For each text the least owner of every ``WIDTH``-byte string in it, by position."""
+def earliest(texts: list[bytes], owners: np.ndarray, block: int = BLOCK, keys: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each text the least owner of every ``WIDTH``-byte string in it, by position.
+
+    ``keys`` are numbers in ascending order, one a text, if texts with different ones have no string in common. Blocks
+    without a common key are then not compared.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // block)) + 1
     blocks, least = [], []
@@ -132,15 +136,18 @@ def earliest(texts: list[bytes], owners: np.ndarray, block: int = BLOCK) -> list
         # a group runs on while neighbours share the full width
         number = np.cumsum(common_prefixes(data, order) < WIDTH) - 1
         keep = order_is_start[order]
-        at, number = order[keep], np.unique(number[keep], return_inverse=True)[1]
+        at, number = order[keep], number[keep]
+        number = np.cumsum(np.diff(number, prepend=number[:1]) != 0)
         low = np.full(number.max(initial=-1) + 1, LAST)
         np.minimum.at(low, number, owners[part][text[at]])
         firsts = at[np.flatnonzero(np.diff(number, prepend=-1))]
         strings = np.lib.stride_tricks.sliding_window_view(data, WIDTH)[firsts] if len(firsts) else np.empty((0, WIDTH), np.uint8)
         strings = np.ascontiguousarray(strings).view(f"S{WIDTH}").ravel()
         blocks.append((part, at, number, low, strings, ends))
-    for i, (*_, low, strings, _) in enumerate(blocks):
-        for *_, other_low, other, _ in blocks[i + 1 :]:
+    for i, (part, *_, low, strings, _) in enumerate(blocks):
+        for other_part, *_, other_low, other, _ in blocks[i + 1 :]:
+            if keys is not None and len(part) and keys[part[-1]] != keys[other_part[0]]:
+                break
             if len(strings) and len(other):
                 where = np.minimum(np.searchsorted(strings, other), len(strings) - 1)
                 found = strings[where] == other
@@ -333,7 +340,8 @@ def removed(docs: DataFrame, with_kept: bool = False) -> DataFrame:
         once = [_numbers(x, "<u4") for x in sent["a"]]
         several = [_numbers(x, "<u4") for x in sent["b"]]
         every = np.sort(np.concatenate([*once, *[np.repeat(x, 2) for x in several]]))
-        common = np.unique(every[1:][every[1:] == every[:-1]])
+        common = every[1:][every[1:] == every[:-1]]
+        common = common[np.append(True, common[1:] != common[:-1])[: len(common)]]  # sorted; np.unique would hash them
         rows = []
         for group, a, b in zip(sent["part"], once, several, strict=True):
             own = np.concatenate([a, b])
@@ -382,7 +390,7 @@ def removed(docs: DataFrame, with_kept: bool = False) -> DataFrame:
         open_ids = np.flatnonzero(n[inverse] > 1)
         open_ids = open_ids[np.argsort(owner_hash[open_ids], kind="stable")]
         runs: dict[int, list[tuple[int, int, int]]] = {}
-        for i, values in zip(open_ids.tolist(), earliest([texts[i] for i in open_ids], least[open_ids]), strict=True):
+        for i, values in zip(open_ids.tolist(), earliest([texts[i] for i in open_ids], least[open_ids], keys=owner_hash[open_ids]), strict=True):
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(values)) + 1, [len(values)]])
             runs[i] = [(int(a), int(b), int(values[a])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         rows = []

@@ -52,6 +52,22 @@ def test_blocks_are_merged(block):
     assert [g.tolist() for g in got] == [[low[t[p : p + 50]] for p in range(len(t) - 49)] for t in texts]
 
 
+def test_blocks_without_a_common_key_are_not_compared(monkeypatch):
+    rng = random.Random(5)
+    # every key has letters of its own, so that its texts have no string of another key
+    groups = [[bytes(rng.choices(letters, k=rng.randrange(50, 120))) for _ in range(20)] for letters in (b"ab", b"cd", b"ef", b"gh", b"ij")]
+    texts = [t for g in groups for t in [*g, *[x[3:60] + x[:9] for x in g]]]
+    keys = np.repeat(np.arange(5), 40)
+    owners = np.array([rng.randrange(1000) for _ in texts])
+    expected = suffix_dedup.earliest(texts, owners, 1 << 20)
+    found, calls = np.searchsorted, []
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: calls.append(1) or found(*a, **k))
+    got = suffix_dedup.earliest(texts, owners, 700, keys)
+    blocks = sum(map(len, texts)) // 700
+    assert [g.tolist() for g in got] == [e.tolist() for e in expected]
+    assert 0 < len(calls) < blocks * blocks / 4
+
+
 def repetitive(n=120, seed=4):
     rng = random.Random(seed)
     passages = [" ".join(f"p{rng.randrange(400)}é" for _ in range(rng.randrange(6, 60))) for _ in range(8)]
