@@ -28,12 +28,10 @@ the documents.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotide.llm.common import let, row_hash, stored, table
+from repotide.llm.common import row_hash, stored, table
 
 WINDOW, SHORTEST = 10, 5
 BROADCAST_ROWS = 500_000
@@ -49,72 +47,64 @@ UNITS = (
 )
 
 
-def template(text: Column, names: str = ALL) -> Column:
-    """Words of the canonical form; a placeholder is its mark followed by its value.
-
-    A text has the same number of words whatever ``names`` is.
-    """
+def marked(text: Column) -> Column:
+    """The text with marks before numbers and their units."""
+    # patterns that look behind first look at the character itself, as most places end there
     text = F.regexp_replace(text, f"[{NUMBER}-{POINT}]", " ")
-    joined = F.regexp_replace(text, "(?<![0-9]{4})(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
-    pointed = F.regexp_replace(joined, "(?<=[0-9])[.](?=[0-9])", POINT)
+    joined = F.regexp_replace(text, "(?=,)(?<![0-9]{4})(?<=[0-9]),(?=[0-9]{3}(?![0-9]))", "")
+    pointed = F.regexp_replace(joined, "(?=[.])(?<=[0-9])[.](?=[0-9])", POINT)
     numbers = F.regexp_replace(pointed, f"([0-9][0-9{POINT}]*)", f" {NUMBER}$1 ")
     units = F.regexp_replace(numbers, f"({NUMBER}[0-9{POINT}]+) +({UNITS})(?!\\p{{L}})", f"$1 {UNIT}$2")
-    named = F.when(text.rlike("[0-9]"), units).otherwise(text)
+    return F.when(text.rlike("[0-9]"), units).otherwise(text)
+
+
+def form(named: Column, names: str) -> Column:
+    """Words of the canonical form of a ``marked`` text."""
     if names == ALL:
-        named = F.regexp_replace(named, f"(?<![\\p{{L}}\\p{{N}}{NUMBER}-{POINT}])(\\p{{Lu}}\\p{{Ll}})", f"{NAME}$1")
+        named = F.regexp_replace(named, f"(?=\\p{{Lu}})(?<![\\p{{L}}\\p{{N}}{NUMBER}-{POINT}])(\\p{{Lu}}\\p{{Ll}})", f"{NAME}$1")
     elif names == INNER:
-        named = F.regexp_replace(named, "(?<=[\\p{Ll},;] )(\\p{Lu}\\p{Ll})", f"{NAME}$1")
+        named = F.regexp_replace(named, "(?=\\p{Lu})(?<=[\\p{Ll},;] )(\\p{Lu}\\p{Ll})", f"{NAME}$1")
         named = F.regexp_replace(named, f"({NAME}\\p{{L}}+ )(\\p{{Lu}}\\p{{Ll}})", f"$1{NAME}$2")
     plain = F.regexp_replace(F.lower(named), f"[^\\p{{L}}\\p{{N}}{NUMBER}-{POINT}]+", " ")
     return F.array_remove(F.split(plain, " "), "")
 
 
-def _is_slot(word: Column) -> Column:
-    return F.ascii(word) <= 3
-
-
-def _hashes(words: Column) -> Column:
-    """One number for each word of the template, the same for all values of a placeholder."""
-    return F.transform(words, lambda w: F.xxhash64(F.when(_is_slot(w), F.substring(w, 1, 1)).otherwise(w)))
-
-
-def _slots(words: Column) -> Column:
-    return F.filter(words, _is_slot)
-
+def template(text: Column, names: str = ALL) -> Column:
+    """Words of the canonical form; a placeholder is its mark followed by its value.
 
-def _windows(words: Column, length: Column) -> Column:
-    """Hash, start and placeholders (null where the text has none) of each window of ``length`` words."""
+    A text has the same number of words whatever ``names`` is.
+    """
+    return form(marked(text), names)
 
-    def window(both: Column, i: Column) -> Column:
-        def of(slots: Column) -> Column:
-            by_form = F.xxhash64(F.slice(both["hashes"], i + 1, length))
-            by_value = F.xxhash64(F.slice(both["values"], i + 1, length))
-            found = F.when(2 * F.size(slots) > length, by_value).otherwise(by_form)
-            return F.struct(found.alias("found"), i.alias("at"), slots.alias("slots"))
 
-        return let(F.when(both["any"], _slots(F.slice(both["words"], i + 1, length))), of)
+def _is_slot(word: Column) -> Column:
+    return F.ascii(word) <= 3
 
-    def windows(both: Column) -> Column:
-        starts = F.slice(both["hashes"], F.lit(1), F.greatest(F.size(both["hashes"]) - (length - 1), F.lit(0)))
-        return F.transform(starts, lambda _, i: window(both, i))
 
-    def with_hashes(w: Column) -> Column:
-        values = F.when(F.exists(w, _is_slot), F.transform(w, lambda word: F.xxhash64(word)))
-        return F.struct(w.alias("words"), _hashes(w).alias("hashes"), values.alias("values"), F.exists(w, _is_slot).alias("any"))
+def _hashes(words: Column) -> Column:
+    """One number for each word of the template; a placeholder's, whatever its value, is that of its mark, 1 to 3."""
+    return F.transform(words, lambda w: F.when(_is_slot(w), F.ascii(w).cast("long")).otherwise(F.xxhash64(w)))
 
-    return let(let(words, with_hashes), windows)
 
+def _windows(rows: DataFrame, lengths: Column) -> DataFrame:
+    """A row for each window of each of ``lengths`` words of ``words``, with its place ``at`` and its hash ``found``.
 
-def _document_windows(length: Column) -> Column:
-    """Windows of a document's two forms; those of the second only where they differ."""
-    every, inner = _windows(F.col(ALL), length), _windows(F.col(INNER), length)
-    changed = let(F.struct(every.alias("a"), inner.alias("b")), _changed)
-    return F.when(F.col(ALL) == F.col(INNER), every).otherwise(changed)
+    Hashes are taken from rows, as Spark compiles that, and interprets functions over arrays.
+    """
+    rows = rows.withColumn("hashes", _hashes(F.col("words"))).withColumn("length", F.explode(lengths))
+    n = F.size("hashes") - F.col("length")
+    rows = rows.withColumn("at", F.explode(F.when(n >= 0, F.sequence(F.lit(0), n))))
+    here = F.slice("hashes", F.col("at") + 1, F.col("length"))
+    others = here
+    for mark in (NUMBER, NAME, UNIT):
+        others = F.array_remove(others, F.lit(ord(mark)).cast("long"))
+    by_value = F.xxhash64(F.slice("words", F.col("at") + 1, F.col("length")))
+    return rows.withColumn("found", F.when(2 * F.size(others) < F.col("length"), by_value).otherwise(F.xxhash64(here)))
 
 
-def _changed(both: Column) -> Column:
-    other = F.filter(both["b"], lambda w, i: w["found"] != F.get(both["a"], i)["found"])
-    return F.concat(both["a"], other)
+def _slots() -> Column:
+    """The placeholders of a window."""
+    return F.filter(F.slice("words", F.col("at") + 1, F.col("length")), _is_slot)
 
 
 def not_searched(benchmark: DataFrame) -> DataFrame:
@@ -134,8 +124,8 @@ def _items(benchmark: DataFrame, window: int) -> DataFrame:
     stay = openers.join(small, "word", "left_semi").groupBy("text_hash").agg(F.collect_set(F.concat(F.lit(NAME), "word")).alias("stay"))
     items = items.join(stay, "text_hash", "left").withColumn("length", F.least(F.size(NONE), F.lit(window)))
     items = items.select("item_id", "length", "stay", F.explode(F.array_distinct(F.array(ALL, INNER, NONE))).alias("words"))
-    items = items.select("item_id", "length", "stay", F.explode(_windows(F.col("words"), F.col("length"))).alias("w"))
-    names = [F.col("w.at").alias("start"), F.col("w.found").alias("hash"), F.col("w.slots").alias("item_slots")]
+    items = _windows(items.withColumnRenamed("length", "own_length"), F.array("own_length"))
+    names = [F.col("at").alias("start"), F.col("found").alias("hash"), _slots().alias("item_slots")]
     return items.select("item_id", "length", "stay", *names).distinct()
 
 
@@ -146,19 +136,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     keys = items.select(F.col("hash").alias("sought")).distinct()
     if items.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    forms = [template(F.col("text"), names).alias(names) for names in (ALL, INNER)]
-    words = docs.select("doc_id", row_hash("text").alias("row_hash"), *forms)
-    windows = [
-        words.select("doc_id", "row_hash", F.lit(n).alias("length"), F.explode(_document_windows(F.lit(n))).alias("w"))
-        for n in lengths or [window]
-    ]
-    hits = reduce(DataFrame.union, windows).select("doc_id", "row_hash", "length", "w.*")
-    hits = stored(hits.join(keys, F.col("found") == F.col("sought"), "left_semi"), "benchmark-hits")
+    texts = docs.select("doc_id", row_hash("text").alias("row_hash"), marked(F.col("text")).alias("marked"))
+    # a window that both forms have is found twice, which counts once below
+    forms = texts.select("doc_id", "row_hash", *[form(F.col("marked"), names).alias(names) for names in (ALL, INNER)])
+    words = forms.select("doc_id", "row_hash", F.explode(F.array_distinct(F.array(ALL, INNER))).alias("words"))
+    windows = _windows(words, F.array(*[F.lit(n) for n in lengths or [window]]))
+    hits = windows.join(keys, F.col("found") == F.col("sought"), "left_semi")
+    hits = stored(hits.select("doc_id", "row_hash", "length", "found", "at", _slots().alias("slots")), "benchmark-hits")
     parts = items.withColumnRenamed("length", "item_length")
     both = (F.col("found") == F.col("hash")) & (F.col("length") == F.col("item_length"))
     # equal templates have their placeholders in the same places, so these pair up in order
     none = F.array().cast("array<string>")
-    values = F.arrays_zip(F.coalesce("item_slots", none).alias("item"), F.coalesce("slots", none).alias("doc"))
+    values = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
     pairs = hits.join(parts, both).select(
         "doc_id", "row_hash", "item_id", (F.col("at") - F.col("start")).alias("shift"), "start", "stay", values.alias("slots")
     )

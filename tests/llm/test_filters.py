@@ -203,6 +203,24 @@ def test_contamination_is_that_of_brute_force(spark, documents, monkeypatch, bou
     assert got == plain.contaminated(docs, items, UNITS) and len(got) > 15
 
 
+def test_texts_are_put_into_form_once_whatever_lengths_items_have(spark, documents):
+    """Items of six lengths are searched in one reading of the documents, and windows are rows of compiled code."""
+    words = [c * 3 for c in "abcdefghijklmnopqrstuvwxyz"] + [c * 4 for c in "abcd"]
+    items = spark.createDataFrame([(n, " ".join(words[n : 2 * n])) for n in range(5, 11)], "item_id long, text string")
+    docs = documents([(1, " ".join(words)), (2, " ".join(words[10:20])), (3, " ".join(words[:9]))])
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    counted = spark.createDataFrame(docs.rdd.mapPartitions(seen), docs.schema)
+    got = decontamination.contaminated(counted, items).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, got)) == [(1, n) for n in range(5, 11)] + [(2, 10)]
+    assert read.value == 3
+
+
 PERSONAL = [
     "mail a.b+c@d-e.co.uk, x@y.z@w.v and a@b.c_d@e.f. no@dot",
     "ip 1.2.3.4 9.1.2.3.4.5.6.7 256.1.1.1 0001.2.3.255 1.2.3",
